@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstar.contracts import quoted
+
 # Texts that pandas' read_csv takes as missing when nothing else is configured.
 MISSING_TEXTS = (
     "",
@@ -32,8 +34,9 @@ MISSING_TEXTS = (
 FLOATING = (T.DoubleType, T.FloatType)
 
 
-def text_or_null(cell: Column, missing: tuple[str, ...] = MISSING_TEXTS) -> Column:
-    return F.when(~cell.isin(*missing), cell)
+def text_or_null(column: str, missing: tuple[str, ...] = MISSING_TEXTS) -> Column:
+    texts = ", ".join("'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'" for text in missing)
+    return F.expr(f"CASE WHEN {quoted(column)} NOT IN ({texts}) THEN {quoted(column)} END")
 
 
 def is_missing(cell: Column, data_type: T.DataType) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.contracts import Contract, create_if_absent, exact
+from ledgerstar.contracts import Contract, create_if_absent, exact, quoted
 
 # Keys that may be broadcast: a 32-character key costs under 100 bytes, so this stays below 100 MB.
 MAX_BROADCAST_KEYS = 1_000_000
@@ -80,7 +80,7 @@ def insert_if_absent(
     rows = absent_from(batch, stored, key, batch_rows)
     if partition_by:
         # Rows of one partition value go to few files; AQE splits a value that is too large.
-        rows = rows.hint("rebalance", partition_by)
+        rows = rows.hint("rebalance", quoted(partition_by))
     rows.write.mode("append").partitionBy(*layout).parquet(path)
     rows_after = spark.read.schema(contract.schema).parquet(path).count()
     return LoadResult(rows_before, rows_after, batch_rows)

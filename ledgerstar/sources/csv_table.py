@@ -47,6 +47,7 @@ def read_text_table(
         _reader(spark, multi_line)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)  # a pruned parser would not see the field count
         .schema(T.StructType(fields))
         .csv(path)
     )
@@ -61,7 +62,7 @@ def parse_table(
     A non-missing text that does not spell its type makes the row ``unparseable``; it is never
     turned into a NULL that looks like a missing value.
     """
-    cells = {f.name: text_or_null(exact(f.name), missing) for f in contract.fields}
+    cells = {f.name: text_or_null(f.name, missing) for f in contract.fields}
     values = {f.name: parse(cells[f.name], f.type) for f in contract.fields}
     typed = [f for f in contract.fields if f.type != "string"]
     unparseable = reduce(
