@@ -15,12 +15,15 @@ AUDIT_SCHEMA = (
 
 
 class RunLog:
+    """Steps are held until ``flush``, which appends them in one write."""
+
     def __init__(self, spark: SparkSession, path: str, run_id: str | None = None):
         self.spark = spark
         self.path = path
         self.run_id = run_id or uuid.uuid4().hex
+        self._held: list[tuple] = []
 
-    def append(
+    def add(
         self,
         step: str,
         message: str,
@@ -30,12 +33,16 @@ class RunLog:
         status: str = "OK",
     ) -> None:
         now = datetime.now(timezone.utc)
-        row = (self.run_id, now, step, rows_in, rows_out, rejected, status, message)
-        entry = self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1)
-        entry.write.mode("append").parquet(self.path)
+        self._held.append((self.run_id, now, step, rows_in, rows_out, rejected, status, message))
+
+    def fail(self, step: str, error: Exception) -> None:
+        self.add(step, f"ERROR: {error}", status="ERROR")
+        self.flush()
 
-    def error(self, step: str, message: str) -> None:
-        self.append(step, f"ERROR: {message}", status="ERROR")
+    def flush(self) -> None:
+        entries = self.spark.createDataFrame(self._held, AUDIT_SCHEMA).coalesce(1)
+        entries.write.mode("append").parquet(self.path)
+        self._held = []
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path)

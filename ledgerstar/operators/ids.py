@@ -37,12 +37,14 @@ def file_offsets(written: DataFrame) -> DataFrame:
     )
 
 
-def with_file_order_ids(
-    written: DataFrame, scratch: Scratch, id_name: str, id_type: str = "bigint"
-) -> DataFrame:
-    """Number the rows of a table that was read straight from Parquet files."""
-    offsets = scratch.store(file_offsets(written).coalesce(1), f"offsets_{id_name}")
-    if offsets.count() <= MAX_BROADCAST_FILES:
+def with_file_order_ids(written: DataFrame, id_name: str, id_type: str = "bigint") -> DataFrame:
+    """Number the rows of a table that was read straight from Parquet files.
+
+    The offsets come from a scan that reads no column, and ride to the data in a broadcast as long
+    as the table has a broadcastable number of files.
+    """
+    offsets = file_offsets(written)
+    if len(written.inputFiles()) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     placed = written.select(
         "*",
@@ -72,4 +74,4 @@ def with_ordered_ids(
     place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
     keyed = written.select("*", *[p.alias(f"_place{i}") for i, p in enumerate(place)])
     ranged = keyed.orderBy(*order_by, "_place0", "_place1").drop("_place0", "_place1")
-    return with_file_order_ids(scratch.store(ranged, f"sorted_{id_name}"), scratch, id_name, id_type)
+    return with_file_order_ids(scratch.store(ranged, f"sorted_{id_name}"), id_name, id_type)

@@ -76,40 +76,54 @@ def run_ingest(
     try:
         text = read_text_table(spark, source, raw, multi_line)
     except (SourceError, ContractError) as error:
-        log.error("fetch" if isinstance(error, SourceError) else "validate", str(error))
+        log.fail("fetch" if isinstance(error, SourceError) else "validate", error)
         raise
     own_scratch = scratch is None
     scratch = scratch or Scratch(spark)
-    landed = scratch.store(landing(text, raw, rules, key), "landing", OUTCOME)
-
-    counts = {r[OUTCOME]: r["n"] for r in landed.groupBy(OUTCOME).agg(F.count("*").alias("n")).collect()}
-    total, valid = sum(counts.values()), counts.get(ACCEPTED, 0)
-    reasons = {reason: n for reason, n in sorted(counts.items()) if reason != ACCEPTED}
-    log.append("fetch", f"Fetched source: {source} ({total} rows read)", rows_out=total)
-    detail = ", ".join(f"{reason}: {n}" for reason, n in reasons.items()) or "none"
-    log.append(
-        "validate",
-        f"Validated: {valid} rows passed, {total - valid} rows rejected ({detail})",
-        total,
-        valid,
-        total - valid,
-    )
-    if reasons:
-        set_aside = landed.filter(F.col(OUTCOME) != ACCEPTED).withColumnRenamed(OUTCOME, REJECT_REASON)
-        set_aside.withColumn("run_id", F.lit(log.run_id)).write.mode("append").partitionBy(
-            "run_id"
-        ).parquet(targets.quarantine)
-
-    batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD)
-    result = insert_if_absent(spark, batch, targets.table, stored, partition_by)
-    log.append(
+    try:
+        landed = scratch.store(landing(text, raw, rules, key), "landing", OUTCOME)
+        valid = _report_gate(landed, source, targets, log)
+        batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD)
+        result = insert_if_absent(spark, batch, targets.table, stored, partition_by)
+    except Exception as error:
+        log.fail("load", error)
+        raise
+    finally:
+        if own_scratch:
+            scratch.drop()
+    log.add(
         "load",
         f"Loaded: {result.rows_before} rows before, {result.rows_after} rows after "
         f"(source had {valid} valid rows)",
         valid,
         result.rows_after - result.rows_before,
     )
-    log.append("complete", f"Run complete. Table row count: {result.rows_after}", rows_out=result.rows_after)
-    if own_scratch:
-        scratch.drop()
+    log.add("complete", f"Run complete. Table row count: {result.rows_after}", None, result.rows_after)
+    log.flush()
     return result
+
+
+def _report_gate(
+    landed: DataFrame, source: str | list[str], targets: Targets, log: RunLog
+) -> int:
+    """Log what the gate let through, append the rest to the quarantine, return the valid count."""
+    per_outcome = landed.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r[OUTCOME]: r.n for r in per_outcome.collect()}  # one row per reason
+    valid = counts.pop(ACCEPTED, 0)
+    rejected = sum(counts.values())
+    detail = ", ".join(f"{reason}: {n}" for reason, n in sorted(counts.items())) or "none"
+    log.add("fetch", f"Fetched source: {source} ({valid + rejected} rows read)", None, valid + rejected)
+    log.add(
+        "validate",
+        f"Validated: {valid} rows passed, {rejected} rows rejected ({detail})",
+        valid + rejected,
+        valid,
+        rejected,
+    )
+    log.flush()
+    if rejected:
+        set_aside = landed.filter(F.col(OUTCOME) != ACCEPTED).withColumnRenamed(OUTCOME, REJECT_REASON)
+        set_aside.withColumn("run_id", F.lit(log.run_id)).write.mode("append").partitionBy(
+            "run_id"
+        ).parquet(targets.quarantine)
+    return valid

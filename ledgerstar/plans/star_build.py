@@ -24,6 +24,7 @@ from ledgerstar.sources.csv_table import REJECT_REASON, parse_table, read_text_t
 
 # A dimension beyond this is refused: its labels belong in the fact.
 MAX_MEMBERS = 100_000
+MEMBER_SCHEMA = "id int, label string"
 
 
 @dataclass(frozen=True)
@@ -39,20 +40,23 @@ class StarTables:
         return self.spark.read.parquet(self.raw_folder)
 
     def members(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/members")
+        schema = f"{MEMBER_SCHEMA}, dim_name string"
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/members").select(
+            "dim_name", "id", "label"
+        )
 
     def dimension(self, table: str) -> DataFrame:
         """Read from its own partition folder, so Spark sizes this dimension alone."""
         d = self.star.dimension(table)
-        return self.spark.read.parquet(f"{self.folder}/members/dim_name={table}").select(
-            F.col("id").cast("int").alias(d.key), F.col("label").alias(d.label)
-        )
+        members = self.spark.read.schema(MEMBER_SCHEMA)
+        return members.parquet(f"{self.folder}/members/dim_name={table}").toDF(d.key, d.label)
 
     def dimensions(self) -> dict[str, DataFrame]:
         return {d.table: self.dimension(d.table) for d in self.star.dimensions}
 
     def fact(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{self.star.fact}")
+        schema = self.star.fact_contract.schema
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{self.star.fact}")
 
     def tables(self) -> dict[str, DataFrame]:
         return {**self.dimensions(), self.star.fact: self.fact()}
@@ -111,7 +115,7 @@ def build_star(
         content = row_fingerprint(raw, [m.source for m in star.members])
         identified = with_ordered_ids(raw, [content.asc_nulls_last()], scratch, star.fact_key)
     else:
-        identified = with_file_order_ids(raw, scratch, star.fact_key)
+        identified = with_file_order_ids(raw, star.fact_key)
     fact = resolve_keys(identified, star, tables.dimensions(), "inner", star.fact_key)
     fact.write.mode("overwrite").parquet(f"{tables.folder}/{star.fact}")
 
