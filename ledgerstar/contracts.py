@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,7 +108,11 @@ def export_ddl(spark: SparkSession, contracts: Sequence[Contract], path: str, *q
     return text
 
 
-def create_if_absent(spark: SparkSession, contract: Contract, path: str, *partition_by: str) -> None:
-    """An empty table with the contract's schema, unless something is at ``path`` already."""
-    empty = spark.createDataFrame([], contract.schema)
-    empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
+def read_or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The table at ``path``, or an empty one with ``schema`` while nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

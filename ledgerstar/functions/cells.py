@@ -46,16 +46,17 @@ def is_missing(cell: Column, data_type: T.DataType) -> Column:
     return cell.isNull()
 
 
-def nan_to_null(cell: Column, data_type: T.DataType) -> Column:
+def nan_to_null(cell: str, data_type: T.DataType) -> str:
+    """SQL for ``cell`` with NaN as NULL."""
     if isinstance(data_type, FLOATING):
-        return F.when(~F.isnan(cell), cell)
+        return f"CASE WHEN NOT isnan({cell}) THEN {cell} END"
     return cell
 
 
-def same_value(cell: Column, data_type: T.DataType) -> Column:
-    """Make values that compare equal print equal: NaN joins NULL and -0.0 joins 0.0."""
+def same_value(cell: str, data_type: T.DataType) -> str:
+    """SQL under which equal values print equal: NaN joins NULL and -0.0 joins 0.0."""
     if isinstance(data_type, FLOATING):
-        return F.when(cell == 0, F.lit(0.0).cast(data_type)).when(~F.isnan(cell), cell)
+        return f"CASE WHEN {cell} = 0 THEN 0.0D WHEN NOT isnan({cell}) THEN {cell} END"
     return cell
 
 
@@ -75,6 +76,6 @@ def parse(text: Column, type_name: str) -> Column:
     return trimmed.try_cast(type_name)
 
 
-def folded(text: Column) -> Column:
-    """Spelling with case and outer blanks ignored."""
-    return F.lower(F.trim(text))
+def folded(cell: str) -> str:
+    """SQL for a spelling with case and outer blanks ignored."""
+    return f"lower(trim({cell}))"

@@ -6,26 +6,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerstar.contracts import exact
-from ledgerstar.functions.cells import nan_to_null
+from ledgerstar.contracts import quoted
+from ledgerstar.functions.cells import nan_to_null, same_value
 
 DELIMITER = "|"
 ESCAPE = "\\"
 NULL_MARK = "\\N"
 
 
-def canonical_cell(cell: Column) -> Column:
-    """Text of a cell in which no delimiter is bare and NULL differs from every text."""
-    text = cell.cast("string")
-    text = F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE + ESCAPE))
-    text = F.replace(text, F.lit(DELIMITER), F.lit(ESCAPE + DELIMITER))
-    return F.coalesce(text, F.lit(NULL_MARK))
+def canonical_cell(cell: str) -> str:
+    """SQL for the text of a cell in which no delimiter is bare and NULL differs from every text."""
+    escape, delimiter = _literal(ESCAPE), _literal(DELIMITER)
+    escaped = f"replace(CAST({cell} AS STRING), {escape}, {_literal(ESCAPE * 2)})"
+    escaped = f"replace({escaped}, {delimiter}, {_literal(ESCAPE + DELIMITER)})"
+    return f"coalesce({escaped}, {_literal(NULL_MARK)})"
+
+
+def canonical_row(cells: Sequence[str]) -> Column:
+    """One text per distinct row, of SQL cells; built as one expression, whatever their number."""
+    texts = ", ".join(canonical_cell(cell) for cell in cells)
+    return F.expr(f"concat_ws({_literal(DELIMITER)}, {texts})")
 
 
 def canonical_text(df: DataFrame, columns: Sequence[str]) -> Column:
-    cells = [nan_to_null(exact(c), df.schema[c].dataType) for c in columns]
-    return F.concat_ws(DELIMITER, *[canonical_cell(c) for c in cells])
+    return canonical_row([nan_to_null(quoted(c), df.schema[c].dataType) for c in columns])
+
+
+def row_identity(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Columns to group by when rows count as equal if ``columns`` are, NULLs and NaNs included.
+
+    A few fixed-width columns are grouped as they are. Text or wide rows shrink to a 16-byte digest
+    first, so that a shuffle does not carry them.
+    """
+    types = [df.schema[c].dataType for c in columns]
+    cells = [same_value(quoted(c), t) for c, t in zip(columns, types, strict=True)]
+    if len(columns) <= 4 and not any(isinstance(t, T.StringType) for t in types):
+        return {f"_cell{i}": F.expr(cell) for i, cell in enumerate(cells)}
+    return {"_digest": F.unhex(F.md5(canonical_row(cells)))}
 
 
 def row_fingerprint(df: DataFrame, columns: Sequence[str], algorithm: str = "md5") -> Column:
@@ -42,3 +61,7 @@ def with_fingerprint(
     df: DataFrame, columns: Sequence[str], name: str = "row_hash", algorithm: str = "md5"
 ) -> DataFrame:
     return df.withColumn(name, row_fingerprint(df, columns, algorithm))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\") + "'"

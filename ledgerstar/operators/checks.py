@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import Contract, ContractError, exact
+from ledgerstar.functions.fingerprint import row_identity
 
 
 def violations(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> DataFrame:
@@ -58,7 +59,10 @@ def _uniqueness(
     df: DataFrame, contract: Contract, key: Sequence[str], rule: str
 ) -> DataFrame:
     """Rows beyond the first of their key; equal keys fold inside each task before the shuffle."""
-    per_key = df.groupBy(*[exact(c) for c in key]).agg(F.count(F.lit(1)).alias("n"))
+    identity = row_identity(df, key)
+    per_key = df.groupBy(*[cell.alias(name) for name, cell in identity.items()]).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return _one_row(per_key.agg(F.sum(F.col("n") - 1)), contract.name, rule, ",".join(key))
 
 

@@ -6,15 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerstar.contracts import exact
-from ledgerstar.functions.cells import folded, is_missing, same_value
-from ledgerstar.functions.fingerprint import canonical_cell
+from ledgerstar.contracts import exact, quoted
+from ledgerstar.functions.cells import FLOATING, folded, is_missing, same_value
+from ledgerstar.functions.fingerprint import canonical_row, row_identity
 
-# Longer values travel as their SHA-256, which has exactly this many characters, so a shuffle of
+# Longer texts travel as their SHA-256, which has exactly this many characters, so a shuffle of
 # distinct long texts carries digests and no shorter plain value can be taken for one.
 _DIGEST_LENGTH = 64
 
+WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def table_shape(df: DataFrame) -> DataFrame:
     """(n_rows, n_columns) as one row."""
@@ -36,8 +39,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             for i, c in enumerate(names)
         ]
     )
-    pairs = [p for i, c in enumerate(names) for p in (F.lit(c), F.col(f"n{i}"))]
-    return counts.select(F.stack(F.lit(len(names)), *pairs).alias("column_name", "n_nulls"))
+    return _unpivot(counts, names, "n_nulls")
 
 
 def distinct_counts(
@@ -52,21 +54,22 @@ def distinct_counts(
     if approximate:
         sketches = df.agg(
             *[
-                F.approx_count_distinct(same_value(exact(c), df.schema[c].dataType)).alias(f"n{i}")
+                F.approx_count_distinct(F.expr(same_value(quoted(c), df.schema[c].dataType))).alias(
+                    f"n{i}"
+                )
                 for i, c in enumerate(names)
             ]
         )
-        pairs = [p for i, c in enumerate(names) for p in (F.lit(c), F.col(f"n{i}"))]
-        return sketches.select(
-            F.stack(F.lit(len(names)), *pairs).alias("column_name", "n_distinct")
-        )
-    values = _stacked(df, names, digest_long=True).distinct()
-    return values.groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+        return _unpivot(sketches, names, "n_distinct")
+    cells, lanes = _cells_by_type(df, names)
+    values = cells.distinct()
+    counts = values.groupBy("column_no").agg(F.count_if(_any_present(lanes)).alias("n_distinct"))
+    return counts.select(_name_of(names), "n_distinct")
 
 
 def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value): every distinct value, a missing one included."""
-    return _stacked(df, columns).distinct()
+    return _as_text(df, columns).distinct()
 
 
 def duplicate_rows(
@@ -74,17 +77,17 @@ def duplicate_rows(
 ) -> DataFrame:
     """(n_rows, n_duplicates): rows after the first of their content, NULLs equal.
 
-    Rows are reduced to a 16-byte digest before the shuffle, and equal digests fold inside each
-    task, so neither wide rows nor one row repeated a billion times makes a large partition.
+    Wide rows are reduced to a 16-byte digest before the shuffle, and equal rows fold inside each
+    task, so neither long text nor one row repeated a billion times makes a large partition.
     Columns in ``fold`` compare without case and outer blanks.
     """
     names = list(columns or df.columns)
-    cells = []
-    for c in names:
-        cell = folded(exact(c)) if c in fold else exact(c)
-        cells.append(canonical_cell(same_value(cell, df.schema[c].dataType)))
-    digest = F.unhex(F.md5(F.concat_ws("|", *cells)))
-    per_row = df.select(digest.alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    if fold:
+        df = df.withColumns({c: F.expr(folded(quoted(c))) for c in fold})
+    identity = row_identity(df, names)
+    per_row = df.groupBy(*[cell.alias(name) for name, cell in identity.items()]).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return per_row.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"),
@@ -100,14 +103,11 @@ def hidden_duplicates(
     rows per (folded, plain) pair, then pairs per folded digest.
     """
     names = list(columns or df.columns)
-    plain, loose = [], []
-    for c in names:
-        cell = same_value(exact(c), df.schema[c].dataType)
-        plain.append(canonical_cell(cell))
-        loose.append(canonical_cell(folded(cell)) if c in fold else plain[-1])
+    plain = [same_value(quoted(c), df.schema[c].dataType) for c in names]
+    loose = [folded(cell) if c in fold else cell for c, cell in zip(names, plain, strict=True)]
     digests = df.select(
-        F.unhex(F.md5(F.concat_ws("|", *loose))).alias("loose"),
-        F.unhex(F.md5(F.concat_ws("|", *plain))).alias("plain"),
+        F.unhex(F.md5(canonical_row(loose))).alias("loose"),
+        F.unhex(F.md5(canonical_row(plain))).alias("plain"),
     )
     per_row = digests.groupBy("loose", "plain").agg(F.count(F.lit(1)).alias("n"))
     per_loose = per_row.groupBy("loose").agg(
@@ -127,12 +127,12 @@ def hidden_duplicates(
 def case_variants(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, folded_value, n_spellings, n_rows) of values written in more than one way."""
     spellings = (
-        _stacked(df, columns)
+        _as_text(df, columns)
         .filter(F.col("value").isNotNull())
-        .groupBy("column_name", folded(F.col("value")).alias("folded_value"), "value")
+        .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    per_value = spellings.groupBy("column_name", "folded_value").agg(
+    per_value = spellings.groupBy("column_name", F.expr(folded("value")).alias("folded_value")).agg(
         F.count(F.lit(1)).alias("n_spellings"), F.sum("n").alias("n_rows")
     )
     return per_value.filter("n_spellings > 1")
@@ -147,15 +147,14 @@ def dimension_candidates(
     df: DataFrame, columns: Sequence[str], max_members: int, max_ratio: float
 ) -> DataFrame:
     """(column_name, n_distinct, distinct_ratio, is_dimension) from counts over the whole table."""
-    stats = _stacked(df, columns, digest_long=True).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    counts = stats.groupBy("column_name").agg(
-        F.count("value").alias("n_distinct"), F.sum("n").alias("n_rows")
+    cells, lanes = _cells_by_type(df, columns)
+    values = cells.groupBy("column_no", *lanes).agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy("column_no").agg(
+        F.count_if(_any_present(lanes)).alias("n_distinct"), F.sum("n").alias("n_rows")
     )
     ratio = F.col("n_distinct") / F.col("n_rows")
     return counts.select(
-        "column_name",
+        _name_of(columns),
         "n_distinct",
         ratio.alias("distinct_ratio"),
         ((F.col("n_distinct") <= max_members) & (ratio <= max_ratio)).alias("is_dimension"),
@@ -168,15 +167,55 @@ def preview(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], n: i
     return df.orderBy(*keys).limit(n).select(*[exact(c) for c in columns])
 
 
-def _stacked(df: DataFrame, columns: Sequence[str], digest_long: bool = False) -> DataFrame:
+def _unpivot(one_row: DataFrame, names: Sequence[str], measure: str) -> DataFrame:
+    """Columns n0, n1, ... of a one-row frame as rows."""
+    pairs = [p for i, c in enumerate(names) for p in (F.lit(c), F.col(f"n{i}"))]
+    return one_row.select(F.stack(F.lit(len(names)), *pairs).alias("column_name", measure))
+
+
+def _as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value) with one row per cell and values as text."""
-    pairs: list[Column] = []
+    cells = []
     for c in columns:
-        value = same_value(exact(c), df.schema[c].dataType).cast("string")
-        if digest_long:
-            value = F.when(F.length(value) >= _DIGEST_LENGTH, F.sha2(value, 256)).otherwise(value)
-        pairs += [F.lit(c), value]
-    return df.select(F.stack(F.lit(len(columns)), *pairs).alias("column_name", "value"))
+        cells += [F.lit(c), F.expr(f"CAST({same_value(quoted(c), df.schema[c].dataType)} AS STRING)")]
+    return df.select(F.stack(F.lit(len(columns)), *cells).alias("column_name", "value"))
+
+
+def _lane(column: str, data_type: T.DataType) -> tuple[str, str]:
+    """Name and SQL of the typed column that carries a cell's value unchanged, for grouping."""
+    cell = quoted(column)
+    if isinstance(data_type, WHOLE_NUMBERS):
+        return "whole", f"CAST({cell} AS BIGINT)"
+    if isinstance(data_type, FLOATING):
+        return "real", f"CAST({same_value(cell, data_type)} AS DOUBLE)"
+    if isinstance(data_type, (T.DateType, T.TimestampNTZType)):
+        return "moment", f"CAST({cell} AS TIMESTAMP_NTZ)"
+    text = f"CAST({cell} AS STRING)"
+    return "text", f"CASE WHEN length({text}) < {_DIGEST_LENGTH} THEN {text} ELSE sha2({text}, 256) END"
+
+
+def _cells_by_type(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """(column_no, lanes...) with one row per cell, its value in the lane of its type.
+
+    Numbers and dates stay eight bytes wide: printing them first would cost more than grouping.
+    """
+    placed = [_lane(c, df.schema[c].dataType) for c in columns]
+    lanes = list(dict.fromkeys(lane for lane, _ in placed))
+    cells = []
+    for i, (lane, value) in enumerate(placed):
+        cells.append(str(i))
+        cells += [value if lane == other else "NULL" for other in lanes]
+    stack = f"stack({len(placed)}, {', '.join(cells)}) AS (column_no, {', '.join(lanes)})"
+    return df.selectExpr(stack), lanes
+
+
+def _any_present(lanes: Sequence[str]) -> Column:
+    return F.expr(" OR ".join(f"{lane} IS NOT NULL" for lane in lanes))
+
+
+def _name_of(columns: Sequence[str]) -> Column:
+    names = F.array(*[F.lit(c) for c in columns])
+    return F.element_at(names, F.col("column_no") + 1).alias("column_name")
 
 
 def _as_date(df: DataFrame, column: str) -> Column:

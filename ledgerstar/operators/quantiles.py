@@ -1,20 +1,21 @@
 """Exact numeric summaries of columns of any length.
 
 Spark's exact ``percentile`` gathers every distinct value of a column in one task. Here the wanted
-order statistics are closed in on: each pass over the table sketches the values inside the open
-bracket that is known to hold a rank, counts around it, and keeps a bracket some hundred times
-smaller. Only when the counts prove that a bracket holds few values are these sorted. The counts,
-not the sketch's error bound, decide, so the result is exact. Nothing is shuffled but one row per
-task, and a value that fills a third of the column is found as a bracket's end and never collected.
+order statistics are closed in on instead. Each pass counts the values of a bracket known to hold a
+rank in a few thousand equally wide buckets, folded inside each task, and the bucket that the
+running count places the rank in becomes the next bracket. Buckets know their least and greatest
+value, so outliers cost one pass and a value that fills a third of the column ends its search as
+soon as a bucket holds nothing else. A bracket whose count proves it short is read value by value.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import exact
@@ -26,50 +27,38 @@ SUMMARY_SCHEMA = (
     "q25 double, q50 double, q75 double, max double"
 )
 
-# Values of one bracket that may be sorted in one task.
+BUCKETS = 4096
+# Values of one bracket that may meet in one task.
 SORTABLE_VALUES = 100_000
 
-_POINTS = 200
-_FRACTIONS = [i / _POINTS for i in range(_POINTS + 1)]
-_ACCURACY = 2_000
+Rank = tuple[str, int]
 
 
 @dataclass(frozen=True)
 class Bracket:
-    """Values strictly between two values of a column; ``None`` is unbounded."""
+    """The ``n`` values of a column from ``low`` to ``high``; ``below`` others come before them."""
 
     column: str
-    low: float | None = None
-    high: float | None = None
-
-    def inside(self, value: Column) -> Column:
-        return F.when(self._above_low(value) & self._below_high(value), value)
-
-    def _above_low(self, value: Column) -> Column:
-        return F.lit(True) if self.low is None else value > self.low
-
-    def _below_high(self, value: Column) -> Column:
-        return F.lit(True) if self.high is None else value < self.high
-
-    def counts(self, value: Column) -> list[Column]:
-        """Rows below the low end, on it, strictly inside, and on the high end."""
-        none = F.lit(0).cast("bigint")
-        low, high = self.low, self.high
-        return [
-            none if low is None else F.count_if(value < low),
-            none if low is None else F.count_if(value == low),
-            F.count(self.inside(value)),
-            none if high is None else F.count_if(value == high),
-        ]
-
-
-@dataclass(frozen=True)
-class Search:
-    """One rank being looked for: the bracket to count next, inside one known to hold the rank."""
-
-    rank: int
-    bracket: Bracket
-    within: Bracket
+    low: float
+    high: float
+    n: int
+    below: int = 0
+
+    def value(self) -> Column:
+        return F.when(exact(self.column).between(self.low, self.high), exact(self.column))
+
+    def bucket(self) -> Column:
+        """Order-keeping bucket number; a range too wide for a double is halved first."""
+        low, high = max(self.low, -sys.float_info.max), min(self.high, sys.float_info.max)
+        scale = 1.0 if math.isfinite(high - low) else 0.5
+        value = exact(self.column)
+        place = (value * scale - low * scale) / (high * scale - low * scale) * BUCKETS
+        return (
+            F.when(value == float("-inf"), F.lit(-1))
+            .when(value == float("inf"), F.lit(BUCKETS + 1))
+            .otherwise(F.floor(place))
+            .cast("double")
+        )
 
 
 def numeric_summary(
@@ -77,114 +66,81 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample deviation, min, linear-interpolated quartiles and max per column."""
     values = df.select(*[_number(df, c).alias(c) for c in columns])
-    moments = values.agg(
-        *[
-            F.struct(
-                F.count(exact(c)),
-                F.avg(exact(c)),
-                F.stddev_samp(exact(c)),
-                F.min(exact(c)),
-                F.max(exact(c)),
-            ).alias(c)
-            for c in columns
-        ]
-    ).first()
-    stats = {c: tuple(moments[c]) for c in columns}
-    wanted = {
-        (c, r) for c in columns for p in QUARTILES for r in _ranks(p, stats[c][0])
-    }
-    found = order_statistics(values, wanted, {c: stats[c][0] for c in columns}, sortable)
-    rows = []
-    for c in columns:
-        n, mean, std, low, high = stats[c]
-        quartiles = [_interpolate(p, n, c, found) for p in QUARTILES]
-        rows.append((c, n, mean, std, low, *quartiles, high))
+    measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    flat = values.agg(*[m(exact(c)).alias(f"m{i}") for i, (c, m) in enumerate(_pairs(columns, measures))])
+    row = tuple(flat.first())
+    stats = {c: row[i * len(measures) : (i + 1) * len(measures)] for i, c in enumerate(columns)}
+    wholes = {c: Bracket(c, low, high, n) for c, (n, _, _, low, high) in stats.items() if n}
+    wanted = {(c, r) for c in wholes for p in QUARTILES for r in _ranks(p, wholes[c].n)}
+    found = order_statistics(values, wanted, wholes, sortable)
+    rows = [
+        (c, n, mean, std, low, *[_interpolate(p, n, c, found) for p in QUARTILES], high)
+        for c, (n, mean, std, low, high) in stats.items()
+    ]
     return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
 
 
 def order_statistics(
     values: DataFrame,
-    wanted: set[tuple[str, int]],
-    sizes: dict[str, int],
+    wanted: set[Rank],
+    wholes: dict[str, Bracket],
     sortable: int = SORTABLE_VALUES,
-) -> dict[tuple[str, int], float]:
+) -> dict[Rank, float]:
     """Value at each (column, zero-based rank) of the columns' non-missing values."""
-    found: dict[tuple[str, int], float] = {}
-    sort: dict[tuple[str, int], tuple[Bracket, int]] = {}
-    searches = []
-    for column, rank in wanted:
-        whole = Bracket(column)
-        if sizes[column] <= sortable:
-            sort[column, rank] = (whole, rank)
-        else:
-            searches.append(Search(rank, whole, whole))
-    while searches:
-        searches = _narrow(values, searches, found, sort, sortable)
-    _sort_brackets(values, found, sort)
+    found: dict[Rank, float] = {}
+    held = {rank: wholes[rank[0]] for rank in wanted}
+    while True:
+        for rank, b in list(held.items()):
+            if b.low == b.high:
+                found[rank] = held.pop(rank).low
+        wide = {rank: b for rank, b in held.items() if b.n > sortable}
+        if not wide:
+            break
+        held.update(_place(values, wide, by_value=False))
+    found.update({rank: b.low for rank, b in _place(values, held, by_value=True).items()})
     return found
 
 
-def _narrow(values, searches, found, sort, sortable) -> list[Search]:
-    """One pass over the table for all searches; returns those that need another one."""
-    brackets = list({s.bracket for s in searches})
-    measured = values.agg(
-        *[
-            F.struct(
-                *b.counts(exact(b.column)),
-                F.percentile_approx(b.inside(exact(b.column)), _FRACTIONS, _ACCURACY),
-            ).alias(f"b{i}")
-            for i, b in enumerate(brackets)
-        ]
-    ).first()
-    measures = {b: tuple(measured[f"b{i}"]) for i, b in enumerate(brackets)}
-    again = []
-    for s in searches:
-        below, on_low, inside, on_high, points = measures[s.bracket]
-        b, name = s.bracket, (s.bracket.column, s.rank)
-        place = s.rank - below - on_low
-        if s.rank < below:
-            again.append(_retry(s, Bracket(b.column, s.within.low, b.low)))
-        elif place < 0:
-            found[name] = b.low
-        elif place < inside and inside <= sortable:
-            sort[name] = (b, place)
-        elif place < inside:
-            again.append(Search(s.rank, _closer(b, place / inside, points), b))
-        elif place < inside + on_high:
-            found[name] = b.high
-        else:
-            again.append(_retry(s, Bracket(b.column, b.high, s.within.high)))
-    return again
-
-
-def _retry(search: Search, bracket: Bracket) -> Search:
-    """The sketch missed: the rank lies in the rest of the enclosing bracket."""
-    return Search(search.rank, bracket, bracket)
-
-
-def _closer(bracket: Bracket, fraction: float, points: list[float]) -> Bracket:
-    """Sketched values around ``fraction``; they lie inside ``bracket``, so it strictly shrinks."""
-    at = fraction * _POINTS
-    low, high = points[max(math.floor(at) - 1, 0)], points[min(math.ceil(at) + 1, _POINTS)]
-    return Bracket(bracket.column, low, high)
-
-
-def _sort_brackets(values, found, sort) -> None:
-    """Read ranks off brackets whose counts prove them short."""
-    if not sort:
-        return
-    brackets = list({bracket for bracket, _ in sort.values()})
-    names = {b: f"b{i}" for i, b in enumerate(brackets)}
-    lists = values.agg(
-        *[F.sort_array(F.collect_list(b.inside(exact(b.column)))).alias(names[b]) for b in brackets]
+def _place(values: DataFrame, held: dict[Rank, Bracket], by_value: bool) -> dict[Rank, Bracket]:
+    """The bucket, or with ``by_value`` the value, of its bracket that each rank falls in.
+
+    Only one running sum per bracket runs in one task, over its buckets or its few values.
+    """
+    if not held:
+        return {}
+    brackets = list(dict.fromkeys(held.values()))
+    cells = [
+        cell
+        for i, b in enumerate(brackets)
+        for cell in (F.lit(i), b.value(), b.value() if by_value else b.bucket())
+    ]
+    stacked = values.select(F.stack(F.lit(len(brackets)), *cells).alias("bracket", "value", "bucket"))
+    buckets = (
+        stacked.filter(F.col("value").isNotNull())
+        .groupBy("bracket", "bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    picked = lists.select(
-        *[
-            F.element_at(names[bracket], place + 1).alias(f"v{i}")
-            for i, (bracket, place) in enumerate(sort.values())
-        ]
-    ).first()
-    found.update(zip(sort, picked, strict=True))
+    up_to = Window.partitionBy("bracket").orderBy(F.col("bucket").asc_nulls_last())
+    running = buckets.withColumn("below", F.sum("n").over(up_to) - F.col("n"))
+    hits = [
+        (F.col("bracket") == i) & F.lit(place).between(F.col("below"), F.col("below") + F.col("n") - 1)
+        for i, place in {(brackets.index(b), rank[1] - b.below) for rank, b in held.items()}
+    ]
+    any_hit = hits[0]
+    for hit in hits[1:]:
+        any_hit = any_hit | hit
+    rows = running.filter(any_hit).collect()  # at most one per rank
+    return {rank: _containing(rows, brackets.index(b), b, rank[1]) for rank, b in held.items()}
+
+
+def _containing(rows, index: int, outer: Bracket, rank: int) -> Bracket:
+    place = rank - outer.below
+    row = next(r for r in rows if r.bracket == index and r.below <= place < r.below + r.n)
+    return Bracket(outer.column, row.low, row.high, row.n, outer.below + row.below)
+
+
+def _pairs(columns, measures):
+    return [(c, m) for c in columns for m in measures]
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -193,14 +149,12 @@ def _number(df: DataFrame, column: str) -> Column:
 
 
 def _ranks(fraction: float, n: int) -> set[int]:
-    if n == 0:
-        return set()
     at = fraction * (n - 1)
     return {math.floor(at), math.ceil(at)}
 
 
-def _interpolate(fraction: float, n: int, column: str, found) -> float | None:
-    if n == 0:
+def _interpolate(fraction: float, n: int, column: str, found: dict[Rank, float]) -> float | None:
+    if not n:
         return None
     at = fraction * (n - 1)
     low, high = found[column, math.floor(at)], found[column, math.ceil(at)]

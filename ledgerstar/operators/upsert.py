@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.contracts import Contract, create_if_absent, exact, quoted
+from ledgerstar.contracts import Contract, exact, quoted, read_or_empty
 
 # Keys that may be broadcast: a 32-character key costs under 100 bytes, so this stays below 100 MB.
 MAX_BROADCAST_KEYS = 1_000_000
@@ -63,6 +63,7 @@ def insert_if_absent(
     path: str,
     contract: Contract,
     partition_by: str | None = None,
+    batch_rows: int | None = None,
 ) -> LoadResult:
     """Append the rows of ``batch`` whose content key the table at ``path`` lacks.
 
@@ -72,9 +73,10 @@ def insert_if_absent(
     """
     (key,) = contract.key
     layout = [partition_by] if partition_by else []
-    create_if_absent(spark, contract, path, *layout)
-    target = spark.read.schema(contract.schema).parquet(path)
-    rows_before, batch_rows = target.count(), batch.count()
+    target = read_or_empty(spark, contract.schema, path)
+    rows_before = target.count()
+    if batch_rows is None:
+        batch_rows = batch.count()
     batch = contract.project(batch)
     stored = _touched(target, batch, partition_by) if partition_by else target
     rows = absent_from(batch, stored, key, batch_rows)
@@ -118,25 +120,24 @@ def replace_on_key(
     """
     keys = list(contract.key)
     stored_schema = T.StructType(
-        [*contract.schema, T.StructField(N_BUCKETS, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())]
+        [*contract.schema, *[T.StructField(c, T.IntegerType()) for c in (N_BUCKETS, BUCKET)]]
     )
-    spark.createDataFrame([], stored_schema).write.mode("ignore").partitionBy(
-        N_BUCKETS, BUCKET
-    ).parquet(path)
-    target = spark.read.schema(stored_schema).parquet(path)
+    target = read_or_empty(spark, stored_schema, path)
     other = target.filter(F.col(N_BUCKETS) != buckets).select(N_BUCKETS).first()
     if other:
         raise ValueError(f"{path} was laid out with {other[0]} buckets, not {buckets}")
     rows_before, batch_rows = target.count(), batch.count()
 
-    winners = latest_per_key(contract.project(batch), keys, order_by).select(
-        *[exact(c) for c in contract.columns],
+    rows = contract.project(batch)
+    bucket = F.pmod(F.xxhash64(*[exact(k) for k in keys]), F.lit(buckets)).cast("int")
+    touched = [r[0] for r in rows.select(bucket).distinct().collect()]  # at most ``buckets``
+    kept = target.filter(F.col(BUCKET).isin(touched)).withColumn(_FROM_BATCH, F.lit(False))
+    winners = latest_per_key(rows, keys, order_by).select(
+        "*",
         F.lit(buckets).alias(N_BUCKETS),
-        F.pmod(F.xxhash64(*[exact(k) for k in keys]), F.lit(buckets)).cast("int").alias(BUCKET),
+        bucket.alias(BUCKET),
         F.lit(True).alias(_FROM_BATCH),
     )
-    touched = [r[0] for r in winners.select(BUCKET).distinct().collect()]  # at most ``buckets``
-    kept = target.filter(F.col(BUCKET).isin(touched)).withColumn(_FROM_BATCH, F.lit(False))
     # One shuffle by bucket serves the choice per key and the write of whole buckets.
     by_bucket = kept.unionByName(winners).repartition(BUCKET)
     merged = latest_per_key(by_bucket, [N_BUCKETS, BUCKET, *keys], [_FROM_BATCH]).drop(_FROM_BATCH)

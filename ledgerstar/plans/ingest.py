@@ -84,7 +84,7 @@ def run_ingest(
         landed = scratch.store(landing(text, raw, rules, key), "landing", OUTCOME)
         valid = _report_gate(landed, source, targets, log)
         batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD)
-        result = insert_if_absent(spark, batch, targets.table, stored, partition_by)
+        result = insert_if_absent(spark, batch, targets.table, stored, partition_by, valid)
     except Exception as error:
         log.fail("load", error)
         raise
