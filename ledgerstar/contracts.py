@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstar.session import small_frame
+
 
 class ContractError(ValueError):
     """A table does not satisfy its contract; nothing was written."""
@@ -104,7 +106,7 @@ def quoted(name: str) -> str:
 def export_ddl(spark: SparkSession, contracts: Sequence[Contract], path: str, *queries: str) -> str:
     """Write the DDL of ``contracts``, and any report queries, as one script and return its text."""
     text = "\n\n".join([c.ddl() for c in contracts] + [q.strip().rstrip(";") + ";" for q in queries])
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    small_frame(spark, [(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return text
 
 
@@ -115,4 +117,4 @@ def read_or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataF
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return small_frame(spark, [], schema)

@@ -8,6 +8,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerstar.session import small_frame
+
 AUDIT_SCHEMA = (
     "run_id string, ts timestamp, step string, rows_in bigint, rows_out bigint, "
     "rejected bigint, status string, message string"
@@ -40,7 +42,7 @@ class RunLog:
         self.flush()
 
     def flush(self) -> None:
-        entries = self.spark.createDataFrame(self._held, AUDIT_SCHEMA).coalesce(1)
+        entries = small_frame(self.spark, self._held, AUDIT_SCHEMA).coalesce(1)
         entries.write.mode("append").parquet(self.path)
         self._held = []
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerstar.contracts import exact
 from ledgerstar.functions.cells import is_missing
+from ledgerstar.session import small_frame
 
 QUARTILES = (0.25, 0.5, 0.75)
 SUMMARY_SCHEMA = (
@@ -77,7 +78,7 @@ def numeric_summary(
         (c, n, mean, std, low, *[_interpolate(p, n, c, found) for p in QUARTILES], high)
         for c, (n, mean, std, low, high) in stats.items()
     ]
-    return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+    return small_frame(df.sparkSession, rows, SUMMARY_SCHEMA)
 
 
 def order_statistics(

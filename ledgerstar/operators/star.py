@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import Contract, ContractError, Field, Reference, exact
+from ledgerstar.session import small_frame
 
 
 @dataclass(frozen=True)
@@ -180,7 +181,7 @@ def member_expectations(
     spark: SparkSession, members: DataFrame, expected: Mapping[str, int]
 ) -> DataFrame:
     """(dim_name, n_members, expected, status) with OK or MISMATCH, also for a missing dimension."""
-    wanted = spark.createDataFrame(sorted(expected.items()), "dim_name string, expected bigint")
+    wanted = small_frame(spark, sorted(expected.items()), "dim_name string, expected bigint")
     found = members.groupBy("dim_name").agg(F.count(F.lit(1)).alias("n_members"))
     n_members = F.coalesce("n_members", F.lit(0))
     return wanted.join(found, "dim_name", "left").select(

@@ -53,7 +53,7 @@ from ledgerstar.plans.order_star import (
     flat_orders,
     order_star,
 )
-from ledgerstar.session import Scratch
+from ledgerstar.session import Scratch, small_frame
 from ledgerstar.sources.csv_table import parse_table, read_text_table
 from ledgerstar.sources.tables import table
 
@@ -237,8 +237,8 @@ def ingest_rerun(spark, folder):
     target = scratch.path("target")
     runs = [insert_if_absent(spark, batch, target, STORED_DOCUMENTS) for _ in range(2)]
     rows = [(i, r.batch_rows, r.rows_before, r.rows_after) for i, r in enumerate(runs, start=1)]
-    return spark.createDataFrame(
-        rows, "run int, batch_rows bigint, rows_before bigint, rows_after bigint"
+    return small_frame(
+        spark, rows, "run int, batch_rows bigint, rows_before bigint, rows_after bigint"
     )
 
 

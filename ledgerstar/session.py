@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -35,6 +38,13 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, without a job or a Python worker."""
+    fields = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns), fields)
+
+
 class Scratch:
     """A fresh folder for tables that cut lineage, below the cluster's checkpoint folder.
 
