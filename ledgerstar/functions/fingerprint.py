@@ -15,23 +15,29 @@ DELIMITER = "|"
 ESCAPE = "\\"
 NULL_MARK = "\\N"
 
+# Types whose text holds neither the delimiter nor the escape.
+UNESCAPED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
-def canonical_cell(cell: str) -> str:
+
+def canonical_cell(cell: str, data_type: T.DataType) -> str:
     """SQL for the text of a cell in which no delimiter is bare and NULL differs from every text."""
-    escape, delimiter = _literal(ESCAPE), _literal(DELIMITER)
-    escaped = f"replace(CAST({cell} AS STRING), {escape}, {_literal(ESCAPE * 2)})"
-    escaped = f"replace({escaped}, {delimiter}, {_literal(ESCAPE + DELIMITER)})"
-    return f"coalesce({escaped}, {_literal(NULL_MARK)})"
+    text = f"CAST({cell} AS STRING)"
+    if not isinstance(data_type, UNESCAPED):
+        text = f"replace({text}, {_literal(ESCAPE)}, {_literal(ESCAPE * 2)})"
+        text = f"replace({text}, {_literal(DELIMITER)}, {_literal(ESCAPE + DELIMITER)})"
+    return f"coalesce({text}, {_literal(NULL_MARK)})"
 
 
-def canonical_row(cells: Sequence[str]) -> Column:
-    """One text per distinct row, of SQL cells; built as one expression, whatever their number."""
-    texts = ", ".join(canonical_cell(cell) for cell in cells)
+def canonical_row(cells: Sequence[str], types: Sequence[T.DataType]) -> Column:
+    """One text per distinct row of SQL cells, built as one expression however many there are."""
+    texts = ", ".join(canonical_cell(c, t) for c, t in zip(cells, types, strict=True))
     return F.expr(f"concat_ws({_literal(DELIMITER)}, {texts})")
 
 
 def canonical_text(df: DataFrame, columns: Sequence[str]) -> Column:
-    return canonical_row([nan_to_null(quoted(c), df.schema[c].dataType) for c in columns])
+    types = [df.schema[c].dataType for c in columns]
+    cells = [nan_to_null(quoted(c), t) for c, t in zip(columns, types, strict=True)]
+    return canonical_row(cells, types)
 
 
 def row_identity(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
@@ -44,7 +50,7 @@ def row_identity(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     cells = [same_value(quoted(c), t) for c, t in zip(columns, types, strict=True)]
     if len(columns) <= 4 and not any(isinstance(t, T.StringType) for t in types):
         return {f"_cell{i}": F.expr(cell) for i, cell in enumerate(cells)}
-    return {"_digest": F.unhex(F.md5(canonical_row(cells)))}
+    return {"_digest": F.unhex(F.md5(canonical_row(cells, types)))}
 
 
 def row_fingerprint(df: DataFrame, columns: Sequence[str], algorithm: str = "md5") -> Column:

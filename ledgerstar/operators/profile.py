@@ -103,11 +103,12 @@ def hidden_duplicates(
     rows per (folded, plain) pair, then pairs per folded digest.
     """
     names = list(columns or df.columns)
-    plain = [same_value(quoted(c), df.schema[c].dataType) for c in names]
+    types = [df.schema[c].dataType for c in names]
+    plain = [same_value(quoted(c), t) for c, t in zip(names, types, strict=True)]
     loose = [folded(cell) if c in fold else cell for c, cell in zip(names, plain, strict=True)]
     digests = df.select(
-        F.unhex(F.md5(canonical_row(loose))).alias("loose"),
-        F.unhex(F.md5(canonical_row(plain))).alias("plain"),
+        F.unhex(F.md5(canonical_row(loose, types))).alias("loose"),
+        F.unhex(F.md5(canonical_row(plain, types))).alias("plain"),
     )
     per_row = digests.groupBy("loose", "plain").agg(F.count(F.lit(1)).alias("n"))
     per_loose = per_row.groupBy("loose").agg(

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import Contract, ContractError, Field, Reference, exact
-from ledgerstar.session import small_frame
+from ledgerstar.operators.ids import with_ordered_ids
+from ledgerstar.session import Scratch, small_frame
+
+# A dimension within both bounds takes less than 200 MB in an executor as a broadcast table.
+MAX_BROADCAST_MEMBERS = 1_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -85,34 +90,62 @@ def label_counts(raw: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     return stacked.groupBy("dim_name", "label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def check_labels(labels: DataFrame, max_members: int) -> None:
-    """Refuse a star before any write: a missing label has no member, too many are no dimension."""
-    per_dim = labels.groupBy("dim_name").agg(
+@dataclass(frozen=True)
+class LabelSize:
+    """What a dimension will hold, measured over its distinct labels."""
+
+    members: int
+    label_bytes: int
+    rows_without: int
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.members <= MAX_BROADCAST_MEMBERS and self.label_bytes <= MAX_BROADCAST_BYTES
+
+
+def label_sizes(labels: DataFrame) -> dict[str, LabelSize]:
+    """Size per dimension, from ``label_counts``."""
+    missing = F.when(F.col("label").isNull(), F.col("n_rows"))
+    sizes = labels.groupBy("dim_name").agg(
         F.count("label").alias("members"),
-        F.sum(F.when(F.col("label").isNull(), F.col("n_rows")).otherwise(0)).alias("missing"),
+        F.coalesce(F.sum(F.octet_length("label")), F.lit(0)).alias("label_bytes"),
+        F.coalesce(F.sum(missing), F.lit(0)).alias("rows_without"),
     )
-    for row in per_dim.collect():  # one row per dimension
-        if row.missing:
-            raise ContractError(f"{row.dim_name}: {row.missing} rows have no label")
-        if row.members > max_members:
+    rows = sizes.collect()  # one row per dimension
+    return {r.dim_name: LabelSize(r.members, r.label_bytes, r.rows_without) for r in rows}
+
+
+def check_labels(sizes: Mapping[str, LabelSize], max_members: int | None = None) -> None:
+    """Refuse a star before any write: a missing label has no member to refer to.
+
+    ``max_members`` also refuses columns with more labels than a dimension is meant to have.
+    """
+    for name, size in sizes.items():
+        if size.rows_without:
+            raise ContractError(f"{name}: {size.rows_without} rows have no label")
+        if max_members is not None and size.members > max_members:
             raise ContractError(
-                f"{row.dim_name}: {row.members} labels, more than {max_members}; "
+                f"{name}: {size.members} labels, more than {max_members}; "
                 "keep this column as an attribute of the fact"
             )
 
 
 def number_members(labels: DataFrame) -> DataFrame:
-    """(dim_name, id, label): ids 1..n per dimension in label order.
+    """(dim_name, id, label): ids 1..n per dimension in label order, for few labels.
 
-    The window runs per dimension over distinct labels whose number ``check_labels`` bounds.
+    One task numbers one dimension's distinct labels; ``number_many_members`` has no such task.
     """
     in_order = Window.partitionBy("dim_name").orderBy(F.col("label").asc_nulls_last())
     return labels.select("dim_name", F.row_number().over(in_order).alias("id"), "label")
 
 
-def member_table(members: DataFrame, dimension: Dimension) -> DataFrame:
-    return members.filter(F.col("dim_name") == dimension.table).select(
-        F.col("id").cast("int").alias(dimension.key), F.col("label").alias(dimension.label)
+def number_many_members(labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same for any number of labels in a written table: sort them all, number by place."""
+    order = [F.col("dim_name").asc_nulls_last(), F.col("label").asc_nulls_last()]
+    placed = scratch.store(with_ordered_ids(labels, order, scratch, "place"), "placed")
+    starts = placed.groupBy("dim_name").agg(F.min("place").alias("start"))  # one row per dimension
+    return placed.join(F.broadcast(starts), "dim_name", "inner").select(
+        "dim_name", (F.col("place") - F.col("start") + 1).cast("int").alias("id"), "label"
     )
 
 
@@ -121,8 +154,8 @@ def resolve_keys(
 ) -> DataFrame:
     """Fact columns with each label replaced by its key; ``keep`` passes raw columns through.
 
-    No join is hinted. Dimensions read from files are broadcast while Spark's size threshold admits
-    them, which keeps the whole chain in the scan's stage, and are shuffled beyond it.
+    Dimensions that come with a broadcast hint, or that Spark's own size threshold admits, keep the
+    chain of joins in the scan's stage. Others are joined by shuffle, where AQE splits hot labels.
     """
     out = raw
     for i, d in enumerate(star.dimensions):

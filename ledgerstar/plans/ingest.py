@@ -64,24 +64,37 @@ def run_ingest(
     rules: Sequence[Rule],
     multi_line: bool = False,
     partition_by: str | None = None,
-    scratch: Scratch | None = None,
 ) -> LoadResult:
-    """Load the accepted rows of ``source`` that ``targets.table`` lacks; the rest is set aside.
-
-    The source is parsed once. Counts, quarantine and load read the landed table, so they describe
-    the same rows even if the source changes meanwhile or a task is retried.
-    """
+    """Load the accepted rows of ``source`` that ``targets.table`` lacks; the rest is set aside."""
     log = RunLog(spark, targets.audit)
-    (key,) = stored.key
     try:
         text = read_text_table(spark, source, raw, multi_line)
     except (SourceError, ContractError) as error:
         log.fail("fetch" if isinstance(error, SourceError) else "validate", error)
         raise
-    own_scratch = scratch is None
-    scratch = scratch or Scratch(spark)
+    return load_text(text, str(source), targets, raw, stored, rules, log, partition_by)
+
+
+def load_text(
+    text: DataFrame,
+    source: str,
+    targets: Targets,
+    raw: Contract,
+    stored: Contract,
+    rules: Sequence[Rule],
+    log: RunLog,
+    partition_by: str | None = None,
+) -> LoadResult:
+    """Gate and load rows read as text.
+
+    The source is parsed once. Counts, quarantine and load read the landed table, so they describe
+    the same rows even if the source changes meanwhile or a task is retried.
+    """
+    spark = text.sparkSession
+    scratch = Scratch(spark)
+    (key,) = stored.key
     try:
-        landed = scratch.store(landing(text, raw, rules, key), "landing", OUTCOME)
+        landed = scratch.store(landing(text, raw, rules, key), "landing")
         valid = _report_gate(landed, source, targets, log)
         batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD)
         result = insert_if_absent(spark, batch, targets.table, stored, partition_by, valid)
@@ -89,8 +102,7 @@ def run_ingest(
         log.fail("load", error)
         raise
     finally:
-        if own_scratch:
-            scratch.drop()
+        scratch.drop()
     log.add(
         "load",
         f"Loaded: {result.rows_before} rows before, {result.rows_after} rows after "
@@ -103,9 +115,7 @@ def run_ingest(
     return result
 
 
-def _report_gate(
-    landed: DataFrame, source: str | list[str], targets: Targets, log: RunLog
-) -> int:
+def _report_gate(landed: DataFrame, source: str, targets: Targets, log: RunLog) -> int:
     """Log what the gate let through, append the rest to the quarantine, return the valid count."""
     per_outcome = landed.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
     counts = {r[OUTCOME]: r.n for r in per_outcome.collect()}  # one row per reason
@@ -123,7 +133,8 @@ def _report_gate(
     log.flush()
     if rejected:
         set_aside = landed.filter(F.col(OUTCOME) != ACCEPTED).withColumnRenamed(OUTCOME, REJECT_REASON)
-        set_aside.withColumn("run_id", F.lit(log.run_id)).write.mode("append").partitionBy(
-            "run_id"
-        ).parquet(targets.quarantine)
+        # A run that is repeated under its id replaces its own quarantine and no other.
+        set_aside.withColumn("run_id", F.lit(log.run_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("run_id").parquet(targets.quarantine)
     return valid

@@ -6,14 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerstar.contracts import Contract, ContractError, exact
+from ledgerstar.contracts import Contract, ContractError, exact, read_or_empty
 from ledgerstar.functions.fingerprint import row_fingerprint
 from ledgerstar.operators.ids import with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import (
     Star,
     check_labels,
     label_counts,
+    label_sizes,
+    number_many_members,
     number_members,
     reconcile,
     resolve_keys,
@@ -22,8 +25,6 @@ from ledgerstar.operators.star import (
 from ledgerstar.session import Scratch
 from ledgerstar.sources.csv_table import REJECT_REASON, parse_table, read_text_table
 
-# A dimension beyond this is refused: its labels belong in the fact.
-MAX_MEMBERS = 100_000
 MEMBER_SCHEMA = "id int, label string"
 
 
@@ -48,8 +49,9 @@ class StarTables:
     def dimension(self, table: str) -> DataFrame:
         """Read from its own partition folder, so Spark sizes this dimension alone."""
         d = self.star.dimension(table)
-        members = self.spark.read.schema(MEMBER_SCHEMA)
-        return members.parquet(f"{self.folder}/members/dim_name={table}").toDF(d.key, d.label)
+        schema = T.DataType.fromDDL(MEMBER_SCHEMA)
+        folder = f"{self.folder}/members/dim_name={table}"
+        return read_or_empty(self.spark, schema, folder).toDF(d.key, d.label)
 
     def dimensions(self) -> dict[str, DataFrame]:
         return {d.table: self.dimension(d.table) for d in self.star.dimensions}
@@ -92,7 +94,7 @@ def build_star(
     folder: str,
     members: DataFrame | None = None,
     ids_by_content: bool = False,
-    max_members: int = MAX_MEMBERS,
+    max_members: int | None = None,
 ) -> StarTables:
     """Build every table of ``star`` from a written raw table; a rebuild replaces them all.
 
@@ -102,29 +104,37 @@ def build_star(
     how the raw table is cut into files. ``members`` takes dimensions numbered elsewhere.
     """
     tables = StarTables(spark, star, folder.rstrip("/"), raw_folder)
-    scratch = Scratch(spark)
     raw = spark.read.parquet(raw_folder)
-    labels = scratch.store(label_counts(raw, star.dimensions), "labels")
-    check_labels(labels, max_members)
-    if members is not None:
-        _require_members(labels, members)
-    numbered = members if members is not None else number_members(labels)
-    numbered.write.mode("overwrite").partitionBy("dim_name").parquet(f"{tables.folder}/members")
-
-    if ids_by_content:
-        content = row_fingerprint(raw, [m.source for m in star.members])
-        identified = with_ordered_ids(raw, [content.asc_nulls_last()], scratch, star.fact_key)
-    else:
-        identified = with_file_order_ids(raw, star.fact_key)
-    fact = resolve_keys(identified, star, tables.dimensions(), "inner", star.fact_key)
-    fact.write.mode("overwrite").parquet(f"{tables.folder}/{star.fact}")
-
+    scratch = Scratch(spark)
+    try:
+        labels = scratch.store(label_counts(raw, star.dimensions), "labels")
+        sizes = label_sizes(labels)
+        check_labels(sizes, max_members)
+        if members is not None:
+            _require_members(labels, members)
+            sizes = label_sizes(members.withColumn("n_rows", F.lit(0)))
+        elif all(size.broadcastable for size in sizes.values()):
+            members = number_members(labels)
+        else:
+            members = number_many_members(labels, scratch)
+        members.write.mode("overwrite").partitionBy("dim_name").parquet(f"{tables.folder}/members")
+
+        if ids_by_content:
+            content = row_fingerprint(raw, [m.source for m in star.members])
+            identified = with_ordered_ids(raw, [content.asc_nulls_last()], scratch, star.fact_key)
+        else:
+            identified = with_file_order_ids(raw, star.fact_key)
+        dims = tables.dimensions()
+        for name, size in sizes.items():
+            if size.broadcastable:
+                dims[name] = F.broadcast(dims[name])
+        fact = resolve_keys(identified, star, dims, "inner", star.fact_key)
+        fact.write.mode("overwrite").parquet(f"{tables.folder}/{star.fact}")
+    finally:
+        scratch.drop()
     counts = reconcile(raw, tables.fact()).first()
-    scratch.drop()
     if counts.difference:
-        raise ContractError(
-            f"{star.fact}: {counts.fact_rows} rows from {counts.raw_rows} raw rows"
-        )
+        raise ContractError(f"{star.fact}: {counts.fact_rows} rows from {counts.raw_rows} raw rows")
     return tables
 
 

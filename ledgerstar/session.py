@@ -59,10 +59,10 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def store(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table."""
         path = self.path(name)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

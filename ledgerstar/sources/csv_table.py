@@ -24,7 +24,7 @@ class SourceError(RuntimeError):
 def header_of(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> list[str]:
     """Column names of the first file; Spark reads its first line only."""
     try:
-        return _reader(spark, multi_line).csv(path).columns
+        return spark.read.options(**_format(multi_line)).csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise SourceError(f"source file not found at {path}") from error
@@ -42,18 +42,27 @@ def read_text_table(
     """
     header = header_of(spark, path, multi_line)
     contract.check_header(header)
-    fields = [T.StructField(name, T.StringType()) for name in [*header, MALFORMED]]
-    lines = (
-        _reader(spark, multi_line)
-        .option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("columnPruning", False)  # a pruned parser would not see the field count
-        .schema(T.StructType(fields))
-        .csv(path)
-    )
+    lines = _by_header(spark.read, header, multi_line).csv(path)
     return lines.select(*[exact(c) for c in contract.columns], MALFORMED)
 
 
+def stream_text_table(
+    spark: SparkSession,
+    folder: str,
+    contract: Contract,
+    files_per_batch: int | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """The same rows, as a stream of the files that arrive in ``folder``.
+
+    All files must carry the contract's columns in its order; another header fails the batch.
+    """
+    reader = _by_header(spark.readStream, contract.columns, multi_line)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(folder)
+
+
 def parse_table(
     text: DataFrame, contract: Contract, missing: tuple[str, ...] = MISSING_TEXTS
 ) -> DataFrame:
@@ -86,7 +95,16 @@ def files_of(df: DataFrame) -> list[str]:
     return sorted(df.inputFiles())
 
 
-def _reader(spark: SparkSession, multi_line: bool):
-    return spark.read.options(
-        header=True, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8", inferSchema=False
+def _format(multi_line: bool) -> dict[str, object]:
+    return {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "UTF-8"}
+
+
+def _by_header(reader, header: list[str], multi_line: bool):
+    """Text columns named by ``header``, which every file must repeat, plus the misshapen lines."""
+    fields = [T.StructField(name, T.StringType()) for name in [*header, MALFORMED]]
+    return reader.schema(T.StructType(fields)).options(
+        **_format(multi_line),
+        enforceSchema=False,
+        columnNameOfCorruptRecord=MALFORMED,
+        columnPruning=False,  # a pruned parser would not see the field count
     )

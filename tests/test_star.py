@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerstar.admissions import ADMISSIONS_STAR, EXPECTED_MEMBERS, RAW_ADMISSIONS
 from ledgerstar.contracts import ContractError, export_ddl
+from ledgerstar.operators import star as star_operators
 from ledgerstar.operators.checks import require_valid, violations
 from ledgerstar.operators.star import (
     decode,
@@ -154,6 +155,21 @@ def test_too_many_members_refuse_the_build(spark, star, folder):
         build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder, max_members=7)
 
 
+def test_members_too_many_for_one_task_get_the_same_ids(spark, star, folder, monkeypatch):
+    monkeypatch.setattr(star_operators, "MAX_BROADCAST_MEMBERS", 1)
+    other = build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder)
+    assert sorted(other.members().collect()) == sorted(star.members().collect())
+    assert other.fact().exceptAll(star.fact()).count() == 0
+    assert other.fact().count() == 12
+
+
+def test_star_of_no_rows(spark, star, folder):
+    star.raw().limit(0).write.parquet(f"{folder}/raw")
+    empty = build_star(spark, f"{folder}/raw", ADMISSIONS_STAR, f"{folder}/star")
+    assert all(df.count() == 0 for df in empty.tables().values())
+    assert billing_by_condition_and_insurer(empty).count() == 0
+
+
 def test_text_that_fits_no_type_stops_the_staging(spark, folder, csv_file, f1_lines):
     source = csv_file([f1_lines[0], f1_lines[1].replace("2024-01-02", "31/01/2024")])
     with pytest.raises(ContractError, match="1 rows do not fit"):
