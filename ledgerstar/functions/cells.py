@@ -63,9 +63,10 @@ def same_value(cell: str, data_type: T.DataType) -> str:
 def parse(text: Column, type_name: str) -> Column:
     """Typed value of a non-missing text, or NULL when the text does not spell one exactly."""
     trimmed = F.trim(text)
-    if type_name == "int":
+    if type_name in ("int", "bigint"):
         # "30.0" spells a whole number, "30.6" does not.
-        return F.regexp_replace(trimmed, r"\.0*$", "").try_cast("int")
+        pointed = F.regexp_replace(trimmed, r"\.0*$", "")
+        return F.coalesce(trimmed.try_cast(type_name), pointed.try_cast(type_name))
     if type_name == "double":
         # Java accepts a trailing type letter ("1d"); a file does not mean a number by it.
         return F.when(~trimmed.rlike(r"[0-9.][dDfF]$"), trimmed).try_cast("double")

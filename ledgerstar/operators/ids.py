@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstar.session import Scratch
 
@@ -37,12 +38,20 @@ def file_offsets(written: DataFrame) -> DataFrame:
     )
 
 
-def with_file_order_ids(written: DataFrame, id_name: str, id_type: str = "bigint") -> DataFrame:
-    """Number the rows of a table that was read straight from Parquet files.
+def with_file_order_ids(
+    spark: SparkSession,
+    folder: str,
+    id_name: str,
+    id_type: str = "bigint",
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Number the rows of the whole Parquet table in ``folder``.
 
     The offsets come from a scan that reads no column, and ride to the data in a broadcast as long
     as the table has a broadcastable number of files.
     """
+    reader = spark.read.schema(schema) if schema else spark.read
+    written = reader.parquet(folder)
     offsets = file_offsets(written)
     if len(written.inputFiles()) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
@@ -74,4 +83,6 @@ def with_ordered_ids(
     place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
     keyed = written.select("*", *[p.alias(f"_place{i}") for i, p in enumerate(place)])
     ranged = keyed.orderBy(*order_by, "_place0", "_place1").drop("_place0", "_place1")
-    return with_file_order_ids(scratch.store(ranged, f"sorted_{id_name}"), id_name, id_type)
+    name = f"sorted_{id_name}"
+    schema = scratch.store(ranged, name).schema
+    return with_file_order_ids(scratch.spark, scratch.path(name), id_name, id_type, schema)

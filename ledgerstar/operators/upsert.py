@@ -52,7 +52,7 @@ def absent_from(
     """
     rows, keys = distinct_by_key(batch, key), stored.select(exact(key))
     if batch_rows <= max_broadcast:
-        conflicts = keys.join(F.broadcast(batch.select(exact(key)).distinct()), key, "left_semi")
+        conflicts = keys.join(F.broadcast(batch.select(exact(key))), key, "left_semi")
         return rows.join(F.broadcast(conflicts), key, "left_anti")
     return rows.join(keys, key, "left_anti")
 

@@ -123,7 +123,7 @@ def build_star(
             content = row_fingerprint(raw, [m.source for m in star.members])
             identified = with_ordered_ids(raw, [content.asc_nulls_last()], scratch, star.fact_key)
         else:
-            identified = with_file_order_ids(raw, star.fact_key)
+            identified = with_file_order_ids(spark, raw_folder, star.fact_key, schema=raw.schema)
         dims = tables.dimensions()
         for name, size in sizes.items():
             if size.broadcastable:

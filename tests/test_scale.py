@@ -39,18 +39,18 @@ def pairs(spark, rows):
 @pytest.mark.parametrize("files", [1, 3, 9])
 def test_file_order_ids_are_dense(spark, folder, files):
     spark.range(1000).repartition(files).write.parquet(f"{folder}/t")
-    ids = with_file_order_ids(spark.read.parquet(f"{folder}/t"), "row_id")
+    ids = with_file_order_ids(spark, f"{folder}/t", "row_id")
     assert sorted(r.row_id for r in ids.collect()) == list(range(1, 1001))
 
 
 def test_file_order_ids_survive_small_splits_and_appends(spark, folder):
     for start in (0, 500):
         spark.range(start, start + 500, 1, 3).write.mode("append").parquet(f"{folder}/t")
-    whole = with_file_order_ids(spark.read.parquet(f"{folder}/t"), "row_id").collect()
+    whole = with_file_order_ids(spark, f"{folder}/t", "row_id").collect()
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        split = with_file_order_ids(spark.read.parquet(f"{folder}/t"), "row_id").collect()
+        split = with_file_order_ids(spark, f"{folder}/t", "row_id").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -72,7 +72,7 @@ def test_ordered_ids_with_a_key_and_copies_filling_the_table(spark, folder):
 def test_numbering_rows_shuffles_none_of_them(spark):
     star = order_star(spark, SMALL)
     fact = resolve_keys(
-        with_file_order_ids(star.raw(), "order_id"), ORDER_STAR, star.dimensions(), "inner", "order_id"
+        with_file_order_ids(spark, star.raw_folder, "order_id"), ORDER_STAR, star.dimensions(), "inner", "order_id"
     )
     text = plan(fact)
     assert text.count("BroadcastHashJoin") == 5
