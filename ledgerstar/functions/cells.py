@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.contracts import quoted
-
 # Texts that pandas' read_csv takes as missing when nothing else is configured.
 MISSING_TEXTS = (
     "",
@@ -34,9 +34,11 @@ MISSING_TEXTS = (
 FLOATING = (T.DoubleType, T.FloatType)
 
 
-def text_or_null(column: str, missing: tuple[str, ...] = MISSING_TEXTS) -> Column:
+def text_or_null(cell: str, missing: Sequence[str] = MISSING_TEXTS) -> str:
+    """SQL for a text with missing marks as NULL; longer texts are not looked up."""
     texts = ", ".join("'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'" for text in missing)
-    return F.expr(f"CASE WHEN {quoted(column)} NOT IN ({texts}) THEN {quoted(column)} END")
+    longest = max(len(text.encode()) for text in missing)
+    return f"CASE WHEN octet_length({cell}) > {longest} OR {cell} NOT IN ({texts}) THEN {cell} END"
 
 
 def is_missing(cell: Column, data_type: T.DataType) -> Column:
@@ -60,21 +62,27 @@ def same_value(cell: str, data_type: T.DataType) -> str:
     return cell
 
 
-def parse(text: Column, type_name: str) -> Column:
-    """Typed value of a non-missing text, or NULL when the text does not spell one exactly."""
-    trimmed = F.trim(text)
+def parse(cell: str, type_name: str) -> str:
+    """SQL for the typed value of a non-missing text; NULL when the text does not spell one exactly.
+
+    Each test on the text's form runs only where a cheaper look at it leaves a doubt.
+    """
+    if type_name == "string":
+        return cell
+    value = f"try_cast({cell} AS {type_name})"
     if type_name in ("int", "bigint"):
         # "30.0" spells a whole number, "30.6" does not.
-        pointed = F.regexp_replace(trimmed, r"\.0*$", "")
-        return F.coalesce(trimmed.try_cast(type_name), pointed.try_cast(type_name))
+        return f"coalesce({value}, try_cast(regexp_replace(trim({cell}), '[.]0*$', '') AS {type_name}))"
     if type_name == "double":
         # Java accepts a trailing type letter ("1d"); a file does not mean a number by it.
-        return F.when(~trimmed.rlike(r"[0-9.][dDfF]$"), trimmed).try_cast("double")
+        lettered = f"right(trim({cell}), 1) IN ('d', 'D', 'f', 'F') AND trim({cell}) RLIKE '[0-9.].$'"
+        return f"CASE WHEN NOT ({lettered}) THEN {value} END"
     if type_name == "date":
-        return F.when(trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), trimmed).try_cast("date")
-    if type_name == "string":
-        return text
-    return trimmed.try_cast(type_name)
+        # Spark would also take a year, a year and month, or a date with a time.
+        usual = f"length({cell}) = 10 AND substr({cell}, 5, 1) = '-' AND substr({cell}, 8, 1) = '-'"
+        whole = f"trim({cell}) RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$'"
+        return f"CASE WHEN ({usual}) OR {whole} THEN {value} END"
+    return value
 
 
 def folded(cell: str) -> str:

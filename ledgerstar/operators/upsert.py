@@ -130,8 +130,7 @@ def replace_on_key(
 
     rows = contract.project(batch)
     bucket = F.pmod(F.xxhash64(*[exact(k) for k in keys]), F.lit(buckets)).cast("int")
-    touched = [r[0] for r in rows.select(bucket).distinct().collect()]  # at most ``buckets``
-    kept = target.filter(F.col(BUCKET).isin(touched)).withColumn(_FROM_BATCH, F.lit(False))
+    kept = _touched(target, rows.select(bucket.alias(BUCKET)), BUCKET)
     winners = latest_per_key(rows, keys, order_by).select(
         "*",
         F.lit(buckets).alias(N_BUCKETS),
@@ -139,7 +138,9 @@ def replace_on_key(
         F.lit(True).alias(_FROM_BATCH),
     )
     # One shuffle by bucket serves the choice per key and the write of whole buckets.
-    by_bucket = kept.unionByName(winners).repartition(BUCKET)
+    by_bucket = (
+        kept.withColumn(_FROM_BATCH, F.lit(False)).unionByName(winners).repartition(BUCKET)
+    )
     merged = latest_per_key(by_bucket, [N_BUCKETS, BUCKET, *keys], [_FROM_BATCH]).drop(_FROM_BATCH)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         N_BUCKETS, BUCKET

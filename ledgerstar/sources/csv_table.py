@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerstar.contracts import Contract, exact
+from ledgerstar.contracts import Contract, exact, quoted
 from ledgerstar.functions.cells import MISSING_TEXTS, parse, text_or_null
 
 MALFORMED = "_malformed_line"
@@ -71,22 +68,24 @@ def parse_table(
     A non-missing text that does not spell its type makes the row ``unparseable``; it is never
     turned into a NULL that looks like a missing value.
     """
-    cells = {f.name: text_or_null(f.name, missing) for f in contract.fields}
-    values = {f.name: parse(cells[f.name], f.type) for f in contract.fields}
-    typed = [f for f in contract.fields if f.type != "string"]
-    unparseable = reduce(
-        Column.__or__,
-        [cells[f.name].isNotNull() & values[f.name].isNull() for f in typed],
-        F.lit(False),
+    names = {f.name: quoted(f.name) for f in contract.fields}
+    texts = {f.name: f"_text{i}" for i, f in enumerate(contract.fields)}
+    cells = {f.name: f"_cell{i}" for i, f in enumerate(contract.fields)}
+    marked = text.selectExpr(
+        *[f"{names[c]} AS {texts[c]}" for c in names],
+        *[f"{text_or_null(names[c], missing)} AS {cells[c]}" for c in names],
+        MALFORMED,
     )
-    reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed")).when(
-        unparseable, F.lit("unparseable")
+    typed = marked.selectExpr(
+        *[f"{parse(cells[f.name], f.type)} AS {names[f.name]}" for f in contract.fields], "*"
     )
-    record = F.coalesce(F.col(MALFORMED), F.to_json(F.struct(*[exact(c) for c in contract.columns])))
-    return text.select(
-        *[values[f.name].alias(f.name) for f in contract.fields],
-        record.alias(RAW_RECORD),
-        reason.alias(REJECT_REASON),
+    doubts = [f"({cells[c]} IS NOT NULL AND {names[c]} IS NULL)" for c in names]
+    line = ", ".join(f"{texts[c]} AS {names[c]}" for c in names)
+    return typed.selectExpr(
+        *names.values(),
+        f"coalesce({MALFORMED}, to_json(struct({line}))) AS {RAW_RECORD}",
+        f"""CASE WHEN {MALFORMED} IS NOT NULL THEN 'malformed'
+                 WHEN {" OR ".join(doubts)} THEN 'unparseable' END AS {REJECT_REASON}""",
     )
 
 
