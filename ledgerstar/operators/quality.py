@@ -29,10 +29,6 @@ def at_least_zero(column: str, reason: str = "negative") -> Rule:
     return Rule(reason, lambda df: exact(column) < 0)
 
 
-def not_before(later: str, earlier: str, reason: str) -> Rule:
-    return Rule(reason, lambda df: exact(later) < exact(earlier))
-
-
 def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``reject_reason``: the one the row came with, else the first rule that refuses it."""
     reasons = [F.col(REJECT_REASON)] if REJECT_REASON in df.columns else []

@@ -42,16 +42,18 @@ def absent_from(
     stored: DataFrame,
     key: str,
     batch_rows: int,
+    stored_rows: int,
     max_broadcast: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Distinct rows of ``batch`` whose key is not in ``stored``, which holds each key once.
 
-    A batch with few rows goes to the stored keys: they are scanned in place and only the keys in
-    conflict come back, at most one per batch row. A larger batch meets the stored keys in one
-    shuffle on the key, which also serves the fold of copies.
+    A batch with few rows goes to a larger table's keys: they are scanned in place and only the keys
+    in conflict come back, at most one per batch row. A larger batch meets the stored keys in one
+    shuffle on the key, which also serves the fold of copies, unless Spark's own size threshold
+    lets the stored keys be broadcast.
     """
     rows, keys = distinct_by_key(batch, key), stored.select(exact(key))
-    if batch_rows <= max_broadcast:
+    if batch_rows <= max_broadcast and batch_rows < stored_rows:
         conflicts = keys.join(F.broadcast(batch.select(exact(key))), key, "left_semi")
         return rows.join(F.broadcast(conflicts), key, "left_anti")
     return rows.join(keys, key, "left_anti")
@@ -79,7 +81,7 @@ def insert_if_absent(
         batch_rows = batch.count()
     batch = contract.project(batch)
     stored = _touched(target, batch, partition_by) if partition_by else target
-    rows = absent_from(batch, stored, key, batch_rows)
+    rows = absent_from(batch, stored, key, batch_rows, rows_before)
     if partition_by:
         # Rows of one partition value go to few files; AQE splits a value that is too large.
         rows = rows.hint("rebalance", quoted(partition_by))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import date
 
 import pytest
 from conftest import F1
@@ -164,7 +165,18 @@ def test_files_with_different_headers_fail(spark, csv_file, f1_lines):
 
 @pytest.mark.parametrize(
     ("old", "new"),
-    [("2024-01-02", "31/01/2024"), (",101,", ",30.6,"), ("100.10", "1d"), (",34,", ",x,"), ("2024-01-05", "2024-01")],
+    [
+        ("2024-01-02", "31/01/2024"),
+        ("2024-01-02", "2024-13-02"),
+        ("2024-01-02", "2024-01-0x"),
+        ("2024-01-05", "2024-01"),
+        ("2024-01-05", "2024-01-05 10:00"),
+        (",101,", ",30.6,"),
+        (",34,", ",x,"),
+        (",34,", ",99999999999,"),
+        ("100.10", "1d"),
+        ("100.10", "1.5 USD"),
+    ],
 )
 def test_unparseable_text_is_set_aside(spark, csv_file, f1_lines, old, new):
     rows = typed(spark, csv_file([f1_lines[0], f1_lines[1].replace(old, new), f1_lines[2]]))
@@ -175,9 +187,21 @@ def test_unparseable_text_is_set_aside(spark, csv_file, f1_lines, old, new):
     }
 
 
-def test_whole_number_written_with_a_point_is_kept(spark, csv_file, f1_lines):
-    rows = typed(spark, csv_file([f1_lines[0], f1_lines[1].replace(",34,", ",34.0,")]))
-    assert rows.first().Age == 34
+@pytest.mark.parametrize(
+    ("old", "new", "column", "value"),
+    [
+        (",34,", ",34.0,", "Age", 34),
+        (",34,", ", 34 ,", "Age", 34),
+        ("100.10", "1.001e2", "Billing Amount", 100.1),
+        ("100.10", "inf", "Billing Amount", float("inf")),
+        ("2024-01-02", "2024-1-2", "Date of Admission", date(2024, 1, 2)),
+        ("2024-01-02", " 2024-01-02", "Date of Admission", date(2024, 1, 2)),
+        ("MedX", " MedX ", "Medication", " MedX "),
+    ],
+)
+def test_other_spellings_of_a_value(spark, csv_file, f1_lines, old, new, column, value):
+    row = typed(spark, csv_file([f1_lines[0], f1_lines[1].replace(old, new)])).first()
+    assert (row[column], row.reject_reason) == (value, None)
 
 
 def test_lines_with_a_wrong_field_count_are_set_aside(spark, csv_file, f1_lines):
@@ -206,7 +230,16 @@ def test_missing_texts(spark, csv_file, f1_lines, token):
 
 
 def test_pipes_and_nulls_stay_apart(spark):
-    pairs = [("P|Q", "R"), ("P", "Q|R"), ("a", None), (None, "a"), ("a", "\\N"), ("P\\", "|R"), ("P\\|", "R"), ("", None)]
+    pairs = [
+        ("P|Q", "R"),
+        ("P", "Q|R"),
+        ("a", None),
+        (None, "a"),
+        ("a", "\\N"),
+        ("P\\", "|R"),
+        ("P\\|", "R"),
+        ("", None),
+    ]
     frame = with_fingerprint(spark.createDataFrame(pairs, "x string, y string"), ["x", "y"])
     assert frame.select("row_hash").distinct().count() == len(pairs)
 

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import MEDIUM, REPO  # noqa: F401
+from conftest import MEDIUM
 
 import __spark_entry__ as entry_points
 

@@ -24,7 +24,9 @@ from ledgerstar.plans.order_star import ORDER_STAR, order_star
 from ledgerstar.session import Scratch
 from ledgerstar.sources.tables import table
 
-PAIRS = Contract("pairs", (Field("row_hash", "string"), Field("k", "int"), Field("v", "string")), ("row_hash",))
+PAIRS = Contract(
+    "pairs", (Field("row_hash", "string"), Field("k", "int"), Field("v", "string")), ("row_hash",)
+)
 LATEST = Contract("latest", (Field("k", "int"), Field("seq", "int"), Field("v", "string")), ("k",))
 
 
@@ -71,9 +73,8 @@ def test_ordered_ids_with_a_key_and_copies_filling_the_table(spark, folder):
 
 def test_numbering_rows_shuffles_none_of_them(spark):
     star = order_star(spark, SMALL)
-    fact = resolve_keys(
-        with_file_order_ids(spark, star.raw_folder, "order_id"), ORDER_STAR, star.dimensions(), "inner", "order_id"
-    )
+    numbered = with_file_order_ids(spark, star.raw_folder, "order_id")
+    fact = resolve_keys(numbered, ORDER_STAR, star.dimensions(), "inner", "order_id")
     text = plan(fact)
     assert text.count("BroadcastHashJoin") == 5
     assert "SortMergeJoin" not in text
@@ -111,7 +112,7 @@ def test_large_batches_meet_the_target_in_one_shuffle_after_folding(spark, folde
     stored = spark.read.parquet(f"{folder}/t")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(absent_from(stored, stored, "row_hash", batch_rows=10, max_broadcast=5))
+        text = plan(absent_from(stored, stored, "row_hash", 10, 50, max_broadcast=5))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text
@@ -125,7 +126,7 @@ def test_both_ways_to_find_absent_rows_agree(spark, folder, max_broadcast):
     pairs(spark, [(i, "x") for i in range(100)]).write.parquet(f"{folder}/t")
     stored = spark.read.parquet(f"{folder}/t")
     batch = pairs(spark, [(7, "copy")] * 200 + [(i, "x") for i in range(50, 150)])
-    rows = absent_from(batch, stored, "row_hash", 300, max_broadcast).collect()
+    rows = absent_from(batch, stored, "row_hash", 300, 500, max_broadcast).collect()
     assert sorted((r.k, r.v) for r in rows) == sorted([(7, "copy")] + [(i, "x") for i in range(100, 150)])
 
 
