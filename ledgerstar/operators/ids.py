@@ -29,10 +29,12 @@ def file_offsets(written: DataFrame) -> DataFrame:
     per_file = written.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    part = F.regexp_extract(_FILE, r"part-(\d+)[^/]*$", 1)
-    earlier = Window.orderBy(
-        part.try_cast("bigint").asc_nulls_last(), F.col(_FILE).asc_nulls_last()
-    ).rowsBetween(Window.unboundedPreceding, -1)
+    # A task writes part-<number>-<job>-c<file number>; both numbers outgrow their zero padding.
+    part = F.regexp_extract(_FILE, r"part-(\d+)[^/]*$", 1).try_cast("bigint")
+    job = F.regexp_replace(_FILE, r"-c\d+\.[^/]*$", "")
+    number = F.regexp_extract(_FILE, r"-c(\d+)\.[^/]*$", 1).try_cast("bigint")
+    place = [key.asc_nulls_last() for key in (part, job, number, F.col(_FILE))]
+    earlier = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     return per_file.select(
         _FILE, F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).cast("bigint").alias(_OFFSET)
     )

@@ -158,13 +158,13 @@ ORACLE_SQL: dict[str, str] = {
     "star_fact": f"""
         WITH {FLAT}, {DIM_CTES}
         SELECT o_orderkey AS order_key, c_name AS customer_name, c_acctbal AS customer_balance,
-               nation_id, segment_id, o_orderdate AS order_date, priority_id, status_id,
+               nation_id, segment_id, CAST(o_orderdate AS VARCHAR) AS order_date, priority_id, status_id,
                o_totalprice AS order_price
         FROM flat JOIN dim_nation ON n_name = nation_name
         JOIN dim_segment ON c_mktsegment = segment_name
         JOIN dim_priority ON o_orderpriority = priority_name
         JOIN dim_status ON o_orderstatus = status_name""",
-    "star_decode": f"WITH {FLAT} SELECT * FROM flat",
+    "star_decode": f"WITH {FLAT} SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM flat",
     "fact_ids": f"""
         WITH {FLAT}
         SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n_ids
@@ -239,8 +239,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents""",
     "ingest_upsert": f"""
         SELECT DISTINCT {ORDER_HASH} AS row_hash, o_orderkey, o_custkey, o_orderstatus,
-               CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
-               CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+               o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
         FROM orders""",
     "ingest_rerun": """
         WITH n AS (
@@ -251,7 +250,8 @@ ORACLE_SQL: dict[str, str] = {
                stored AS rows_after FROM n
         UNION ALL SELECT 2, batch_rows, stored, stored FROM n""",
     "upsert_replace": """
-        SELECT o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey, o_totalprice
+        SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderkey,
+               o_totalprice
         FROM (
           SELECT *, ROW_NUMBER() OVER (
             PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS place
@@ -263,11 +263,11 @@ ORACLE_SQL: dict[str, str] = {
         ), runs AS (
           SELECT total, valid, CAST(0 AS BIGINT) AS before FROM n UNION ALL SELECT total, valid, valid FROM n
         )
-        SELECT 'fetch' AS step, CAST(NULL AS BIGINT) AS rows_in, total AS rows_out,
-               CAST(NULL AS BIGINT) AS rejected, 'OK' AS status FROM runs
+        SELECT 'fetch' AS step, CAST(0 AS BIGINT) AS rows_in, total AS rows_out,
+               CAST(0 AS BIGINT) AS rejected, 'OK' AS status FROM runs
         UNION ALL SELECT 'validate', total, valid, total - valid, 'OK' FROM runs
-        UNION ALL SELECT 'load', valid, valid - before, NULL, 'OK' FROM runs
-        UNION ALL SELECT 'complete', NULL, valid, NULL, 'OK' FROM runs""",
+        UNION ALL SELECT 'load', valid, valid - before, 0, 'OK' FROM runs
+        UNION ALL SELECT 'complete', 0, valid, 0, 'OK' FROM runs""",
     "profile_columns": _union(
         f"""
         SELECT (SELECT count(*) FROM {t}) AS n_rows,
@@ -340,8 +340,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT total - plain AS exact_duplicates, total - folded AS folded_duplicates,
                plain - folded AS hidden_by_case FROM n""",
     "date_logic": """
-        SELECT l_orderkey, l_linenumber, CAST(o_orderdate AS DATE) AS order_date,
-               CAST(l_shipdate AS DATE) AS ship_date
+        SELECT l_orderkey, l_linenumber, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
+               CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE)""",
     "preview_topn": """

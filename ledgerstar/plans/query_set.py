@@ -115,7 +115,7 @@ def star_dims(spark, folder):
 
 @query
 def star_fact(spark, folder):
-    return order_star(spark, folder).fact().drop(ORDER_STAR.fact_key)
+    return _portable(order_star(spark, folder).fact().drop(ORDER_STAR.fact_key))
 
 
 @query
@@ -132,7 +132,7 @@ def fact_ids(spark, folder):
 @query
 def star_decode(spark, folder):
     star = order_star(spark, folder)
-    return decode(star.fact(), ORDER_STAR, star.dimensions())
+    return _portable(decode(star.fact(), ORDER_STAR, star.dimensions()))
 
 
 @query
@@ -225,7 +225,7 @@ def ingest_upsert(spark, folder):
     target = scratch.path("target")
     insert_if_absent(spark, orders.filter("o_orderdate < DATE'1996-01-01'"), target, STORED_ORDERS)
     insert_if_absent(spark, orders, target, STORED_ORDERS)
-    return spark.read.schema(STORED_ORDERS.schema).parquet(target)
+    return _portable(spark.read.schema(STORED_ORDERS.schema).parquet(target))
 
 
 @query
@@ -252,19 +252,20 @@ def upsert_replace(spark, folder):
         replace_on_key(
             spark, batch, scratch.path("target"), LAST_ORDERS, ["o_orderdate", "o_orderkey"], buckets=8
         )
-    return read_keyed(spark, scratch.path("target"), LAST_ORDERS)
+    return _portable(read_keyed(spark, scratch.path("target"), LAST_ORDERS))
 
 
 @query
 def run_audit(spark, folder):
-    """Run log of two ingests of the customer extract into one table."""
+    """Run log of two ingests of the customer extract into one table; counts a step lacks are 0."""
     scratch = Scratch(spark)
     source = _customer_extract(spark, folder, scratch)
     targets = Targets.under(scratch.root, "customers")
     for _ in range(2):
         run_ingest(spark, source, targets, CUSTOMER_EXTRACT, STORED_CUSTOMERS, BALANCE_RULES)
     log = spark.read.schema(AUDIT_SCHEMA).parquet(targets.audit)
-    return log.select("step", "rows_in", "rows_out", "rejected", "status")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_in", "rows_out", "rejected")]
+    return log.select("step", *counts, "status")
 
 
 # Profile
@@ -350,12 +351,13 @@ def date_logic(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     both = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return profile.dates_out_of_order(both, "o_orderdate", "l_shipdate").select(
+    late = profile.dates_out_of_order(both, "o_orderdate", "l_shipdate").select(
         "l_orderkey",
         "l_linenumber",
         F.to_date("o_orderdate").alias("order_date"),
         F.to_date("l_shipdate").alias("ship_date"),
     )
+    return _portable(late)
 
 
 @query
@@ -367,6 +369,14 @@ def preview_topn(spark, folder):
 # Parts
 
 
+def _portable(df):
+    """Dates as text and decimals as doubles, the forms that clients of both engines agree on."""
+    forms = {"date": "string", "decimal": "double"}
+    return df.select(
+        *[exact(f.name).cast(forms.get(f.dataType.typeName(), f.dataType)).alias(f.name) for f in df.schema]
+    )
+
+
 def _billing(star, exact_cents=False):
     return measure_by(
         star,

@@ -60,6 +60,12 @@ def test_file_order_ids_survive_small_splits_and_appends(spark, folder):
     assert sorted(r.row_id for r in whole) == list(range(1, 1001))
 
 
+def test_ids_follow_the_files_of_a_task_past_their_padding(spark, folder):
+    spark.range(2200).coalesce(1).write.option("maxRecordsPerFile", 2).parquet(f"{folder}/t")
+    rows = with_file_order_ids(spark, f"{folder}/t", "row_id").collect()
+    assert all(r.row_id == r.id + 1 for r in rows)
+
+
 def test_ordered_ids_with_a_key_and_copies_filling_the_table(spark, folder):
     rows = [(1, "copy")] * 400 + [(1, f"v{i}") for i in range(300)] + [(i, "x") for i in range(2, 302)]
     spark.createDataFrame(rows, "k int, v string").repartition(4).write.parquet(f"{folder}/t")
