@@ -77,14 +77,17 @@ def with_ordered_ids(
     id_name: str,
     id_type: str = "bigint",
 ) -> DataFrame:
-    """Number rows 1..n along ``order_by``: write the table globally sorted, then number by place.
+    """Number rows 1..n along ``order_by``, ascending with NULLs last.
 
-    The place of each row in ``written`` ends the sort key. That makes every key unique, so a value
-    or a group of copies that fills a third of the table is cut into as many ranges as it needs.
+    The table is written globally sorted and then numbered by place. A digest of each row's place in
+    ``written`` ends the sort key and tells equal keys apart, so a value or a group of copies that
+    fills a third of the table is cut into as many ranges as it needs.
     """
-    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-    keyed = written.select("*", *[p.alias(f"_place{i}") for i, p in enumerate(place)])
-    ranged = keyed.orderBy(*order_by, "_place0", "_place1").drop("_place0", "_place1")
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    # Keys become columns first: a sort would evaluate an expression again at every comparison.
+    keys = {f"_key{i}": key for i, key in enumerate([*order_by, place])}
+    keyed = written.select("*", *[key.alias(name) for name, key in keys.items()])
+    ranged = keyed.orderBy(*[F.col(name).asc_nulls_last() for name in keys]).drop(*keys)
     name = f"sorted_{id_name}"
     schema = scratch.store(ranged, name).schema
     return with_file_order_ids(scratch.spark, scratch.path(name), id_name, id_type, schema)

@@ -141,7 +141,7 @@ def number_members(labels: DataFrame) -> DataFrame:
 
 def number_many_members(labels: DataFrame, scratch: Scratch) -> DataFrame:
     """The same for any number of labels in a written table: sort them all, number by place."""
-    order = [F.col("dim_name").asc_nulls_last(), F.col("label").asc_nulls_last()]
+    order = [F.col("dim_name"), F.col("label")]
     placed = scratch.store(with_ordered_ids(labels, order, scratch, "place"), "placed")
     starts = placed.groupBy("dim_name").agg(F.min("place").alias("start"))  # one row per dimension
     return placed.join(F.broadcast(starts), "dim_name", "inner").select(

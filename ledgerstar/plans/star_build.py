@@ -121,7 +121,7 @@ def build_star(
 
         if ids_by_content:
             content = row_fingerprint(raw, [m.source for m in star.members])
-            identified = with_ordered_ids(raw, [content.asc_nulls_last()], scratch, star.fact_key)
+            identified = with_ordered_ids(raw, [content], scratch, star.fact_key)
         else:
             identified = with_file_order_ids(spark, raw_folder, star.fact_key, schema=raw.schema)
         dims = tables.dimensions()
