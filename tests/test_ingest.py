@@ -163,6 +163,17 @@ def test_files_with_different_headers_fail(spark, csv_file, f1_lines):
         read_text_table(spark, paths, RAW_ADMISSIONS).collect()
 
 
+def test_failing_read_is_logged_and_leaves_no_table(spark, folder, csv_file, f1_lines):
+    moved = f1_lines[0].replace("Name,Age", "Age,Name", 1)
+    paths = [csv_file(f1_lines, "a.csv"), csv_file([moved, *f1_lines[1:]], "b.csv")]
+    targets = Targets.under(folder, "admissions")
+    with pytest.raises(Exception, match="header does not conform"):
+        ingest(spark, paths, targets)
+    (entry,) = spark.read.schema(AUDIT_SCHEMA).parquet(targets.audit).collect()
+    assert (entry.step, entry.status) == ("load", "ERROR")
+    assert not os.path.exists(targets.table)
+
+
 @pytest.mark.parametrize(
     ("old", "new"),
     [
