@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import language, line_dedup
+from ledgerstar.llm import language, line_dedup, simhash
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = simhash.near_duplicate_groups(docs, width=4, max_bits=4)
+    fingerprint = simhash.hex_digits(F.col("fingerprint"))
+    return groups.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = is_remainder(F.col("doc_id"), 4, 2)
@@ -30,6 +37,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
