@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import language, line_dedup
+from ledgerstar.llm import language, line_dedup, queries, simhash
 from ledgerstar.session import Scratch
 from ledgerstar.sources.tables import table
 
@@ -21,9 +21,27 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one of the least id."""
+    return simhash.one_of_each_group(docs, width=4, max_bits=4).select(*docs.columns)
+
+
+def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the raked sample keeps."""
+    return queries.mixed(docs).filter("kept").select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in training sequences."""
+    return queries.packed(docs)
+
+
 STAGES = [
     ("language ID", identify_language),
     ("line dedup", drop_common_lines),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("mixing sources to target weights", sample_mixture),
+    ("best-fit packing", pack_sequences),
 ]
 
 # Suffix automata and hashes of shingles have no counterpart in SQL.

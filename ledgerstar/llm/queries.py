@@ -4,15 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import language, line_dedup, simhash
+from ledgerstar.llm import language, line_dedup, mixing, packing, simhash
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "byte_bpe_50k.json"
+
+TOPICS = (
+    mixing.Topic("licence", r"(?i)licen[sc]ed under|copyright"),
+    mixing.Topic("contact", r"\w@\w+\.|\(\d{3}\) \d{3}-\d{4}"),
+    mixing.Topic("tabular", r" \| "),
+)
+
+MIXTURE = (
+    mixing.Margin("source", {f"src{i}": 1.0 for i in range(20)}),
+    mixing.Margin("lang", {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}),
+    mixing.Margin("topic", {"prose": 0.85, "licence": 0.05, "contact": 0.05, "tabular": 0.05}),
+)
+
+TOKEN_BUDGET = 0.5
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` weighed for the production mixture, with their topics."""
+    with_topic = docs.withColumn("topic", mixing.topic_of(F.col("text"), TOPICS, "prose"))
+    return mixing.mix(with_topic, MIXTURE, TOKEN_BUDGET, mixing.word_count(F.col("text")))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of ``docs`` in sequences of 1024 tokens, by their digests."""
+    pieces = packing.packed_pieces(
+        docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=False
+    )
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixed(docs).drop("text")
+
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +65,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1)
@@ -37,8 +77,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_language_id": op6_language_id,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
