@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import language, line_dedup, mixing, packing, simhash
+from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, simhash
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
@@ -69,6 +69,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.keep_one_of_each(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.lower(F.hex("digest"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", digest.alias("text_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1)
@@ -81,10 +87,24 @@ QUERIES: dict[str, Query] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_exact_dedup": op8_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_exact_dedup": """
+        WITH normal AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz') AS body
+            FROM documents
+        )
+        SELECT doc_id,
+               max(doc_id) OVER (PARTITION BY body) AS keep_id,
+               count(*) OVER (PARTITION BY body) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY body) AS kept,
+               sha256(body) AS text_sha256
+        FROM normal
+    """,
     "op10_line_dedup": """
         WITH cut AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
