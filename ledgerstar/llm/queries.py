@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, simhash
+from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, simhash, vector_dedup
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
@@ -57,6 +57,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def op5_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = is_remainder(F.col("doc_id"), 4, 2)
@@ -85,6 +89,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_vector_near_dedup": op5_vector_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_exact_dedup": op8_exact_dedup,
