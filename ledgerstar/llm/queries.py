@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, simhash, vector_dedup
+from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, toxicity, vector_dedup
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
@@ -30,6 +30,8 @@ MIXTURE = (
 
 TOKEN_BUDGET = 0.5
 
+PREDICTED_FROM = 0.3
+
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` weighed for the production mixture, with their topics."""
@@ -50,6 +52,33 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs).drop("text")
 
 
+def learnable(spark: SparkSession, sf_dir: str, label: str, held_out: Column) -> DataFrame:
+    """Texts with a label that may be learned from: ``doc_id, text`` and the label."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", label).filter(F.col(label).isNotNull())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    open_labels = labels.filter(F.col("doc_id").isNotNull() & ~held_out)
+    return docs.join(open_labels, "doc_id")
+
+
+def scored(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:
+    judged = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return judged.withColumn("predicted", F.when(F.col("score") >= PREDICTED_FROM, 1).otherwise(0))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = is_remainder(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(learnable(spark, sf_dir, "toxic", held_out))
+    return scored(docs, held_out, toxicity.toxicity_of(model, F.col("text"), spark))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = is_remainder(F.col("doc_id"), 5, 0)
+    model = quality.fit(learnable(spark, sf_dir, "quality", held_out))
+    return scored(docs, held_out, quality.quality_of(model, F.col("text"), spark))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     groups = simhash.near_duplicate_groups(docs, width=4, max_bits=4)
@@ -88,7 +117,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_quality": op4_quality,
     "op5_vector_near_dedup": op5_vector_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
