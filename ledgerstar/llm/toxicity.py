@@ -49,12 +49,12 @@ class Settings:
     """``rows_per_class`` and ``max_features`` bound the fit; scores always read whole texts."""
 
     rows_per_class: int = 5000
-    max_features: int = 1024
-    least_documents: int = 5
-    least_chi_square: float = 20.0
-    ridge: float = 0.05
+    max_features: int = 1536
+    least_documents: int = 4
+    least_chi_square: float = 12.0
+    ridge: float = 0.5
     counterfactual: float = 50.0
-    prefixes: tuple[int, ...] = (4, 5, 6)
+    prefixes: tuple[int, ...] = (3, 4, 5, 6, 7, 8, 9)
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ def solve(
     """Newton steps for the mean logistic loss, a ridge, and the mean squared change of the logit."""
     n, k = x.shape
     weighted = changes * np.sqrt(shares)[:, None]
-    penalty = counterfactual * (weighted.T @ weighted) + ridge / max(1, n) * 100 * np.eye(k)
+    penalty = counterfactual * (weighted.T @ weighted) + ridge / max(1, n) * np.eye(k)
     w, b = np.zeros(k), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
 
     def loss(w, b):
