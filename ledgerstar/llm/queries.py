@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, toxicity, vector_dedup
+from ledgerstar.llm import exact_dedup, language, line_dedup, mixing, packing, quality, secret_scan, simhash, toxicity, vector_dedup
 from ledgerstar.llm.common import is_remainder
 from ledgerstar.sources.tables import table
 
@@ -108,6 +108,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", digest.alias("text_sha256"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    digest = F.sha2("value", 256)
+    return found.select("doc_id", "place", digest.alias("value_sha256"), *secret_scan.FEATURES, "score", "is_secret")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1)
@@ -124,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
 }
 
