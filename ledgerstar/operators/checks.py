@@ -1,22 +1,42 @@
-"""Constraint checks as jobs: primary key, unique, not null and references."""
+"""Constraint checks as jobs: primary key, unique, not null and references.
+
+Each table is read once. A row gives one digest for every group of columns that some constraint looks
+at; equal digests fold to a count inside each task before the shuffle, and NULLs of required columns are
+counted on the way. References then meet the folded keys of their parent.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.contracts import Contract, ContractError, exact
-from ledgerstar.functions.fingerprint import row_identity
+from ledgerstar.contracts import Contract, ContractError, exact, quoted
+from ledgerstar.functions.cells import same_value
+from ledgerstar.functions.fingerprint import canonical_row
+from ledgerstar.session import Scratch, small_frame
+
+VIOLATIONS = "table_name string, rule string, column_name string, n_violations bigint"
+
+Group = tuple[str, ...]
 
 
 def violations(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> DataFrame:
     """(table_name, rule, column_name, n_violations), one row per declared constraint."""
-    return reduce(
-        DataFrame.unionAll, [part for c in contracts for part in _contract_checks(tables, c)]
-    )
+    spark = next(iter(tables.values())).sparkSession
+    scratch = Scratch(spark)
+    try:
+        groups = {c.name: _groups(c, contracts) for c in contracts}
+        folded = {
+            c.name: scratch.store(_fold(tables[c.name], c, groups[c.name]), c.name)
+            for c in contracts
+            if groups[c.name] or c.required
+        }
+        rows = [row for c in contracts if c.name in folded for row in _count(folded, groups, c)]
+    finally:
+        scratch.drop()
+    return small_frame(spark, rows, VIOLATIONS)
 
 
 def require_valid(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> None:
@@ -27,58 +47,54 @@ def require_valid(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]
         )
 
 
-def _contract_checks(tables: Mapping[str, DataFrame], contract: Contract) -> list[DataFrame]:
-    df = tables[contract.name]
-    checks = []
-    if contract.required:
-        checks.append(_null_check(df, contract))
-    if contract.key:
-        checks.append(_uniqueness(df, contract, contract.key, "primary_key"))
-    checks += [_uniqueness(df, contract, group, "unique") for group in contract.unique]
+def _groups(contract: Contract, contracts: Sequence[Contract]) -> list[Group]:
+    """Column groups whose values have to be folded, those that other tables refer to included."""
+    own = [contract.key, *contract.unique, *[(r.column,) for r in contract.references]]
+    asked = [(r.key,) for c in contracts for r in c.references if r.table == contract.name]
+    return list(dict.fromkeys(tuple(g) for g in [*own, *asked] if g))
+
+
+def _fold(df: DataFrame, contract: Contract, groups: Sequence[Group]) -> DataFrame:
+    """(group_no, digest, unset, n, f0, f1, ...): rows per distinct value of each group.
+
+    ``unset`` marks the value in which every column is NULL. Group -1 holds each input row once, all
+    under one digest; its ``f`` columns count the NULLs of the required columns.
+    """
+
+    def digest(group: Group):
+        types = [df.schema[c].dataType for c in group]
+        cells = [same_value(quoted(c), t) for c, t in zip(group, types, strict=True)]
+        return F.unhex(F.md5(canonical_row(cells, types)))
+
+    def entry(number: int, value, unset):
+        return F.struct(F.lit(number).alias("group_no"), value.alias("digest"), unset.alias("unset"))
+
+    entries = [entry(-1, F.lit(b""), F.lit(False))]
+    for i, group in enumerate(groups):
+        unset = F.coalesce(*[exact(c).cast("string") for c in group]).isNull()
+        entries.append(entry(i, digest(group), unset))
+    flags = [exact(c).isNull().cast("bigint").alias(f"f{i}") for i, c in enumerate(contract.required)]
+    names = [f"f{i}" for i in range(len(flags))]
+    rows = df.select(F.explode(F.array(*entries)).alias("entry"), *flags).select("entry.*", *names)
+    sums = [F.sum(f).alias(f) for f in names]
+    return rows.groupBy("group_no", "digest", "unset").agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def _count(folded: Mapping[str, DataFrame], groups: Mapping[str, list[Group]], contract: Contract) -> list[tuple]:
+    name, stored = contract.name, folded[contract.name]
+    spare = F.sum(F.col("n") - 1).alias("spare")
+    nulls = [F.sum(f"f{i}").alias(f"f{i}") for i in range(len(contract.required))]
+    per_group = {r.group_no: r for r in stored.groupBy("group_no").agg(spare, *nulls).collect()}
+    rows = []
+    for i, column in enumerate(contract.required):
+        rows.append((name, "not_null", column, per_group[-1][f"f{i}"] if per_group else 0))
+    for rule, group in [("primary_key", contract.key), *[("unique", g) for g in contract.unique]]:
+        if group:
+            found = per_group.get(groups[name].index(tuple(group)))
+            rows.append((name, rule, ",".join(group), found.spare if found else 0))
     for ref in contract.references:
-        checks.append(_orphans(df, contract.name, ref, tables[ref.table]))
-    return checks
-
-
-def _null_check(df: DataFrame, contract: Contract) -> DataFrame:
-    """NULL counts of all required columns from one pass."""
-    names = contract.required
-    counts = df.agg(*[F.count_if(exact(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)])
-    pairs = [p for i, c in enumerate(names) for p in (F.lit(c), F.col(f"n{i}"))]
-    return counts.select(
-        F.stack(F.lit(len(names)), *pairs).alias("column_name", "n_violations")
-    ).select(
-        F.lit(contract.name).alias("table_name"),
-        F.lit("not_null").alias("rule"),
-        "column_name",
-        "n_violations",
-    )
-
-
-def _uniqueness(
-    df: DataFrame, contract: Contract, key: Sequence[str], rule: str
-) -> DataFrame:
-    """Rows beyond the first of their key; equal keys fold inside each task before the shuffle."""
-    identity = row_identity(df, key)
-    per_key = df.groupBy(*[cell.alias(name) for name, cell in identity.items()]).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return _one_row(per_key.agg(F.sum(F.col("n") - 1)), contract.name, rule, ",".join(key))
-
-
-def _orphans(df: DataFrame, table: str, ref, parent: DataFrame) -> DataFrame:
-    """Rows whose reference has no parent. References fold to one count per key first."""
-    held = df.filter(exact(ref.column).isNotNull()).groupBy(exact(ref.column).alias("_ref")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    orphans = held.join(parent.select(exact(ref.key).alias("_ref")), "_ref", "left_anti")
-    return _one_row(orphans.agg(F.sum("n")), table, "references", ref.column)
-
-
-def _one_row(total: DataFrame, table: str, rule: str, column: str) -> DataFrame:
-    return total.toDF("n").select(
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column_name"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_violations"),
-    )
+        held = stored.filter((F.col("group_no") == groups[name].index((ref.column,))) & ~F.col("unset"))
+        known = folded[ref.table].filter(F.col("group_no") == groups[ref.table].index((ref.key,)))
+        orphans = held.join(known, "digest", "left_anti").agg(F.sum("n")).first()[0] or 0
+        rows.append((name, "references", ref.column, orphans))
+    return rows

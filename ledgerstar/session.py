@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -45,16 +47,28 @@ def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Stru
     return spark.createDataFrame(pa.table(columns), fields)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete ``folder`` in whatever store it lies; nothing happens if it is not there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
     """A fresh folder for tables that cut lineage, below the cluster's checkpoint folder.
 
     Every job that needs a frame twice writes it here once, so a lost executor costs a re-read and
-    not a recomputation that might come out in another order.
+    not a recomputation that might come out in another order. Whoever makes one drops it as soon as no
+    result reads from it. What a lazy result still reads belongs to the session: ``drop_all`` deletes
+    it, at the latest when the program ends.
     """
 
+    _open: list[Scratch] = []  # noqa: RUF012
+
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{(root or shared_root(spark)).rstrip('/')}/ledgerstar-{uuid.uuid4().hex}"
+        Scratch._open.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -67,9 +81,19 @@ class Scratch:
 
     def drop(self) -> None:
         """Delete this folder; call it once nothing reads from it any more."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(self.spark, self.root)
+        if self in Scratch._open:
+            Scratch._open.remove(self)
+
+    @staticmethod
+    def drop_all() -> None:
+        """Delete every scratch folder that this program has not dropped yet."""
+        for scratch in list(Scratch._open):
+            with contextlib.suppress(Exception):  # the session may be gone already
+                scratch.drop()
+
+
+atexit.register(Scratch.drop_all)
 
 
 def shared_root(spark: SparkSession) -> str:
