@@ -68,7 +68,7 @@ class Contract:
     def check_header(self, present: Sequence[str]) -> None:
         missing = self.missing_from(present)
         if missing:
-            raise ContractError(f"{self.name}: missing expected columns: {missing}")
+            raise ContractError(f"{self.name}: the header lacks {', '.join(missing)}")
 
     def project(self, df: DataFrame, *extra: Column | str) -> DataFrame:
         """Contract columns, in contract order and by exact name, cast to their types."""

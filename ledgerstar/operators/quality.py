@@ -58,6 +58,6 @@ def summarize(classified: DataFrame) -> DataFrame:
     by_outcome = classified.groupBy(
         F.coalesce(F.col(REJECT_REASON), F.lit("accepted")).alias("outcome")
     ).agg(F.count(F.lit(1)).alias("n_rows"))
-    return by_outcome.rollup("outcome").agg(F.sum("n_rows").alias("n_rows")).select(
-        F.coalesce("outcome", F.lit("input")).alias("outcome"), "n_rows"
-    )
+    # The total comes from the few counts, and is there even if there are none.
+    total = by_outcome.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"))
+    return by_outcome.unionByName(total.select(F.lit("input").alias("outcome"), "n_rows"))

@@ -85,7 +85,8 @@ def label_counts(raw: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     Each task folds its rows to one count per label before anything is shuffled, so the shuffle
     grows with the number of labels and not with the number of rows, however skewed they are.
     """
-    pairs = [p for d in dimensions for p in (F.lit(d.table), exact(d.source))]
+    # Labels are text: columns of other types count by their text, here and where keys are resolved.
+    pairs = [p for d in dimensions for p in (F.lit(d.table), exact(d.source).cast("string"))]
     stacked = raw.select(F.stack(F.lit(len(dimensions)), *pairs).alias("dim_name", "label"))
     return stacked.groupBy("dim_name", "label").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -162,7 +163,7 @@ def resolve_keys(
         member = dims[d.table].select(
             F.col(d.key).alias(f"_key{i}"), F.col(d.label).alias(f"_label{i}")
         )
-        out = out.join(member, exact(d.source) == F.col(f"_label{i}"), how)
+        out = out.join(member, exact(d.source).cast("string") == F.col(f"_label{i}"), how)
     keys = {d.table: F.col(f"_key{i}").alias(d.key) for i, d in enumerate(star.dimensions)}
     return out.select(
         *keep,

@@ -6,10 +6,11 @@ repaired by running it again: both loads leave a finished target unchanged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from ledgerstar.contracts import Contract, exact, quoted, read_or_empty
 MAX_BROADCAST_KEYS = 1_000_000
 # Partition values that may be listed in a scan filter.
 MAX_LISTED_PARTITIONS = 10_000
+ROWS_PER_BUCKET = 2_000_000
 
 N_BUCKETS = "n_buckets"
 BUCKET = "key_bucket"
@@ -48,15 +50,16 @@ def absent_from(
     """Distinct rows of ``batch`` whose key is not in ``stored``, which holds each key once.
 
     A batch with few rows goes to a larger table's keys: they are scanned in place and only the keys
-    in conflict come back, at most one per batch row. A larger batch meets the stored keys in one
-    shuffle on the key, which also serves the fold of copies, unless Spark's own size threshold
+    in conflict come back, at most one per batch row. Rows in conflict leave before copies are folded,
+    so a batch that holds nothing new shuffles nothing wide. A larger batch meets the stored keys in
+    one shuffle on the key, which also serves the fold of copies, unless Spark's own size threshold
     lets the stored keys be broadcast.
     """
-    rows, keys = distinct_by_key(batch, key), stored.select(exact(key))
+    keys = stored.select(exact(key))
     if batch_rows <= max_broadcast and batch_rows < stored_rows:
         conflicts = keys.join(F.broadcast(batch.select(exact(key))), key, "left_semi")
-        return rows.join(F.broadcast(conflicts), key, "left_anti")
-    return rows.join(keys, key, "left_anti")
+        return distinct_by_key(batch.join(F.broadcast(conflicts), key, "left_anti"), key)
+    return distinct_by_key(batch, key).join(keys, key, "left_anti")
 
 
 def insert_if_absent(
@@ -85,9 +88,10 @@ def insert_if_absent(
     if partition_by:
         # Rows of one partition value go to few files; AQE splits a value that is too large.
         rows = rows.hint("rebalance", quoted(partition_by))
-    rows.write.mode("append").partitionBy(*layout).parquet(path)
-    rows_after = spark.read.schema(contract.schema).parquet(path).count()
-    return LoadResult(rows_before, rows_after, batch_rows)
+    written = Observation("written")
+    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.mode("append").partitionBy(*layout).parquet(path)
+    return LoadResult(rows_before, rows_before + written.get["n"], batch_rows)
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -112,23 +116,25 @@ def replace_on_key(
     path: str,
     contract: Contract,
     order_by: Sequence[str],
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> LoadResult:
     """Insert rows by ``contract.key``, replacing stored rows with the same key.
 
     The table is laid out by a hash bucket of the key, and only buckets that the batch touches are
-    read and rewritten. ``buckets`` is fixed for the life of a table; choose it so that one bucket
-    is a comfortable file (table bytes / 256 MB).
+    read and rewritten. Buckets bound what a small batch rewrites, not how many tasks work: rows are
+    merged by key, and the written buckets are cut into files as they need. The first load sets the
+    number of buckets, by default one for every ``ROWS_PER_BUCKET`` rows; it stays for the table's life.
     """
     keys = list(contract.key)
     stored_schema = T.StructType(
         [*contract.schema, *[T.StructField(c, T.IntegerType()) for c in (N_BUCKETS, BUCKET)]]
     )
     target = read_or_empty(spark, stored_schema, path)
-    other = target.filter(F.col(N_BUCKETS) != buckets).select(N_BUCKETS).first()
-    if other:
-        raise ValueError(f"{path} was laid out with {other[0]} buckets, not {buckets}")
     rows_before, batch_rows = target.count(), batch.count()
+    laid_out = target.select(N_BUCKETS).first()
+    if laid_out and buckets not in (None, laid_out[0]):
+        raise ValueError(f"{path} was laid out with {laid_out[0]} buckets, not {buckets}")
+    buckets = laid_out[0] if laid_out else buckets or max(1, math.ceil(batch_rows / ROWS_PER_BUCKET))
 
     rows = contract.project(batch)
     bucket = F.pmod(F.xxhash64(*[exact(k) for k in keys]), F.lit(buckets)).cast("int")
@@ -139,14 +145,12 @@ def replace_on_key(
         bucket.alias(BUCKET),
         F.lit(True).alias(_FROM_BATCH),
     )
-    # One shuffle by bucket serves the choice per key and the write of whole buckets.
-    by_bucket = (
-        kept.withColumn(_FROM_BATCH, F.lit(False)).unionByName(winners).repartition(BUCKET)
-    )
-    merged = latest_per_key(by_bucket, [N_BUCKETS, BUCKET, *keys], [_FROM_BATCH]).drop(_FROM_BATCH)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        N_BUCKETS, BUCKET
-    ).parquet(path)
+    both = kept.withColumn(_FROM_BATCH, F.lit(False)).unionByName(winners)
+    merged = latest_per_key(both, [N_BUCKETS, BUCKET, *keys], [_FROM_BATCH]).drop(_FROM_BATCH)
+    # Merged by key, as many tasks as there are; a bucket too large for one file is split by AQE.
+    merged.hint("rebalance", BUCKET).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(N_BUCKETS, BUCKET).parquet(path)
     rows_after = spark.read.schema(stored_schema).parquet(path).count()
     return LoadResult(rows_before, rows_after, batch_rows)
 
@@ -157,10 +161,15 @@ def read_keyed(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
 
 
 def _touched(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The partitions of ``target`` that hold any value of ``column`` in ``batch``."""
-    rows = batch.select(exact(column)).distinct().take(MAX_LISTED_PARTITIONS + 1)
+    """The partitions of ``target`` that hold any value of ``column`` in ``batch``.
+
+    Few values are listed, so the scan opens no other partition. More of them meet the table's rows in
+    a semi-join: other partitions are read for their values, but never returned, kept or rewritten.
+    """
+    touched = batch.select(exact(column).alias("_touched")).distinct()
+    rows = touched.take(MAX_LISTED_PARTITIONS + 1)
     if len(rows) > MAX_LISTED_PARTITIONS:
-        return target
+        return target.join(touched, exact(column).eqNullSafe(F.col("_touched")), "left_semi")
     values = [r[0] for r in rows if r[0] is not None]
     listed = exact(column).isin(values) if values else F.lit(False)
     if len(values) < len(rows):

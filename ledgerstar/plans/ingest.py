@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.contracts import Contract, ContractError, exact
+from ledgerstar.contracts import Contract, ContractError, Field, exact
 from ledgerstar.functions.fingerprint import with_fingerprint
 from ledgerstar.operators.audit import RunLog
 from ledgerstar.operators.quality import Rule, classify
@@ -17,6 +17,7 @@ from ledgerstar.session import Scratch
 from ledgerstar.sources.csv_table import (
     RAW_RECORD,
     REJECT_REASON,
+    SOURCE_FILE,
     SourceError,
     parse_table,
     read_text_table,
@@ -51,6 +52,7 @@ def landing(text: DataFrame, raw: Contract, rules: Sequence[Rule], key: str) ->
         key,
         *[exact(c) for c in raw.columns],
         F.when(rejected, F.col(RAW_RECORD)).alias(RAW_RECORD),
+        F.when(rejected, F.col(SOURCE_FILE)).alias(SOURCE_FILE),
         F.coalesce(F.col(REJECT_REASON), F.lit(ACCEPTED)).alias(OUTCOME),
     )
 
@@ -62,13 +64,12 @@ def run_ingest(
     raw: Contract,
     stored: Contract,
     rules: Sequence[Rule],
-    multi_line: bool = False,
     partition_by: str | None = None,
 ) -> LoadResult:
     """Load the accepted rows of ``source`` that ``targets.table`` lacks; the rest is set aside."""
     log = RunLog(spark, targets.audit)
     try:
-        text = read_text_table(spark, source, raw, multi_line)
+        text = read_text_table(spark, source, raw)
     except (SourceError, ContractError) as error:
         log.fail("fetch" if isinstance(error, SourceError) else "validate", error)
         raise
@@ -95,8 +96,8 @@ def load_text(
     (key,) = stored.key
     try:
         landed = scratch.store(landing(text, raw, rules, key), "landing")
-        valid = _report_gate(landed, source, targets, log)
-        batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD)
+        valid = _report_gate(landed, source, targets, raw, log)
+        batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD, SOURCE_FILE)
         result = insert_if_absent(spark, batch, targets.table, stored, partition_by, valid)
     except Exception as error:
         log.fail("load", error)
@@ -105,36 +106,61 @@ def load_text(
         scratch.drop()
     log.add(
         "load",
-        f"Loaded: {result.rows_before} rows before, {result.rows_after} rows after "
-        f"(source had {valid} valid rows)",
+        f"{result.rows_after - result.rows_before} of {valid} accepted rows are new; "
+        f"the table grew from {result.rows_before} to {result.rows_after}",
         valid,
         result.rows_after - result.rows_before,
     )
-    log.add("complete", f"Run complete. Table row count: {result.rows_after}", None, result.rows_after)
+    log.add("complete", f"finished with {result.rows_after} stored rows", None, result.rows_after)
     log.flush()
     return result
 
 
-def _report_gate(landed: DataFrame, source: str, targets: Targets, log: RunLog) -> int:
-    """Log what the gate let through, append the rest to the quarantine, return the valid count."""
+def quarantine_contract(raw: Contract) -> Contract:
+    """One row per rejected record and source file, with the number of its copies there."""
+    fields = (
+        Field("record_key", "string"),
+        *raw.fields,
+        Field(RAW_RECORD, "string"),
+        Field(REJECT_REASON, "string"),
+        Field("source_file", "string"),
+        Field("copies", "bigint"),
+        Field("run_id", "string"),
+    )
+    return Contract(f"{raw.name}_quarantine", fields, key=("record_key",))
+
+
+def _set_aside(landed: DataFrame, targets: Targets, raw: Contract, run_id: str) -> None:
+    """Add rejected records to the quarantine, each once per source file however often it is loaded."""
+    rejected = landed.filter(F.col(OUTCOME) != ACCEPTED)
+    record_key = F.md5(F.to_json(F.struct(F.col(SOURCE_FILE), F.col(OUTCOME), F.col(RAW_RECORD))))
+    # Copies have equal columns, as their text is the same; one of them stands for all.
+    folded = rejected.withColumn("record_key", record_key).groupBy("record_key").agg(
+        F.count(F.lit(1)).alias("copies"),
+        *[F.any_value(exact(c)).alias(c) for c in [*raw.columns, RAW_RECORD]],
+        F.any_value(OUTCOME).alias(REJECT_REASON),
+        F.any_value(SOURCE_FILE).alias("source_file"),
+    )
+    rows = folded.withColumn("run_id", F.lit(run_id))
+    insert_if_absent(landed.sparkSession, rows, targets.quarantine, quarantine_contract(raw))
+
+
+def _report_gate(landed: DataFrame, source: str, targets: Targets, raw: Contract, log: RunLog) -> int:
+    """Log what the gate let through, set the rest aside, return the number of accepted rows."""
     per_outcome = landed.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
     counts = {r[OUTCOME]: r.n for r in per_outcome.collect()}  # one row per reason
     valid = counts.pop(ACCEPTED, 0)
     rejected = sum(counts.values())
     detail = ", ".join(f"{reason}: {n}" for reason, n in sorted(counts.items())) or "none"
-    log.add("fetch", f"Fetched source: {source} ({valid + rejected} rows read)", None, valid + rejected)
+    log.add("fetch", f"read {valid + rejected} rows from {source}", None, valid + rejected)
     log.add(
         "validate",
-        f"Validated: {valid} rows passed, {rejected} rows rejected ({detail})",
+        f"{valid} rows accepted, {rejected} set aside ({detail})",
         valid + rejected,
         valid,
         rejected,
     )
     log.flush()
     if rejected:
-        set_aside = landed.filter(F.col(OUTCOME) != ACCEPTED).withColumnRenamed(OUTCOME, REJECT_REASON)
-        # A run that is repeated under its id replaces its own quarantine and no other.
-        set_aside.withColumn("run_id", F.lit(log.run_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("run_id").parquet(targets.quarantine)
+        _set_aside(landed, targets, raw, log.run_id)
     return valid

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerstar.contracts import Contract, ContractError, exact, read_or_empty
 from ledgerstar.functions.fingerprint import row_fingerprint
+from ledgerstar.operators.checks import require_valid
 from ledgerstar.operators.ids import with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import (
     Star,
@@ -24,6 +25,7 @@ from ledgerstar.operators.star import (
 )
 from ledgerstar.session import Scratch
 from ledgerstar.sources.csv_table import REJECT_REASON, parse_table, read_text_table
+from ledgerstar.sources.published import NextVersion, current_path
 
 MEMBER_SCHEMA = "id int, label string"
 
@@ -37,6 +39,11 @@ class StarTables:
     folder: str
     raw_folder: str
 
+    @classmethod
+    def present(cls, spark: SparkSession, star: Star, folder: str, raw_folder: str) -> StarTables:
+        """The star that the last finished build left in ``folder``."""
+        return cls(spark, star, current_path(spark, folder), current_path(spark, raw_folder))
+
     def raw(self) -> DataFrame:
         return self.spark.read.parquet(self.raw_folder)
 
@@ -71,20 +78,26 @@ class StarTables:
 
 
 def stage_csv(
-    spark: SparkSession, source: str | list[str], contract: Contract, path: str, multi_line: bool = False
+    spark: SparkSession, source: str | list[str], contract: Contract, path: str
 ) -> DataFrame:
-    """Write the typed raw table in one pass over the source.
+    """Publish the typed raw table, parsed in one pass over the source.
 
     No quality rule applies here, but a text that spells no value of its type stops the build, as
-    it would stop a typed insert.
+    it would stop a typed insert; the table that was there before then stays as it was.
     """
-    rows = parse_table(read_text_table(spark, source, contract, multi_line), contract)
+    rows = parse_table(read_text_table(spark, source, contract), contract)
     misfits = Observation("misfits")
     counted = rows.observe(misfits, F.count(REJECT_REASON).alias("n"))
-    counted.select(*[exact(c) for c in contract.columns]).write.mode("overwrite").parquet(path)
-    if misfits.get["n"]:
-        raise ContractError(f"{contract.name}: {misfits.get['n']} rows do not fit their types")
-    return spark.read.parquet(path)
+    version = NextVersion(spark, path)
+    try:
+        counted.select(*[exact(c) for c in contract.columns]).write.parquet(version.path)
+        if misfits.get["n"]:
+            raise ContractError(f"{contract.name}: {misfits.get['n']} rows do not fit their types")
+        version.switch()
+    except Exception:
+        version.discard()
+        raise
+    return spark.read.parquet(version.path)
 
 
 def build_star(
@@ -96,15 +109,20 @@ def build_star(
     ids_by_content: bool = False,
     max_members: int | None = None,
 ) -> StarTables:
-    """Build every table of ``star`` from a written raw table; a rebuild replaces them all.
+    """Build every table of ``star`` from a written raw table and publish them together.
+
+    All tables go to a version of their own, are checked there against their contracts and against the
+    raw rows, and only then become the present star; a build that fails leaves the one before.
 
     One scan of the label columns gives the dimensions and the label checks. One scan of the rest
     writes the fact: the dimensions are broadcast into it and ids follow the raw rows' places, so
     no fact row is shuffled. ``ids_by_content`` pays one global sort to make ids independent of
     how the raw table is cut into files. ``members`` takes dimensions numbered elsewhere.
     """
-    tables = StarTables(spark, star, folder.rstrip("/"), raw_folder)
-    raw = spark.read.parquet(raw_folder)
+    raw_path = current_path(spark, raw_folder)
+    version = NextVersion(spark, folder)
+    tables = StarTables(spark, star, version.path, raw_path)
+    raw = spark.read.parquet(raw_path)
     scratch = Scratch(spark)
     try:
         labels = scratch.store(label_counts(raw, star.dimensions), "labels")
@@ -117,24 +135,31 @@ def build_star(
             members = number_members(labels)
         else:
             members = number_many_members(labels, scratch)
-        members.write.mode("overwrite").partitionBy("dim_name").parquet(f"{tables.folder}/members")
+        members.write.partitionBy("dim_name").parquet(f"{tables.folder}/members")
+        # Before any fact row is joined: two members under one id would double rows.
+        require_valid(tables.dimensions(), [d.contract for d in star.dimensions])
 
         if ids_by_content:
             content = row_fingerprint(raw, [m.source for m in star.members])
             identified = with_ordered_ids(raw, [content], scratch, star.fact_key)
         else:
-            identified = with_file_order_ids(spark, raw_folder, star.fact_key, schema=raw.schema)
+            identified = with_file_order_ids(spark, raw_path, star.fact_key, schema=raw.schema)
         dims = tables.dimensions()
         for name, size in sizes.items():
             if size.broadcastable:
                 dims[name] = F.broadcast(dims[name])
         fact = resolve_keys(identified, star, dims, "inner", star.fact_key)
-        fact.write.mode("overwrite").parquet(f"{tables.folder}/{star.fact}")
+        fact.write.parquet(f"{tables.folder}/{star.fact}")
+        counts = reconcile(raw, tables.fact()).first()
+        if counts.difference:
+            raise ContractError(f"{star.fact}: {counts.fact_rows} rows from {counts.raw_rows} raw rows")
+        require_valid(tables.tables(), star.contracts)
+        version.switch()
+    except Exception:
+        version.discard()
+        raise
     finally:
         scratch.drop()
-    counts = reconcile(raw, tables.fact()).first()
-    if counts.difference:
-        raise ContractError(f"{star.fact}: {counts.fact_rows} rows from {counts.raw_rows} raw rows")
     return tables
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar.contracts import Contract, exact, quoted
 from ledgerstar.functions.cells import MISSING_TEXTS, parse, text_or_null
 
 MALFORMED = "_malformed_line"
+SOURCE_FILE = "_source_file"
 RAW_RECORD = "raw_record"
 REJECT_REASON = "reject_reason"
 
@@ -18,29 +20,49 @@ class SourceError(RuntimeError):
     """The source cannot be read at all."""
 
 
-def header_of(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> list[str]:
-    """Column names of the first file; Spark reads its first line only."""
+def header_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names of the first file; Spark reads its first record only."""
     try:
-        return spark.read.options(**_format(multi_line)).csv(path).columns
+        return spark.read.options(**_format(multi_line=True)).csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise SourceError(f"source file not found at {path}") from error
-        raise SourceError(f"failed to read source file {path}: {error}") from error
+            raise SourceError(f"there is nothing to read at {path}") from error
+        raise SourceError(f"{path} cannot be read as CSV: {error}") from error
 
 
-def read_text_table(
-    spark: SparkSession, path: str | list[str], contract: Contract, multi_line: bool = False
-) -> DataFrame:
-    """Contract columns as text, plus the whole line where its field count does not fit.
+def files_with_broken_lines(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files in which a line holds an odd number of quotes: a record may go on in the next line.
+
+    A doubled quote inside a cell counts two, so every record that ends on its line counts even. One
+    text scan; one row per file comes back.
+    """
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = spark.read.text(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path")).filter(quotes % 2 == 1)
+    return sorted(r[0] for r in odd.select(SOURCE_FILE).distinct().collect())
+
+
+def read_text_table(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
+    """Contract columns as text, the whole line where its field count does not fit, and the file.
 
     Columns bind by header name, and a file whose header differs from the first one fails the read:
-    a plain typed schema would bind by position and load values under the wrong names.
-    ``multi_line`` allows line breaks inside quotes but makes each file one task.
+    a plain typed schema would bind by position and load values under the wrong names. Files that may
+    hold line breaks inside quotes are read record by record, one task each; all others are split. So
+    no part of a record is ever taken for a record.
     """
-    header = header_of(spark, path, multi_line)
+    header = header_of(spark, path)
     contract.check_header(header)
-    lines = _by_header(spark.read, header, multi_line).csv(path)
-    return lines.select(*[exact(c) for c in contract.columns], MALFORMED)
+    broken = files_with_broken_lines(spark, path)
+    columns = [*[exact(c) for c in contract.columns], MALFORMED, F.col("_metadata.file_path").alias(SOURCE_FILE)]
+
+    def read(multi_line: bool, of_file: Column) -> DataFrame:
+        lines = _by_header(spark.read, header, multi_line).csv(path)
+        # Spark leaves out the files that the condition on their path rules out.
+        return lines.filter(of_file).select(*columns)
+
+    if not broken:
+        return read(False, F.lit(True))
+    whole = F.col("_metadata.file_path").isin(broken)
+    return read(True, whole).unionAll(read(False, ~whole))
 
 
 def stream_text_table(
@@ -48,16 +70,16 @@ def stream_text_table(
     folder: str,
     contract: Contract,
     files_per_batch: int | None = None,
-    multi_line: bool = False,
 ) -> DataFrame:
     """The same rows, as a stream of the files that arrive in ``folder``.
 
-    All files must carry the contract's columns in its order; another header fails the batch.
+    All files must carry the contract's columns in its order; another header fails the batch. Nothing
+    is known of a file before it is read, so each is read record by record in one task.
     """
-    reader = _by_header(spark.readStream, contract.columns, multi_line)
+    reader = _by_header(spark.readStream, contract.columns, multi_line=True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
+    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def parse_table(
@@ -71,10 +93,12 @@ def parse_table(
     names = {f.name: quoted(f.name) for f in contract.fields}
     texts = {f.name: f"_text{i}" for i, f in enumerate(contract.fields)}
     cells = {f.name: f"_cell{i}" for i, f in enumerate(contract.fields)}
+    rest = [SOURCE_FILE] if SOURCE_FILE in text.columns else []
     marked = text.selectExpr(
         *[f"{names[c]} AS {texts[c]}" for c in names],
         *[f"{text_or_null(names[c], missing)} AS {cells[c]}" for c in names],
         MALFORMED,
+        *rest,
     )
     typed = marked.selectExpr(
         *[f"{parse(cells[f.name], f.type)} AS {names[f.name]}" for f in contract.fields], "*"
@@ -86,6 +110,7 @@ def parse_table(
         f"coalesce({MALFORMED}, to_json(struct({line}))) AS {RAW_RECORD}",
         f"""CASE WHEN {MALFORMED} IS NOT NULL THEN 'malformed'
                  WHEN {" OR ".join(doubts)} THEN 'unparseable' END AS {REJECT_REASON}""",
+        *rest,
     )
 
 

@@ -28,7 +28,7 @@ def ingest_arrivals(
     """Load all files in ``folder`` that this checkpoint has not seen, then stop.
 
     Spark may repeat a batch after a failure. The content key makes the repeated load a no-op, and
-    the batch number as run id makes it replace its own quarantine.
+    rejected records are kept once per file, whatever stream or batch brings the file.
     """
 
     def load(batch: DataFrame, number: int) -> None:

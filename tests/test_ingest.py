@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import F1
@@ -16,7 +17,13 @@ from ledgerstar.operators.audit import AUDIT_SCHEMA, log_lines
 from ledgerstar.operators.quality import classify, summarize, validate
 from ledgerstar.plans.ingest import Targets, landing, run_ingest
 from ledgerstar.session import Scratch
-from ledgerstar.sources.csv_table import SourceError, files_of, parse_table, read_text_table
+from ledgerstar.sources.csv_table import (
+    SourceError,
+    files_of,
+    files_with_broken_lines,
+    parse_table,
+    read_text_table,
+)
 
 
 def ingest(spark, source, targets, **options):
@@ -85,14 +92,23 @@ def test_load_laid_out_by_a_column(spark, folder, csv_file, f1_lines):
 def test_quarantine_keeps_text_and_reason(spark, folder):
     targets = Targets.under(folder, "admissions")
     ingest(spark, str(F1), targets)
-    rows = spark.read.parquet(targets.quarantine)
-    assert {(r.reject_reason, r["count"]) for r in rows.groupBy("reject_reason").count().collect()} == {
-        ("missing", 2),
-        ("negative", 2),
-    }
-    texts = [r.raw_record for r in rows.collect()]
-    assert sum('"Billing Amount":"-50.00"' in t for t in texts) == 2
-    assert sum('"Billing Amount":"NaN"' in t for t in texts) == 1
+    rows = spark.read.parquet(targets.quarantine).collect()
+    assert sorted((r.reject_reason, r.copies) for r in rows) == [("missing", 1), ("missing", 1), ("negative", 2)]
+    assert sum('"Billing Amount":"-50.00"' in r.raw_record for r in rows) == 1
+    assert sum('"Billing Amount":"NaN"' in r.raw_record for r in rows) == 1
+    assert {Path(r.source_file).name for r in rows} == {F1.name}
+
+
+def test_quarantine_neither_doubles_nor_vanishes(spark, folder, csv_file, f1_lines):
+    targets = Targets.under(folder, "admissions")
+    stored = lambda: spark.read.parquet(targets.quarantine).agg(F.sum("copies")).first()[0]
+    for _ in range(2):
+        ingest(spark, str(F1), targets)
+        assert stored() == 4
+    other = csv_file([f1_lines[0], f1_lines[4], f1_lines[7]])
+    for _ in range(2):
+        ingest(spark, other, targets)
+        assert stored() == 6
 
 
 def test_audit_rows_and_lines(spark, folder):
@@ -108,13 +124,13 @@ def test_audit_rows_and_lines(spark, folder):
     }
     lines = [r.line for r in log_lines(audit).collect()]
     assert len(lines) == 4
-    assert lines[1].endswith("Validated: 8 rows passed, 4 rows rejected (missing: 2, negative: 2)")
-    assert audit.filter(F.regexp_like("message", F.lit("^Loaded: 0 rows before, 7 rows after"))).count() == 1
+    assert lines[1].endswith("8 rows accepted, 4 set aside (missing: 2, negative: 2)")
+    assert lines[2].endswith("7 of 8 accepted rows are new; the table grew from 0 to 7")
 
 
 def test_absent_source_is_logged_and_raised(spark, folder):
     targets = Targets.under(folder, "admissions")
-    with pytest.raises(SourceError, match="not found"):
+    with pytest.raises(SourceError, match="nothing to read"):
         ingest(spark, f"{folder}/nowhere.csv", targets)
     (entry,) = spark.read.schema(AUDIT_SCHEMA).parquet(targets.audit).collect()
     assert (entry.step, entry.status) == ("fetch", "ERROR")
@@ -226,12 +242,33 @@ def test_lines_with_a_wrong_field_count_are_set_aside(spark, csv_file, f1_lines)
     assert {r.raw_record for r in rows.filter("reject_reason = 'malformed'").collect()} == set(lines[2:])
 
 
-def test_line_break_inside_quotes(spark, csv_file, f1_lines):
-    broken = f1_lines[1].replace("North Clinic", '"North\nClinic"')
-    source = csv_file([f1_lines[0], broken])
-    rows = read_text_table(spark, source, RAW_ADMISSIONS, multi_line=True)
-    assert rows.first().Hospital == "North\nClinic"
-    assert typed(spark, source).filter("reject_reason = 'malformed'").count() >= 1
+@pytest.mark.parametrize(
+    ("old", "new", "column", "value"),
+    [
+        ("Ana Ruiz", '"Ana\nRuiz Two"', "Name", "Ana\nRuiz Two"),
+        ("North Clinic", '"North\nClinic ""A"""', "Hospital", 'North\nClinic "A"'),
+        (",Normal", ',"Nor\nmal\n"', "Test Results", "Nor\nmal\n"),
+    ],
+    ids=["first", "middle", "last"],
+)
+def test_line_break_inside_quotes(spark, csv_file, f1_lines, old, new, column, value):
+    paths = [
+        csv_file([f1_lines[0], f1_lines[1].replace(old, new, 1), f1_lines[3]], "a.csv"),
+        csv_file([f1_lines[0], *f1_lines[4:]], "b.csv"),
+    ]
+    rows = typed(spark, paths)
+    assert rows.count() == 11
+    assert rows.filter("reject_reason = 'malformed'").count() == 0
+    assert rows.filter(F.col("Age") == 34).filter(F.col(f"`{column}`") == value).count() == 1
+    # only the file with the break is read as one piece
+    assert [Path(p).name for p in files_with_broken_lines(spark, paths)] == ["a.csv"]
+
+
+def test_an_open_quote_loads_no_part_of_a_record(spark, csv_file, f1_lines):
+    source = csv_file([f1_lines[0], f1_lines[1], f1_lines[3].replace("North Clinic", '"North Clinic'), f1_lines[6]])
+    rows = typed(spark, source)
+    assert rows.filter("reject_reason is null").select("Name").collect() == [("Ana Ruiz",)]
+    assert rows.filter("reject_reason = 'malformed'").count() == 1
 
 
 @pytest.mark.parametrize("token", ["NA", "None", "null", "", "#N/A"])

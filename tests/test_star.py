@@ -13,6 +13,9 @@ from ledgerstar.contracts import ContractError, export_ddl
 from ledgerstar.operators import star as star_operators
 from ledgerstar.operators.checks import require_valid, violations
 from ledgerstar.operators.star import (
+    Attribute,
+    Dimension,
+    Star,
     decode,
     label_counts,
     member_expectations,
@@ -21,7 +24,8 @@ from ledgerstar.operators.star import (
     unmatched_labels,
 )
 from ledgerstar.plans.marts import billing_by_condition_and_insurer
-from ledgerstar.plans.star_build import build_star, stage_csv
+from ledgerstar.plans.star_build import StarTables, build_star, stage_csv
+from ledgerstar.sources.published import current_path
 from ledgerstar.sources.tables import table_names
 
 MART = [
@@ -176,6 +180,39 @@ def test_text_that_fits_no_type_stops_the_staging(spark, folder, csv_file, f1_li
         stage_csv(spark, source, RAW_ADMISSIONS, f"{folder}/raw")
 
 
+def test_refused_staging_and_build_leave_the_tables_as_they_were(spark, folder, csv_file, f1_lines):
+    raw, star_folder = f"{folder}/raw", f"{folder}/star"
+    stage_csv(spark, str(F1), RAW_ADMISSIONS, raw)
+    built = build_star(spark, raw, ADMISSIONS_STAR, star_folder)
+    wrong = csv_file([f1_lines[0], f1_lines[1].replace("2024-01-02", "31/01/2024")])
+    with pytest.raises(ContractError, match="1 rows do not fit"):
+        stage_csv(spark, wrong, RAW_ADMISSIONS, raw)
+    assert spark.read.parquet(current_path(spark, raw)).count() == 12
+    doubled = built.members().unionAll(
+        spark.createDataFrame([("dim_gender", 1, "Other")], "dim_name string, id int, label string")
+    )
+    with pytest.raises(ContractError, match="dim_gender.gender_id: 1 x primary_key"):
+        build_star(spark, raw, ADMISSIONS_STAR, star_folder, members=doubled)
+    present = StarTables.present(spark, ADMISSIONS_STAR, star_folder, raw)
+    assert present.folder == built.folder
+    assert decode(present.fact(), ADMISSIONS_STAR, present.dimensions()).count() == 12
+    assert sorted(p.split("-")[0] for p in os.listdir(star_folder)) == ["current", "version"]
+
+
+def test_labels_of_other_types(spark, folder):
+    rows = [(1, 101, "a"), (2, 102, "a"), (3, 101, "b")]
+    spark.createDataFrame(rows, "n int, room int, ward string").write.parquet(f"{folder}/raw")
+    model = Star(
+        "fact_stays",
+        "stay_id",
+        (Attribute("n", "int", "n"), Dimension("dim_room", "room_id", "room", "room"), Dimension("dim_ward", "ward_id", "ward", "ward")),
+    )
+    built = build_star(spark, f"{folder}/raw", model, f"{folder}/star")
+    assert sorted(map(tuple, decode(built.fact(), model, built.dimensions()).collect())) == [
+        (n, str(room), ward) for n, room, ward in rows
+    ]
+
+
 def test_rebuild_is_a_no_op(spark, star, folder):
     build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder)
     again = build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder)
