@@ -71,16 +71,3 @@ EXPECTED_MEMBERS = {
     "dim_admission_type": 3,
     "dim_test_results": 3,
 }
-
-CARDINALITY_CANDIDATES = (
-    "Gender",
-    "Blood Type",
-    "Medical Condition",
-    "Insurance Provider",
-    "Admission Type",
-    "Test Results",
-    "Doctor",
-    "Hospital",
-    "Name",
-    "Room Number",
-)

@@ -139,9 +139,16 @@ def case_variants(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return per_value.filter("n_spellings > 1")
 
 
-def dates_out_of_order(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows that end before they start; a missing date never qualifies."""
-    return df.filter(_as_date(df, end) < _as_date(df, start))
+def dates_out_of_order(df: DataFrame, start: str, end: str, problem: str = "date_problem") -> DataFrame:
+    """Rows that end before they start, to the time of day, or whose dates are no dates.
+
+    ``problem`` says which: ``out_of_order``, or ``unparseable`` for a text that spells no moment. A
+    missing date is no problem.
+    """
+    moments = {c: _as_moment(df, c) for c in (start, end)}
+    unread = [exact(c).isNotNull() & moments[c].isNull() for c in moments]
+    found = F.when(unread[0] | unread[1], "unparseable").when(moments[end] < moments[start], "out_of_order")
+    return df.withColumn(problem, found).filter(exact(problem).isNotNull())
 
 
 def dimension_candidates(
@@ -219,7 +226,5 @@ def _name_of(columns: Sequence[str]) -> Column:
     return F.element_at(names, F.col("column_no") + 1).alias("column_name")
 
 
-def _as_date(df: DataFrame, column: str) -> Column:
-    if df.schema[column].dataType.typeName() == "string":
-        return F.try_to_date(exact(column))
-    return F.to_date(exact(column))
+def _as_moment(df: DataFrame, column: str) -> Column:
+    return exact(column).try_cast("timestamp")

@@ -1,26 +1,26 @@
-"""Exact numeric summaries of columns of any length.
-
-Spark's exact ``percentile`` gathers every distinct value of a column in one task. Here the wanted
-order statistics are closed in on instead. Each pass counts the values of a bracket known to hold a
-rank in a few thousand equally wide buckets, folded inside each task, and the bucket that the
-running count places the rank in becomes the next bracket. Buckets know their least and greatest
-value, so outliers cost one pass and a value that fills a third of the column ends its search as
-soon as a bucket holds nothing else. A bracket whose count proves it short is read value by value.
+"""Exact numeric summaries of columns of any length, in a few passes whatever the values are.
+
+Spark's exact ``percentile`` gathers every distinct value of a column in one task. Here one mergeable
+sketch per column, taken in the same pass as the other measures, brackets each wanted rank by two values
+between which it is sure to lie. The next pass counts what lies below and inside each bracket, and what is
+inside is either few enough to be read value by value, or bracketed again. A bracket holds a few
+ten-thousandths of its predecessor's rows, so even 10^12 rows take five passes. Brackets are cut by rank
+and never by value: outliers, infinities and any spread of the values cost nothing.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstar.contracts import exact
 from ledgerstar.functions.cells import is_missing
-from ledgerstar.session import small_frame
+from ledgerstar.session import Scratch, small_frame
 
 QUARTILES = (0.25, 0.5, 0.75)
 SUMMARY_SCHEMA = (
@@ -28,7 +28,9 @@ SUMMARY_SCHEMA = (
     "q25 double, q50 double, q75 double, max double"
 )
 
-BUCKETS = 4096
+# The sketch's rank error is one part in this; brackets reach three times as far on either side.
+ACCURACY = 10_000
+REACH = 3
 # Values of one bracket that may meet in one task.
 SORTABLE_VALUES = 100_000
 
@@ -45,103 +47,152 @@ class Bracket:
     n: int
     below: int = 0
 
-    def value(self) -> Column:
+    def inside(self) -> Column:
         return F.when(exact(self.column).between(self.low, self.high), exact(self.column))
 
-    def bucket(self) -> Column:
-        """Order-keeping bucket number; a range too wide for a double is halved first."""
-        low, high = max(self.low, -sys.float_info.max), min(self.high, sys.float_info.max)
-        scale = 1.0 if math.isfinite(high - low) else 0.5
-        value = exact(self.column)
-        place = (value * scale - low * scale) / (high * scale - low * scale) * BUCKETS
-        return (
-            F.when(value == float("-inf"), F.lit(-1))
-            .when(value == float("inf"), F.lit(BUCKETS + 1))
-            .otherwise(F.floor(place))
-            .cast("double")
-        )
+    def holds(self, rank: int) -> bool:
+        return self.below <= rank < self.below + self.n
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str], sortable: int = SORTABLE_VALUES
+    df: DataFrame, columns: Sequence[str] | None = None, sortable: int = SORTABLE_VALUES
 ) -> DataFrame:
-    """Count, mean, sample deviation, min, linear-interpolated quartiles and max per column."""
-    values = df.select(*[_number(df, c).alias(c) for c in columns])
-    measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
-    flat = values.agg(*[m(exact(c)).alias(f"m{i}") for i, (c, m) in enumerate(_pairs(columns, measures))])
-    row = tuple(flat.first())
+    """Count, mean, sample deviation, min, linear-interpolated quartiles and max per column.
+
+    All numeric columns by default. The values are written once, so every pass reads them and not the
+    plan that made them.
+    """
+    names = list(columns) if columns is not None else numeric_columns(df)
+    scratch = Scratch(df.sparkSession)
+    try:
+        cells = {c: f"c{i}" for i, c in enumerate(names)}
+        values = scratch.store(df.select(*[_number(df, c).alias(cells[c]) for c in names]), "values")
+        rows = [(c, *_summary) for c, _summary in zip(names, _summaries(values, list(cells.values()), sortable), strict=True)]
+    finally:
+        scratch.drop()
+    return small_frame(df.sparkSession, rows, SUMMARY_SCHEMA)
+
+
+def _summaries(values: DataFrame, columns: list[str], sortable: int) -> list[tuple]:
+    around = [min(1.0, max(0.0, p + side * REACH / ACCURACY)) for p in QUARTILES for side in (-1, 1)]
+    measures = (
+        F.count,
+        F.avg,
+        F.stddev_samp,
+        F.min,
+        F.max,
+        lambda c: F.approx_percentile(c, around, ACCURACY),
+    )
+    cells = [m(exact(c)).alias(f"m{i}_{c}") for c in columns for i, m in enumerate(measures)]
+    if not cells:
+        return []
+    row = tuple(values.agg(*cells).first())
     stats = {c: row[i * len(measures) : (i + 1) * len(measures)] for i, c in enumerate(columns)}
-    wholes = {c: Bracket(c, low, high, n) for c, (n, _, _, low, high) in stats.items() if n}
-    wanted = {(c, r) for c in wholes for p in QUARTILES for r in _ranks(p, wholes[c].n)}
-    found = order_statistics(values, wanted, wholes, sortable)
-    rows = [
-        (c, n, mean, std, low, *[_interpolate(p, n, c, found) for p in QUARTILES], high)
-        for c, (n, mean, std, low, high) in stats.items()
+    held: dict[Rank, Bracket] = {}
+    for c, (n, _, _, low, high, sketch) in stats.items():
+        whole = Bracket(c, low, high, n)
+        for i, p in enumerate(QUARTILES):
+            near = whole if n <= sortable else Bracket(c, sketch[2 * i], sketch[2 * i + 1], n)
+            held.update({(c, r): near for r in (_ranks(p, n) if n else ())})
+    wholes = {c: Bracket(c, low, high, n) for c, (n, _, _, low, high, _) in stats.items() if n}
+    found = order_statistics(values, held, wholes, sortable)
+    return [
+        (n, mean, std, low, *[_interpolate(p, n, c, found) for p in QUARTILES], high)
+        for c, (n, mean, std, low, high, _) in stats.items()
     ]
-    return small_frame(df.sparkSession, rows, SUMMARY_SCHEMA)
 
 
 def order_statistics(
-    values: DataFrame,
-    wanted: set[Rank],
-    wholes: dict[str, Bracket],
-    sortable: int = SORTABLE_VALUES,
+    values: DataFrame, held: dict[Rank, Bracket], wholes: dict[str, Bracket], sortable: int = SORTABLE_VALUES
 ) -> dict[Rank, float]:
-    """Value at each (column, zero-based rank) of the columns' non-missing values."""
+    """Value at each (column, zero-based rank) of the columns' non-missing values.
+
+    ``held`` gives a first bracket for each rank; brackets smaller than their whole column are counted
+    before they are believed, and one that misses its rank gives way to the whole column.
+    """
     found: dict[Rank, float] = {}
-    held = {rank: wholes[rank[0]] for rank in wanted}
+    sure = {rank: b for rank, b in held.items() if b == wholes[rank[0]]}
+    unsure = {rank: b for rank, b in held.items() if rank not in sure}
     while True:
-        for rank, b in list(held.items()):
+        if unsure:
+            counted = _count(values, unsure)
+            sure.update({r: b if b.holds(r[1]) else wholes[r[0]] for r, b in counted.items()})
+        for rank, b in list(sure.items()):
             if b.low == b.high:
-                found[rank] = held.pop(rank).low
-        wide = {rank: b for rank, b in held.items() if b.n > sortable}
+                found[rank] = sure.pop(rank).low
+        wide = {rank: b for rank, b in sure.items() if b.n > sortable}
         if not wide:
             break
-        held.update(_place(values, wide, by_value=False))
-    found.update({rank: b.low for rank, b in _place(values, held, by_value=True).items()})
+        sure = {rank: b for rank, b in sure.items() if rank not in wide}
+        unsure = _narrow(values, wide)
+        stuck = {r: b for r, b in unsure.items() if (b.low, b.high) == (wide[r].low, wide[r].high)}
+        if stuck:  # few distinct values: they fold to few rows, however many rows hold them
+            found.update(_values_at(values, {r: wide[r] for r in stuck}))
+            unsure = {r: b for r, b in unsure.items() if r not in stuck}
+    found.update(_values_at(values, sure))
     return found
 
 
-def _place(values: DataFrame, held: dict[Rank, Bracket], by_value: bool) -> dict[Rank, Bracket]:
-    """The bucket, or with ``by_value`` the value, of its bracket that each rank falls in.
-
-    Only one running sum per bracket runs in one task, over its buckets or its few values.
-    """
-    if not held:
-        return {}
+def _count(values: DataFrame, held: dict[Rank, Bracket]) -> dict[Rank, Bracket]:
+    """The brackets with how many values lie in and below each, from one pass."""
     brackets = list(dict.fromkeys(held.values()))
     cells = [
         cell
         for i, b in enumerate(brackets)
-        for cell in (F.lit(i), b.value(), b.value() if by_value else b.bucket())
-    ]
-    stacked = values.select(F.stack(F.lit(len(brackets)), *cells).alias("bracket", "value", "bucket"))
-    buckets = (
-        stacked.filter(F.col("value").isNotNull())
-        .groupBy("bracket", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    )
-    up_to = Window.partitionBy("bracket").orderBy(F.col("bucket").asc_nulls_last())
-    running = buckets.withColumn("below", F.sum("n").over(up_to) - F.col("n"))
-    hits = [
-        (F.col("bracket") == i) & F.lit(place).between(F.col("below"), F.col("below") + F.col("n") - 1)
-        for i, place in {(brackets.index(b), rank[1] - b.below) for rank, b in held.items()}
+        for cell in (
+            F.count_if(exact(b.column) < b.low).alias(f"below{i}"),
+            F.count(b.inside()).alias(f"in{i}"),
+        )
     ]
-    any_hit = hits[0]
-    for hit in hits[1:]:
-        any_hit = any_hit | hit
-    rows = running.filter(any_hit).collect()  # at most one per rank
-    return {rank: _containing(rows, brackets.index(b), b, rank[1]) for rank, b in held.items()}
+    row = values.agg(*cells).first()
+    counted = {b: Bracket(b.column, b.low, b.high, row[f"in{i}"], row[f"below{i}"]) for i, b in enumerate(brackets)}
+    return {rank: counted[b] for rank, b in held.items()}
+
 
+def _narrow(values: DataFrame, held: dict[Rank, Bracket]) -> dict[Rank, Bracket]:
+    """A closer bracket for each rank, from one sketch of each bracket's values."""
+    ranks = list(held)
+    cells = []
+    for i, rank in enumerate(ranks):
+        b = held[rank]
+        at = (rank[1] - b.below + 0.5) / b.n
+        around = [min(1.0, max(0.0, at + side * REACH / ACCURACY)) for side in (-1, 1)]
+        cells.append(F.approx_percentile(b.inside(), around, ACCURACY).alias(f"q{i}"))
+    row = values.agg(*cells).first()
+    return {r: Bracket(r[0], row[f"q{i}"][0], row[f"q{i}"][1], held[r].n, held[r].below) for i, r in enumerate(ranks)}
 
-def _containing(rows, index: int, outer: Bracket, rank: int) -> Bracket:
-    place = rank - outer.below
-    row = next(r for r in rows if r.bracket == index and r.below <= place < r.below + r.n)
-    return Bracket(outer.column, row.low, row.high, row.n, outer.below + row.below)
 
+def _values_at(values: DataFrame, held: dict[Rank, Bracket]) -> dict[Rank, float]:
+    """The value of each rank, by counting the values of its bracket one by one.
 
-def _pairs(columns, measures):
-    return [(c, m) for c in columns for m in measures]
+    Equal values fold inside each task; one running sum per bracket runs over its distinct values.
+    """
+    if not held:
+        return {}
+    brackets = list(dict.fromkeys(held.values()))
+    cells = [cell for i, b in enumerate(brackets) for cell in (F.lit(i), b.inside())]
+    stacked = values.select(F.stack(F.lit(len(brackets)), *cells).alias("bracket", "value"))
+    counts = (
+        stacked.filter(F.col("value").isNotNull())
+        .groupBy("bracket", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    up_to = Window.partitionBy("bracket").orderBy(F.col("value").asc_nulls_last())
+    running = counts.withColumn("below", F.sum("n").over(up_to) - F.col("n"))
+    places = {rank: (brackets.index(b), rank[1] - b.below) for rank, b in held.items()}
+    hit = F.lit(False)
+    for index, place in set(places.values()):
+        among = F.lit(place).between(F.col("below"), F.col("below") + F.col("n") - 1)
+        hit = hit | ((F.col("bracket") == index) & among)
+    rows = running.filter(hit).collect()  # at most one per rank
+    return {
+        rank: next(r.value for r in rows if r.bracket == index and r.below <= place < r.below + r.n)
+        for rank, (index, place) in places.items()
+    }
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -159,4 +210,4 @@ def _interpolate(fraction: float, n: int, column: str, found: dict[Rank, float])
         return None
     at = fraction * (n - 1)
     low, high = found[column, math.floor(at)], found[column, math.ceil(at)]
-    return low + (high - low) * (at - math.floor(at))
+    return low if low == high else low + (high - low) * (at - math.floor(at))

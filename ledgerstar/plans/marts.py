@@ -25,13 +25,13 @@ def measure_by(
     Grouping by the integer keys before the labels are joined gives the same groups, because a
     dimension holds each label once, and moves no text through the aggregation. Rows come sorted by
     the first label, then by descending total. ``exact_cents`` adds in DECIMAL(18,2), where the
-    order of addition cannot matter.
+    order of addition cannot matter, and rounds an average once, from the whole sum.
     """
     dimensions = [tables.star.dimension(name) for name in by]
     amount = exact(measure).cast("decimal(18,2)") if exact_cents else exact(measure)
     sums = tables.fact().groupBy(*[exact(d.key) for d in dimensions]).agg(
         F.count(F.lit(1)).alias(count_name),
-        _rounded(F.avg(amount)).alias(avg_name),
+        (_average_cents(amount) if exact_cents else _rounded(F.avg(amount))).alias(avg_name),
         _rounded(F.sum(amount)).alias(total_name),
     )
     for d in dimensions:
@@ -56,5 +56,14 @@ def billing_by_condition_and_insurer(tables: StarTables) -> DataFrame:
     )
 
 
+def _average_cents(amount: Column) -> Column:
+    """Sum over count, rounded half away from zero to cents, in whole numbers throughout."""
+    cents = (F.sum(amount) * 100).cast("decimal(38,0)")
+    n = F.count(amount).cast("decimal(19,0)")
+    doubled = (F.abs(cents) * 2 + n).cast("decimal(38,0)")
+    whole = F.call_function("div", doubled, n * 2)
+    return F.when(n > 0, F.signum(cents) * whole / 100).cast("double")
+
+
 def _rounded(value: Column) -> Column:
     return F.round(value.cast("double"), 2)
