@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstar.session import small_frame
@@ -50,9 +50,11 @@ class RunLog:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path)
 
 
+def log_line() -> Column:
+    """A log row as text: ``[yyyy-MM-dd HH:mm:ss] message``."""
+    return F.format_string("[%s] %s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("message"))
+
+
 def log_lines(audit: DataFrame) -> DataFrame:
-    """The log as text lines, ``[yyyy-MM-dd HH:mm:ss] message``, oldest first."""
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    return audit.orderBy(F.col("ts").asc_nulls_last()).select(
-        F.format_string("[%s] %s", stamp, F.col("message")).alias("line")
-    )
+    """The log as text lines, oldest first."""
+    return audit.orderBy(F.col("ts").asc_nulls_last()).select(log_line().alias("line"))

@@ -107,10 +107,20 @@ def _orphans(table: str, column: str, parent: str, key: str) -> str:
     )
 
 
+def _none_broken(table: str, rule: str, column: str) -> str:
+    return _violation(table, rule, column, "SELECT 0")
+
+
 def _union(parts) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _spark_type(type_name: str) -> str:
+    names = (("BIGINT", "bigint"), ("INTEGER", "int"), ("VARCHAR", "string"), ("DOUBLE", "double"))
+    cases = " ".join(f"WHEN '{theirs}' THEN '{ours}'" for theirs, ours in names)
+    return f"CASE {type_name} {cases} ELSE CASE WHEN {type_name} LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END END"
+
+
 def _cells(relation: str, columns, cast: bool = True) -> str:
     value = "CAST({c} AS VARCHAR)" if cast else "{c}"
     return _union(
@@ -118,6 +128,7 @@ def _cells(relation: str, columns, cast: bool = True) -> str:
     )
 
 
+GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 LABELS = ("o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name")
 LINE_COLUMNS = (
     "l_orderkey",
@@ -134,10 +145,25 @@ LINE_COLUMNS = (
 )
 
 ORACLE_SQL: dict[str, str] = {
-    "star_build": """
-        SELECT count(*) AS raw_rows, count(*) AS fact_rows, CAST(0 AS BIGINT) AS difference
-        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-        JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "star_build": f"WITH {FLAT}\n"
+    + _union(
+        [
+            "SELECT 'fact_orders' AS table_name, count(*) AS n_rows FROM flat",
+            *[
+                f"SELECT '{name}' AS table_name, count(DISTINCT {source}) AS n_rows FROM flat"
+                for name, _, _, source in DIMS
+            ],
+        ]
+    ),
+    "star_constraints": _union(
+        [
+            *[_none_broken(name, rule, column) for name, key, label, _ in DIMS for rule, column in (
+                ("not_null", key), ("not_null", label), ("primary_key", key), ("unique", label))],
+            _none_broken("fact_orders", "not_null", "order_id"),
+            _none_broken("fact_orders", "primary_key", "order_id"),
+            *[_none_broken("fact_orders", "references", key) for _, key, _, _ in DIMS],
+        ]
+    ),
     "row_reconciliation": """
         SELECT count(*) AS raw_rows, count(*) AS fact_rows, CAST(0 AS BIGINT) AS difference
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -147,7 +173,8 @@ ORACLE_SQL: dict[str, str] = {
     "mart_billing_exact": f"""
         WITH {FLAT}
         SELECT n_name AS nation_name, c_mktsegment AS segment_name, count(*) AS order_count,
-               round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*), 2) AS avg_price,
+               CAST((2 * CAST(100 * sum(CAST(o_totalprice AS DECIMAL(18,2))) AS HUGEINT) + count(*))
+                    // (2 * count(*)) AS DOUBLE) / 100 AS avg_price,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
         FROM flat GROUP BY n_name, c_mktsegment""",
     "star_dims": f"WITH {FLAT}, {DIM_CTES}\n"
@@ -188,8 +215,11 @@ ORACLE_SQL: dict[str, str] = {
                CAST({expected} AS BIGINT) AS expected,
                CASE WHEN count(DISTINCT {source}) = {expected} THEN 'OK' ELSE 'MISMATCH' END AS status
         FROM flat"""
-        for (name, _, _, source), expected in zip(DIMS, (25, 5, 5, 3), strict=True)
-    ),
+        for (name, _, _, source), expected in zip(DIMS, (25, 5, 4, 3), strict=True)
+    )
+    + """
+        UNION ALL
+        SELECT 'dim_currency', CAST(0 AS BIGINT), CAST(2 AS BIGINT), 'MISMATCH'""",
     "constraint_checks": _union(
         [
             _nulls("nation", "n_nationkey"),
@@ -226,10 +256,62 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'input', count(*) FROM gated""",
     "csv_gate": f"""
         WITH {EXTRACT}
-        SELECT c_custkey, c_name || ', "a|b\\' || CAST(c_nationkey AS VARCHAR) AS c_name,
+        SELECT c_custkey,
+               c_name || CASE WHEN c_nationkey = 5 THEN chr(10) ELSE ', ' END
+                 || '"a|b\\' || CAST(c_nationkey AS VARCHAR) AS c_name,
                CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN NULL ELSE c_acctbal END AS c_acctbal,
-               c_mktsegment, reject_reason
+               c_mktsegment || CASE WHEN c_nationkey = 7 THEN chr(10) || 'plus' ELSE '' END AS c_mktsegment,
+               reject_reason
         FROM extract""",
+    "stage_refused": """
+        SELECT count(*) AS rows_before, count(*) AS rows_after, count(c_acctbal) AS balances_after,
+               true AS refused
+        FROM customer""",
+    "quarantine_rerun": f"""
+        WITH {EXTRACT}
+        SELECT reject_reason, CAST(2 * count(*) AS BIGINT) AS n_rows FROM extract
+        WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+    "source_files": """
+        SELECT c_mktsegment AS segment, count(*) AS n_rows FROM customer GROUP BY c_mktsegment""",
+    "source_refusals": """
+        SELECT 'whole' AS source_case, 'read' AS outcome, count(*) AS n_rows FROM customer
+        UNION ALL SELECT 'column short', 'lacks c_acctbal', 0
+        UNION ALL SELECT 'other case', 'lacks c_name', 0
+        UNION ALL SELECT 'no file', 'no source', 0""",
+    "table_catalog": _union(
+        f"""
+        SELECT '{t}' AS table_name, column_name, {_spark_type("column_type")} AS type,
+               (SELECT count(*) FROM {t}) AS n_rows
+        FROM (DESCRIBE {t})"""
+        for t in GIVEN
+    ),
+    "ddl_lines": _union(
+        f"""
+        SELECT 'CREATE TABLE IF NOT EXISTS {t} (' AS line
+        UNION ALL
+        SELECT '  `' || replace(column_name, '_', ' ') || '` ' || upper({_spark_type("column_type")})
+               || CASE WHEN row_number() OVER () < count(*) OVER () THEN ',' ELSE '' END
+        FROM (DESCRIBE {t})
+        UNION ALL SELECT ') USING PARQUET;'"""
+        for t in GIVEN
+    ),
+    "blank_names": """
+        SELECT 'Customer Key' AS column_name, count(*) - count(c_custkey) AS n_nulls,
+               count(DISTINCT c_custkey) AS n_distinct FROM customer
+        UNION ALL
+        SELECT 'Segment.Name', count(*) FILTER (WHERE c_mktsegment = 'BUILDING'),
+               count(DISTINCT nullif(c_mktsegment, 'BUILDING')) FROM customer
+        UNION ALL
+        SELECT 'Nation `Key`', count(*) - count(c_nationkey), count(DISTINCT c_nationkey) FROM customer""",
+    "ingest_partitioned": f"""
+        WITH raised AS (
+          SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders
+          WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 0
+        ), stored AS (SELECT * FROM orders UNION ALL SELECT * FROM raised)
+        SELECT DISTINCT {ORDER_HASH} AS row_hash, o_orderkey, o_custkey, o_orderstatus,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+        FROM stored""",
     "row_fingerprint": f"SELECT o_orderkey, {ORDER_HASH} AS row_hash FROM orders",
     "document_fingerprint": f"""
         SELECT doc_id, {_digest("text", "lang", "source")} AS row_hash FROM documents""",
@@ -254,7 +336,9 @@ ORACLE_SQL: dict[str, str] = {
                o_totalprice
         FROM (
           SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS place
+            PARTITION BY o_custkey
+            ORDER BY o_orderdate < TIMESTAMP '1996-01-01' DESC, CAST(o_orderdate AS DATE) DESC,
+                     o_orderkey DESC) AS place
           FROM orders
         ) WHERE place = 1""",
     "run_audit": f"""
@@ -264,15 +348,23 @@ ORACLE_SQL: dict[str, str] = {
           SELECT total, valid, CAST(0 AS BIGINT) AS before FROM n UNION ALL SELECT total, valid, valid FROM n
         )
         SELECT 'fetch' AS step, CAST(0 AS BIGINT) AS rows_in, total AS rows_out,
-               CAST(0 AS BIGINT) AS rejected, 'OK' AS status FROM runs
-        UNION ALL SELECT 'validate', total, valid, total - valid, 'OK' FROM runs
-        UNION ALL SELECT 'load', valid, valid - before, 0, 'OK' FROM runs
-        UNION ALL SELECT 'complete', 0, valid, 0, 'OK' FROM runs""",
+               CAST(0 AS BIGINT) AS rejected, 'OK' AS status,
+               'read ' || total || ' rows from the extract' AS message, true AS stamped FROM runs
+        UNION ALL SELECT 'validate', total, valid, total - valid, 'OK',
+               valid || ' rows accepted, ' || (total - valid) || ' set aside (' || (
+                 SELECT string_agg(reject_reason || ': ' || n, ', ' ORDER BY reject_reason)
+                 FROM (SELECT reject_reason, count(*) AS n FROM extract WHERE reject_reason IS NOT NULL
+                       GROUP BY reject_reason)) || ')', true FROM runs
+        UNION ALL SELECT 'load', valid, valid - before, 0, 'OK',
+               (valid - before) || ' of ' || valid || ' accepted rows are new; the table grew from '
+               || before || ' to ' || valid, true FROM runs
+        UNION ALL SELECT 'complete', 0, valid, 0, 'OK', 'finished with ' || valid || ' stored rows', true
+        FROM runs""",
     "profile_columns": _union(
         f"""
         SELECT (SELECT count(*) FROM {t}) AS n_rows,
                (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns, '{t}' AS table_name"""
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+        for t in GIVEN
     ),
     "profile_nulls": f"WITH {FLAT}\n"
     + _union(
@@ -309,7 +401,7 @@ ORACLE_SQL: dict[str, str] = {
                round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75,
                round(CAST(max({c}) AS DOUBLE), 4) AS max
         FROM lineitem"""
-        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+        for c in LINE_COLUMNS[:8]
     ),
     "category_values": f"""
         WITH {FLAT}, shown AS (
@@ -340,10 +432,17 @@ ORACLE_SQL: dict[str, str] = {
         SELECT total - plain AS exact_duplicates, total - folded AS folded_duplicates,
                plain - folded AS hidden_by_case FROM n""",
     "date_logic": """
-        SELECT l_orderkey, l_linenumber, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
-               CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE)""",
+        WITH timed AS (
+          SELECT l_orderkey, l_linenumber, o_orderdate + INTERVAL 12 HOUR AS ordered_at,
+                 CASE WHEN l_linenumber = 5 THEN 'soon'
+                      ELSE strftime(l_shipdate + to_hours(l_linenumber), '%Y-%m-%d %H:%M:%S') END AS shipped_at
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        )
+        SELECT l_orderkey, l_linenumber, shipped_at,
+               CASE WHEN TRY_CAST(shipped_at AS TIMESTAMP) IS NULL THEN 'unparseable'
+                    ELSE 'out_of_order' END AS date_problem
+        FROM timed
+        WHERE TRY_CAST(shipped_at AS TIMESTAMP) IS NULL OR TRY_CAST(shipped_at AS TIMESTAMP) < ordered_at""",
     "preview_topn": """
         SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10""",
 }

@@ -133,14 +133,3 @@ def build_order_star(spark: SparkSession, folder: str) -> StarTables:
     scratch = Scratch(spark)
     flat_orders(spark, folder).write.mode("overwrite").parquet(scratch.path("raw"))
     return build_star(spark, scratch.path("raw"), ORDER_STAR, scratch.path("star"))
-
-
-_BUILT: dict[tuple[str, str], StarTables] = {}
-
-
-def order_star(spark: SparkSession, folder: str) -> StarTables:
-    """The star over ``folder``, built on first use in this application and read afterwards."""
-    built = (spark.sparkContext.applicationId, folder)
-    if built not in _BUILT:
-        _BUILT[built] = build_order_star(spark, folder)
-    return _BUILT[built]

@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.contracts import exact
+from ledgerstar.contracts import Contract, ContractError, Field, exact, export_ddl
 from ledgerstar.functions.fingerprint import with_fingerprint
 from ledgerstar.operators import profile
-from ledgerstar.operators.audit import AUDIT_SCHEMA
+from ledgerstar.operators.audit import AUDIT_SCHEMA, log_line
 from ledgerstar.operators.checks import violations
 from ledgerstar.operators.ids import with_ordered_ids
 from ledgerstar.operators.quality import (
@@ -26,7 +26,9 @@ from ledgerstar.operators.quantiles import numeric_summary
 from ledgerstar.operators.star import (
     decode,
     label_counts,
+    label_sizes,
     member_expectations,
+    number_many_members,
     number_members,
     reconcile,
     unmatched_labels,
@@ -51,15 +53,20 @@ from ledgerstar.plans.order_star import (
     TABLE_CONTRACTS,
     build_order_star,
     flat_orders,
-    order_star,
 )
+from ledgerstar.plans.star_build import StarTables, stage_csv
 from ledgerstar.session import Scratch, small_frame
-from ledgerstar.sources.csv_table import parse_table, read_text_table
-from ledgerstar.sources.tables import table
+from ledgerstar.sources.csv_table import SourceError, files_of, header_of, parse_table, read_text_table
+from ledgerstar.sources.published import current_path
+from ledgerstar.sources.tables import register, table, table_names
+from ledgerstar.streaming.arrivals import ingest_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+Report = Callable[[StarTables], DataFrame]
+
 QUERIES: dict[str, Query] = {}
+REPORTS: dict[str, Report] = {}
 
 BALANCE_RULES = (present("c_acctbal"), at_least_zero("c_acctbal"))
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -75,28 +82,39 @@ def query(fn: Query) -> Query:
 # Star and reports
 
 
+def report(fn: Report) -> Report:
+    """A report over a built star; the query of its name builds the star first."""
+    REPORTS[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, folder: fn(build_order_star(spark, folder))
+    return fn
+
+
 @query
 def star_build(spark, folder):
-    """The whole build from the given tables, summarised by its reconciliation."""
+    """The whole build from the given tables, summarised by the rows of each table it wrote."""
     star = build_order_star(spark, folder)
-    return reconcile(star.raw(), star.fact())
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, df in star.tables().items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
-@query
-def mart_billing(spark, folder):
-    return _billing(order_star(spark, folder))
+@report
+def mart_billing(star):
+    return _billing(star)
 
 
-@query
-def mart_billing_exact(spark, folder):
-    return _billing(order_star(spark, folder), exact_cents=True)
+@report
+def mart_billing_exact(star):
+    return _billing(star, exact_cents=True)
 
 
-@query
-def mart_sql(spark, folder):
+@report
+def mart_sql(star):
     """The report as a user writes it against the registered tables."""
-    order_star(spark, folder).register("raw_orders")
-    return spark.sql("""
+    star.register("raw_orders")
+    return star.spark.sql("""
         SELECT n.nation_name, s.segment_name, count(*) AS order_count,
                round(avg(f.order_price), 2) AS avg_price,
                round(sum(f.order_price), 2) AS total_price
@@ -108,20 +126,20 @@ def mart_sql(spark, folder):
     """)
 
 
-@query
-def star_dims(spark, folder):
-    return order_star(spark, folder).members().select("dim_name", F.col("id").cast("int"), "label")
+@report
+def star_dims(star):
+    return star.members().select("dim_name", F.col("id").cast("int"), "label")
 
 
-@query
-def star_fact(spark, folder):
-    return _portable(order_star(spark, folder).fact().drop(ORDER_STAR.fact_key))
+@report
+def star_fact(star):
+    return _portable(star.fact().drop(ORDER_STAR.fact_key))
 
 
-@query
-def fact_ids(spark, folder):
+@report
+def fact_ids(star):
     ids = F.col(ORDER_STAR.fact_key)
-    return order_star(spark, folder).fact().agg(
+    return star.fact().agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(ids).alias("first_id"),
         F.max(ids).alias("last_id"),
@@ -129,18 +147,28 @@ def fact_ids(spark, folder):
     )
 
 
-@query
-def star_decode(spark, folder):
-    star = order_star(spark, folder)
+@report
+def star_decode(star):
     return _portable(decode(star.fact(), ORDER_STAR, star.dimensions()))
 
 
-@query
-def unmatched_keys(spark, folder):
+@report
+def star_constraints(star):
+    """The declared constraints of the star's own tables."""
+    return violations(star.tables(), ORDER_STAR.contracts)
+
+
+@report
+def unmatched_keys(star):
     """Labels of all orders against dimensions numbered before urgent and pending orders came in."""
-    raw = order_star(spark, folder).raw()
+    raw = star.raw()
     known = raw.filter((F.col("o_orderpriority") != "1-URGENT") & (F.col("o_orderstatus") != "P"))
-    members = number_members(label_counts(known, ORDER_STAR.dimensions))
+    counts = label_counts(known, ORDER_STAR.dimensions)
+    if all(size.broadcastable for size in label_sizes(counts).values()):
+        members = number_members(counts)
+    else:
+        scratch = Scratch(star.spark)
+        members = number_many_members(scratch.store(counts, "labels"), scratch)
     return unmatched_labels(label_counts(raw, ORDER_STAR.dimensions), members)
 
 
@@ -150,15 +178,16 @@ def dense_ids(spark, folder):
     return with_ordered_ids(orders, [F.col("o_orderkey")], Scratch(spark), "row_id")
 
 
-@query
-def row_reconciliation(spark, folder):
-    star = order_star(spark, folder)
+@report
+def row_reconciliation(star):
     return reconcile(star.raw(), star.fact())
 
 
-@query
-def dim_expectations(spark, folder):
-    return member_expectations(spark, order_star(spark, folder).members(), EXPECTED_ORDER_MEMBERS)
+@report
+def dim_expectations(star):
+    """Against the sizes the dimensions have, but for one that is wrong and one that is not there."""
+    expected = {**EXPECTED_ORDER_MEMBERS, "dim_priority": 4, "dim_currency": 2}
+    return member_expectations(star.spark, star.members(), expected)
 
 
 @query
@@ -188,7 +217,8 @@ def reject_summary(spark, folder):
 
 @query
 def csv_gate(spark, folder):
-    """Customers written as text with faults, read back under the contract and classified."""
+    """Customers written as text with faults and with line breaks in the first, a middle and the last
+    column, read back under the contract and classified."""
     text = read_text_table(spark, _customer_extract(spark, folder, Scratch(spark)), CUSTOMER_EXTRACT)
     rows = classify(parse_table(text, CUSTOMER_EXTRACT), BALANCE_RULES)
     return rows.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "reject_reason")
@@ -227,6 +257,58 @@ def ingest_upsert(spark, folder):
     return _portable(spark.read.schema(STORED_ORDERS.schema).parquet(target))
 
 
+@query
+def ingest_partitioned(spark, folder):
+    """All orders into a table laid out by priority, then one priority again, with its price raised."""
+    scratch = Scratch(spark)
+    orders = scratch.store(_keyed_orders(spark, folder), "orders")
+    target = scratch.path("target")
+    insert_if_absent(spark, orders, target, STORED_ORDERS, partition_by="o_orderpriority")
+    urgent = ORDERS.project(orders.filter("o_orderpriority = '1-URGENT'"))
+    raised = urgent.withColumn("o_totalprice", F.expr("CAST(o_totalprice + 1 AS DECIMAL(18,2))"))
+    both = urgent.unionByName(raised.filter("o_orderkey % 2 = 0"))
+    batch = scratch.store(with_fingerprint(both, ORDERS.columns), "batch")
+    insert_if_absent(spark, batch, target, STORED_ORDERS, partition_by="o_orderpriority")
+    return _portable(STORED_ORDERS.project(spark.read.parquet(target)))
+
+
+@query
+def stage_refused(spark, folder):
+    """Rows of a staged table before and after a staging that its types refuse."""
+    scratch = Scratch(spark)
+    good, wrong, staged = scratch.path("good"), scratch.path("wrong"), scratch.path("staged")
+    customers = table(spark, folder, "customer").select(*CUSTOMER_EXTRACT.columns)
+    customers.write.csv(good, header=True)
+    broken = F.concat(F.col("c_acctbal").cast("string"), F.lit(" USD"))
+    customers.withColumn("c_acctbal", broken).write.csv(wrong, header=True)
+    before = stage_csv(spark, good, CUSTOMER_EXTRACT, staged).count()
+    refused = False
+    try:
+        stage_csv(spark, wrong, CUSTOMER_EXTRACT, staged)
+    except ContractError:
+        refused = True
+    after = spark.read.parquet(current_path(spark, staged)).agg(
+        F.count(F.lit(1)).alias("rows_after"), F.count("c_acctbal").alias("balances_after")
+    )
+    return after.select(F.lit(before).cast("bigint").alias("rows_before"), "*", F.lit(refused).alias("refused"))
+
+
+@query
+def quarantine_rerun(spark, folder):
+    """Copies in quarantine per reason after two batch runs of one extract and two streams of another."""
+    scratch = Scratch(spark)
+    targets = Targets.under(scratch.root, "customers")
+    batch, arrivals = (_customer_extract(spark, folder, Scratch(spark)) for _ in range(2))
+    for _ in range(2):
+        run_ingest(spark, batch, targets, CUSTOMER_EXTRACT, STORED_CUSTOMERS, BALANCE_RULES)
+    for stream in ("first", "second"):
+        loading = ingest_arrivals(
+            spark, arrivals, targets, CUSTOMER_EXTRACT, STORED_CUSTOMERS, BALANCE_RULES, scratch.path(stream)
+        )
+        loading.awaitTermination()
+    return spark.read.parquet(targets.quarantine).groupBy("reject_reason").agg(F.sum("copies").alias("n_rows"))
+
+
 @query
 def ingest_rerun(spark, folder):
     """Rows before and after loading one batch of documents, copies included, twice."""
@@ -243,10 +325,10 @@ def ingest_rerun(spark, folder):
 
 @query
 def upsert_replace(spark, folder):
-    """Last order per customer: early orders first, then the rest, replacing on the customer."""
+    """Last order per customer of each batch: late orders first, then early ones, which replace them."""
     scratch = Scratch(spark)
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    for early in (True, False):
+    for early in (False, True):
         batch = orders.filter((F.col("o_orderdate") < "1996-01-01") == F.lit(early))
         replace_on_key(
             spark, batch, scratch.path("target"), LAST_ORDERS, ["o_orderdate", "o_orderkey"], buckets=8
@@ -256,7 +338,10 @@ def upsert_replace(spark, folder):
 
 @query
 def run_audit(spark, folder):
-    """Run log of two ingests of the customer extract into one table; counts a step lacks are 0."""
+    """Run log of two ingests of the customer extract into one table, with its text lines.
+
+    Counts a step lacks are 0; the extract's path, which no two runs share, is cut out of the text.
+    """
     scratch = Scratch(spark)
     source = _customer_extract(spark, folder, scratch)
     targets = Targets.under(scratch.root, "customers")
@@ -264,7 +349,17 @@ def run_audit(spark, folder):
         run_ingest(spark, source, targets, CUSTOMER_EXTRACT, STORED_CUSTOMERS, BALANCE_RULES)
     log = spark.read.schema(AUDIT_SCHEMA).parquet(targets.audit)
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_in", "rows_out", "rejected")]
-    return log.select("step", *counts, "status")
+    line = F.replace("line", F.lit(source), F.lit("the extract"))
+    stamp = r"^\[\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\] "
+    return log.select("step", *counts, "status", log_line().alias("line")).select(
+        "step",
+        "rows_in",
+        "rows_out",
+        "rejected",
+        "status",
+        F.regexp_replace(line, stamp, "").alias("message"),
+        F.col("line").rlike(stamp).alias("stamped"),
+    )
 
 
 # Profile
@@ -312,8 +407,7 @@ def profile_duplicates(spark, folder):
 
 @query
 def profile_numeric(spark, folder):
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
-    summary = numeric_summary(table(spark, folder, "lineitem"), columns)
+    summary = numeric_summary(table(spark, folder, "lineitem"))
     rounded = [F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     return summary.select("column_name", "n", *rounded)
 
@@ -350,13 +444,18 @@ def date_logic(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     both = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    late = profile.dates_out_of_order(both, "o_orderdate", "l_shipdate").select(
+    # Ordered at noon, shipped in the hour of the line's number; a fifth line's time is a bare word.
+    shipped = F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))
+    timed = both.select(
         "l_orderkey",
         "l_linenumber",
-        F.to_date("o_orderdate").alias("order_date"),
-        F.to_date("l_shipdate").alias("ship_date"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(12))).alias("ordered_at"),
+        F.when(F.col("l_linenumber") == 5, "soon")
+        .otherwise(F.date_format(shipped, "yyyy-MM-dd HH:mm:ss"))
+        .alias("shipped_at"),
     )
-    return _portable(late)
+    problems = profile.dates_out_of_order(timed, "ordered_at", "shipped_at")
+    return problems.select("l_orderkey", "l_linenumber", "shipped_at", "date_problem")
 
 
 @query
@@ -365,6 +464,90 @@ def preview_topn(spark, folder):
     return profile.preview(orders, ["o_orderkey", "o_orderpriority", "o_totalprice"], ["o_orderkey"], 10)
 
 
+# Sources, catalog and DDL
+
+
+@query
+def source_files(spark, folder):
+    """Rows in the listed files of an extract that was written in a folder per segment."""
+    path = Scratch(spark).path("extract")
+    table(spark, folder, "customer").write.partitionBy("c_mktsegment").csv(path, header=True)
+    extract = spark.read.csv(path, header=True)
+    listed = small_frame(spark, [(name.rsplit("/", 1)[1],) for name in files_of(extract)], "file string")
+    file = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    held = extract.groupBy(file.alias("file"), F.col("c_mktsegment").alias("segment")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    found = held.join(listed.distinct(), "file")
+    return found.groupBy("segment").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query
+def source_refusals(spark, folder):
+    """What the header check makes of the customers: as they are, one column short, one in capitals,
+    and where there is no file."""
+    scratch = Scratch(spark)
+    customers = table(spark, folder, "customer").select(*CUSTOMER_EXTRACT.columns)
+    cases = {
+        "whole": customers,
+        "column short": customers.drop("c_acctbal"),
+        "other case": customers.withColumnRenamed("c_name", "C_NAME"),
+        "no file": None,
+    }
+    rows = []
+    for case, df in cases.items():
+        path = scratch.path(case.replace(" ", "-"))
+        if df is not None:
+            df.write.csv(path, header=True)
+        try:
+            n_rows, outcome = read_text_table(spark, path, CUSTOMER_EXTRACT).count(), "read"
+        except SourceError:
+            n_rows, outcome = 0, "no source"
+        except ContractError:
+            lacking = CUSTOMER_EXTRACT.missing_from(header_of(spark, path))
+            n_rows, outcome = 0, f"lacks {','.join(lacking)}"
+        rows.append((case, outcome, n_rows))
+    scratch.drop()
+    return small_frame(spark, rows, "source_case string, outcome string, n_rows bigint")
+
+
+@query
+def table_catalog(spark, folder):
+    """Every given table that the catalog lists, with its columns' types and its rows."""
+    for name in TABLES:
+        register(table(spark, folder, name), f"given_{name}")
+    rows = []
+    for name in [n.removeprefix("given_") for n in table_names(spark) if n.startswith("given_")]:
+        df = spark.table(f"given_{name}")
+        n_rows = df.count()
+        rows += [(name, c, t, n_rows) for c, t in profile.column_types(df)]
+    return small_frame(spark, rows, "table_name string, column_name string, type string, n_rows bigint")
+
+
+@query
+def ddl_lines(spark, folder):
+    """The exported CREATE TABLE text of the given tables, their names written with blanks."""
+    scratch = Scratch(spark)
+    contracts = [
+        Contract(name, tuple(Field(c.replace("_", " "), t) for c, t in table(spark, folder, name).dtypes))
+        for name in TABLES
+    ]
+    export_ddl(spark, contracts, scratch.path("ddl"))
+    return spark.read.text(scratch.path("ddl")).select(F.rtrim("value").alias("line")).filter("line <> ''")
+
+
+@query
+def blank_names(spark, folder):
+    """Reports over customers whose column names hold blanks, dots and quotes."""
+    renamed = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("Customer Key"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("Segment.Name"),
+        F.col("c_nationkey").alias("Nation `Key`"),
+    )
+    nulls = profile.null_counts(renamed)
+    return nulls.join(profile.distinct_counts(renamed), "column_name")
+
+
 # Parts
 
 
@@ -403,11 +586,18 @@ def _customer_extract(spark, folder, scratch):
         .when(F.col("c_mktsegment") == "BUILDING", F.concat("c_acctbal", F.lit(" USD")))
         .otherwise(F.col("c_acctbal").cast("string"))
     )
-    name = F.concat(F.col("c_name"), F.lit(', "a|b\\'), F.col("c_nationkey").cast("string"))
+    key = F.col("c_custkey").cast("string")
+    key = F.when(F.col("c_nationkey") == 3, F.concat(F.lit("\n"), key)).otherwise(key)
+    cut = F.when(F.col("c_nationkey") == 5, "\n").otherwise(", ")
+    name = F.concat(F.col("c_name"), cut, F.lit('"a|b\\'), F.col("c_nationkey").cast("string"))
+    segment = F.when(F.col("c_nationkey") == 7, F.concat("c_mktsegment", F.lit("\nplus"))).otherwise(
+        F.col("c_mktsegment")
+    )
+    cells = {"c_custkey": key, "c_acctbal": balance, "c_name": name, "c_mktsegment": segment}
     path = scratch.path("extract")
     table(spark, folder, "customer").select(
         *[
-            {"c_acctbal": balance, "c_name": name}.get(c, exact(c)).cast("string").alias(c)
+            cells.get(c, exact(c)).cast("string").alias(c)
             for c in CUSTOMER_EXTRACT.columns
         ]
     ).write.options(header=True, quote='"', escape='"').csv(path)

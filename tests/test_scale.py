@@ -20,16 +20,23 @@ from ledgerstar.operators.upsert import (
     replace_on_key,
 )
 from ledgerstar.plans.marts import measure_by
-from ledgerstar.plans.order_star import ORDER_STAR, order_star
+from ledgerstar.plans.order_star import ORDER_STAR, build_order_star
+from ledgerstar.plans.query_set import QUERIES
 from ledgerstar.session import Scratch
 from ledgerstar.sources.tables import table
 
 PAIRS = Contract(
     "pairs", (Field("row_hash", "string"), Field("k", "int"), Field("v", "string")), ("row_hash",)
 )
+row_reconciliation = QUERIES["row_reconciliation"]
 LATEST = Contract("latest", (Field("k", "int"), Field("seq", "int"), Field("v", "string")), ("k",))
 
 
+@pytest.fixture(scope="module")
+def star(spark):
+    return build_order_star(spark, SMALL)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -77,8 +84,7 @@ def test_ordered_ids_with_a_key_and_copies_filling_the_table(spark, folder):
     assert [(r.k, r.v) for r in numbered] == sorted(rows)
 
 
-def test_numbering_rows_shuffles_none_of_them(spark):
-    star = order_star(spark, SMALL)
+def test_numbering_rows_shuffles_none_of_them(spark, star):
     numbered = with_file_order_ids(spark, star.raw_folder, "order_id")
     fact = resolve_keys(numbered, ORDER_STAR, star.dimensions(), "inner", "order_id")
     text = plan(fact)
@@ -90,9 +96,9 @@ def test_numbering_rows_shuffles_none_of_them(spark):
     assert "ReadSchema: struct<>" in text
 
 
-def test_report_groups_keys_before_it_decodes_them(spark):
+def test_report_groups_keys_before_it_decodes_them(star):
     report = measure_by(
-        order_star(spark, SMALL), ("dim_nation", "dim_segment"), "order_price", "n", "avg", "total"
+        star, ("dim_nation", "dim_segment"), "order_price", "n", "avg", "total"
     )
     text = plan(report)
     assert text.index("BroadcastHashJoin") < text.index("HashAggregate")
@@ -100,8 +106,8 @@ def test_report_groups_keys_before_it_decodes_them(spark):
     assert "partial_sum" in text
 
 
-def test_label_scan_reads_labels_only_and_folds_first(spark):
-    text = plan(label_counts(order_star(spark, SMALL).raw(), ORDER_STAR.dimensions))
+def test_label_scan_reads_labels_only_and_folds_first(star):
+    text = plan(label_counts(star.raw(), ORDER_STAR.dimensions))
     assert "o_totalprice" not in text
     assert text.index("Exchange hashpartitioning") < text.index("partial_count")
 
@@ -186,6 +192,71 @@ def test_replace_on_key_rewrites_touched_buckets_only(spark, folder):
     assert len(before - after) == 1 and len(after - before) == 1
 
 
+def test_replace_on_key_merges_in_more_tasks_than_buckets(spark, folder, monkeypatch):
+    """Rows of two buckets are merged by key in all eight partitions, touched buckets listed or not."""
+    from ledgerstar.operators import upsert
+
+    path = f"{folder}/t"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    tasks = []
+    chosen = upsert.latest_per_key
+    monkeypatch.setattr(upsert, "latest_per_key", lambda *a: tasks.append(chosen(*a)) or tasks[-1])
+    try:
+        first = spark.createDataFrame([(i, 1, "old") for i in range(400)], LATEST.schema)
+        replace_on_key(spark, first, path, LATEST, ["seq"], buckets=2)
+        sizes = tasks[-1].groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_unlisted_buckets_are_not_rewritten(spark, folder, monkeypatch):
+    from ledgerstar.operators import upsert
+
+    monkeypatch.setattr(upsert, "MAX_LISTED_PARTITIONS", 0)
+    path = f"{folder}/t"
+    first = spark.createDataFrame([(i, 1, "old") for i in range(100)], LATEST.schema)
+    replace_on_key(spark, first, path, LATEST, ["seq"], buckets=16)
+    before = set(spark.read.parquet(path).inputFiles())
+    second = spark.createDataFrame([(5, 2, "new")], LATEST.schema)
+    assert replace_on_key(spark, second, path, LATEST, ["seq"]).rows_after == 100
+    after = set(spark.read.parquet(path).inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
+
+
+def test_only_touched_partitions_are_searched(spark, folder):
+    from ledgerstar.operators.upsert import _touched
+
+    path = f"{folder}/t"
+    rows = pairs(spark, [(i, v) for i in range(10) for v in ("a", "b", "c", "d")])
+    insert_if_absent(spark, rows, path, PAIRS, partition_by="v")
+    target = spark.read.schema(PAIRS.schema).parquet(path)
+    touched = _touched(target, rows.filter("v in ('a', 'c')"), "v")
+    assert "PartitionFilters: [v" in plan(touched)
+    assert {p.split("v=")[1][0] for p in (r[0] for r in touched.select("_metadata.file_path").distinct().collect())} == {"a", "c"}
+
+
+def test_reports_follow_changed_tables(spark, folder):
+    for name in ("orders", "customer", "nation"):
+        table(spark, SMALL, name).write.parquet(f"{folder}/{name}.parquet")
+    count = lambda: row_reconciliation(spark, folder).first().fact_rows
+    before = count()
+    table(spark, SMALL, "orders").withColumn("o_orderkey", F.col("o_orderkey") + 10**9).write.mode("append").parquet(
+        f"{folder}/orders.parquet"
+    )
+    assert count() == 2 * before
+
+
+def test_average_in_cents_is_rounded_once(spark):
+    from ledgerstar.plans.marts import _average_cents
+
+    cents = [(1, 50.0, 10_001), (2, 0.01, 1), (3, -0.05, 2), (4, 0.05, 2)]
+    rows = [(g, total if i == 0 else 0.0) for g, total, n in cents for i in range(n)]
+    amount = F.col("v").cast("decimal(18,2)")
+    frame = spark.createDataFrame(rows, "g int, v double").groupBy("g").agg(_average_cents(amount).alias("a"))
+    assert sorted(map(tuple, frame.collect())) == [(1, 0.0), (2, 0.01), (3, -0.03), (4, 0.03)]
+
+
 def test_bucket_count_cannot_change(spark, folder):
     rows = spark.createDataFrame([(1, 1, "a")], LATEST.schema)
     replace_on_key(spark, rows, f"{folder}/t", LATEST, ["seq"], buckets=4)
