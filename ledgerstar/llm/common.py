@@ -33,6 +33,21 @@ def unit_hash(*cols: Column) -> Column:
     return top.cast("double") / float(1 << 53)
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, text: str, key: str
+) -> tuple[DataFrame, dict[int, int]]:
+    """``key, y, text`` of at most ``per_class`` rows of either 0 or 1 label, and the labels' counts.
+
+    Rows are chosen among the labels, before any text is read; as their number is bounded by
+    ``per_class``, they go to the texts in a broadcast and no text is shuffled. NULL texts count as empty.
+    """
+    usable = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("y"))
+    counts = {r[0]: r[1] for r in usable.groupBy("y").count().collect()}
+    chosen = sample_per_class(usable, "y", per_class, 2, "key")
+    texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "key"), counts
+
+
 def sample_per_class(df: DataFrame, label: str, per_class: int, max_classes: int, *key: str) -> DataFrame:
     """At most ``per_class`` rows of each of the ``max_classes`` most frequent labels.
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import sample_per_class
+from ledgerstar.llm.common import labelled_sample
 from ledgerstar.session import Scratch
 
 LOWER, UPPER, OTHER_LETTER, DIGIT, SPACE, BREAK, STOP, SHOUT, BAR, SYMBOL = range(10)
@@ -190,21 +190,20 @@ def train(x: np.ndarray, owner: np.ndarray, y: np.ndarray, settings: Settings) -
 
 
 def fit(
-    labelled: DataFrame, settings: Settings = Settings(), text: str = "text", label: str = "quality", key: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    settings: Settings = Settings(),
+    text: str = "text",
+    label: str = "quality",
+    key: str = "doc_id",
 ) -> QualityModel:
-    """Fit on a bounded, class-balanced sample of rows with a 0 or 1 label; the intercept is set back to
-    the labels' true shares. Without both labels the model gives every text the share of ones."""
-    scratch = Scratch(labelled.sparkSession)
+    """Fit on a bounded, class-balanced sample of the texts of ``docs`` whose key has a 0 or 1 in
+    ``labels``; the intercept is set back to the labels' true shares. Without texts of both labels the
+    model gives every text the share of ones."""
+    scratch = Scratch(docs.sparkSession)
     classes = character_classes()
-    usable = labelled.filter(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"), F.col(key).alias("key")
-    )
-    shares = {r[0]: r[1] for r in usable.groupBy("y").count().collect()}
-    if len(shares) < 2:
-        share = 0.5 if not shares else min(0.999, max(0.001, float(next(iter(shares)))))
-        return QualityModel(classes, np.full(1, np.log(share / (1 - share))), np.ones(1), {}, settings.passage_chars)
-    sample = sample_per_class(usable, "y", settings.rows_per_class, 2, "key", "text")
-    shared = labelled.sparkSession.sparkContext.broadcast(classes)
+    sample, shares = labelled_sample(docs, labels, label, settings.rows_per_class, text, key)
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -222,6 +221,10 @@ def fit(
         bags.append(np.frombuffer(row["bag"], dtype=np.float32).reshape(-1, N_FEATURES))
         y.append(row["y"])
         n += row["n"]
+    if len(set(y)) < 2:
+        scratch.drop()
+        share = (shares.get(1, 0) + 0.5) / (sum(shares.values()) + 1.0)
+        return QualityModel(classes, np.full(1, np.log(share / (1 - share))), np.ones(1), {}, settings.passage_chars)
     x = np.vstack(bags).astype(np.float64)
     owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-3

@@ -52,12 +52,9 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs).drop("text")
 
 
-def learnable(spark: SparkSession, sf_dir: str, label: str, held_out: Column) -> DataFrame:
-    """Texts with a label that may be learned from: ``doc_id, text`` and the label."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", label).filter(F.col(label).isNotNull())
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    open_labels = labels.filter(F.col("doc_id").isNotNull() & ~held_out)
-    return docs.join(open_labels, "doc_id")
+def learnable(spark: SparkSession, sf_dir: str, held_out: Column) -> DataFrame:
+    """Labels that may be learned from."""
+    return table(spark, sf_dir, "labels").filter(F.col("doc_id").isNotNull() & ~held_out)
 
 
 def scored(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:
@@ -68,14 +65,14 @@ def scored(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = is_remainder(F.col("doc_id"), 4, 2)
-    model = toxicity.fit(learnable(spark, sf_dir, "toxic", held_out))
+    model = toxicity.fit(docs, learnable(spark, sf_dir, held_out))
     return scored(docs, held_out, toxicity.toxicity_of(model, F.col("text"), spark))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = is_remainder(F.col("doc_id"), 5, 0)
-    model = quality.fit(learnable(spark, sf_dir, "quality", held_out))
+    model = quality.fit(docs, learnable(spark, sf_dir, held_out))
     return scored(docs, held_out, quality.quality_of(model, F.col("text"), spark))
 
 

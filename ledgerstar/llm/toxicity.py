@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import sample_per_class
+from ledgerstar.llm.common import labelled_sample
 from ledgerstar.session import Scratch
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -166,26 +166,25 @@ def solve(
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     settings: Settings = Settings(),
     groups=IDENTITY_GROUPS,
     text: str = "text",
     label: str = "toxic",
     key: str = "doc_id",
 ) -> ToxicityModel:
-    """Fit on a bounded, class-balanced sample of rows with a 0 or 1 label; the intercept is set back to
-    the labels' true shares. Without both labels the model gives every text the share of ones."""
-    scratch = Scratch(labelled.sparkSession)
-    usable = labelled.filter(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"), F.col(key).alias("key")
-    )
-    shares = {r[0]: r[1] for r in usable.groupBy("y").count().collect()}
-    if len(shares) < 2:
-        share = 0.5 if not shares else min(0.999, max(0.001, float(next(iter(shares)))))
-        return ToxicityModel({}, float(np.log(share / (1 - share))), settings.prefixes)
-    chosen = sample_per_class(usable, "y", settings.rows_per_class, 2, "key", "text")
+    """Fit on a bounded, class-balanced sample of the texts of ``docs`` whose key has a 0 or 1 in
+    ``labels``; the intercept is set back to the labels' true shares. Without texts of both labels the
+    model gives every text the share of ones."""
+    scratch = Scratch(docs.sparkSession)
+    chosen, shares = labelled_sample(docs, labels, label, settings.rows_per_class, text, key)
     sample = scratch.store(chosen.select("text", "y").repartition(16), "sample")
     counts = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
+    if len(counts) < 2:
+        scratch.drop()
+        share = (shares.get(1, 0) + 0.5) / (sum(shares.values()) + 1.0)
+        return ToxicityModel({}, float(np.log(share / (1 - share))), settings.prefixes)
     chi = _chi_square(counts[1], counts[0])
     seen = _feature_counts(sample, "y", settings.prefixes).filter(F.col("positive") + F.col("negative") >= settings.least_documents)
     best = seen.withColumn("chi", chi).filter(F.col("chi") >= settings.least_chi_square)

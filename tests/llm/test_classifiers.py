@@ -53,8 +53,8 @@ def biased_sentences():
 
 def test_penalty_lowers_scores_of_neutral_mentions(spark):
     frame = spark.createDataFrame(biased_sentences(), "doc_id bigint, text string, toxic int")
-    plain = toxicity.fit(frame, toxicity.Settings(counterfactual=0.0))
-    fair = toxicity.fit(frame)
+    plain = toxicity.fit(frame, frame, toxicity.Settings(counterfactual=0.0))
+    fair = toxicity.fit(frame, frame)
     score = lambda model, text: toxicity.Scorer(model).score(text)
     neutral, other = "many muslims live there", "many christians live there"
     assert score(plain, neutral) > score(plain, other) + 0.2
@@ -81,7 +81,8 @@ def test_awkward_rows(spark, module):
         [*biased_sentences(), (None, None, 1), (7, "", 0), (8, "x", None)], f"doc_id bigint, text string, {label} int"
     )
     docs = spark.createDataFrame(AWKWARD, "doc_id bigint, text string, score string")
-    for model in (fit(labelled), fit(labelled.limit(0)), fit(labelled.filter(F.col(label) == 1))):
+    none, ones = labelled.limit(0), labelled.filter(F.col(label) == 1)
+    for model in (fit(labelled, labelled), fit(labelled, none), fit(none, labelled), fit(labelled, ones)):
         scored = docs.withColumn("score", column(model, F.col("text"), spark)).collect()
         assert len(scored) == len(AWKWARD)
         assert all(0 <= r["score"] <= 1 for r in scored)
