@@ -244,10 +244,10 @@ def _bucket_joiner(max_bits: int, bucket_rows: int):
         fresh = np.ones(len(fp), dtype=bool)
         fresh[1:] = (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])
         sizes = np.bincount(np.cumsum(fresh) - 1)
-        over = np.repeat(sizes > bucket_rows, sizes)
-        for first in np.flatnonzero(fresh & over):
-            size = sizes[int(np.cumsum(fresh)[first]) - 1]
+        large = sizes > bucket_rows
+        for first, size in zip(np.flatnonzero(fresh)[large], sizes[large], strict=True):
             yield dealt_again(fp[first : first + size], int(mask[first]))
+        over = np.repeat(large, sizes)
         rows = [x[~over] for x in rows]
         a, b = _links(*rows, max_bits)
         yield batch_of(a, b, np.zeros(len(a), np.int64))
