@@ -44,6 +44,20 @@ def test_ids_are_those_of_the_library(reference):
         assert packing.token_ids(text, encoder, 2).tolist() == reference(text)
 
 
+@pytest.mark.parametrize("space", ["\n", " ", "\u3000", " \t\r\n"])
+def test_very_long_white_space(reference, space):
+    encoder = packing.byte_bpe(PATH, public_tokenizers.PATTERN)
+    runs = [packing.LONG_SPACE - 1, packing.LONG_SPACE, packing.LONG_SPACE + 1]
+    for text in [f"a{(space * n)[:n]}{end}" for n in runs for end in ("", "b", " b!")]:
+        assert packing.token_ids(text, encoder, 2).tolist() == reference(text)
+
+
+def test_very_long_white_space_in_the_query(spark):
+    docs = spark.createDataFrame([(1, "a" + "\n" * 3_000_000 + "b"), (2, "c")], "doc_id bigint, text string")
+    sizes = {r[0]: r[1] for r in queries.packed(docs).groupBy("doc_id").sum("length").collect()}
+    assert sizes == {1: 1_500_004, 2: 2}
+
+
 def test_pieces_round_trip(spark, reference):
     rows = [(i, t, 5) for i, t in enumerate(TEXTS * 3)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, item int")
