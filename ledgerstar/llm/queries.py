@@ -42,7 +42,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of ``docs`` in sequences of 1024 tokens, by their digests."""
     pieces = packing.packed_pieces(
-        docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=False
+        docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=False, special_ids=True
     )
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

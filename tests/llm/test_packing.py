@@ -44,6 +44,28 @@ def test_ids_are_those_of_the_library(reference):
         assert packing.token_ids(text, encoder, 2).tolist() == reference(text)
 
 
+def test_special_strings_as_by_the_library_defaults(spark):
+    library = Tokenizer.from_file(PATH)
+    special = "<|endoftext|>"
+    texts = [
+        f"a {special} b", special, special * 3, f"  {special}  x\n{special}\n", f"it's{special}'s <|endoftext|",
+        f"{special}a" + "\n" * packing.LONG_SPACE + f"b {special}", *TEXTS,
+    ]
+    expected = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert expected[0] == [64, 220, 50256, 275, 2]
+    encoder = packing.byte_bpe(PATH, public_tokenizers.PATTERN, special_ids=True)
+    assert [packing.token_ids(t, encoder, 2).tolist() for t in texts] == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"]) for r in queries.packed(docs).collect()}
+    cut = {}
+    for i, ids in enumerate(expected):
+        start = 0
+        for length in packing.piece_lengths(len(ids), 1024):
+            cut[i, start] = (length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes()))
+            start += length
+    assert got == cut
+
+
 @pytest.mark.parametrize("space", ["\n", " ", "\u3000", " \t\r\n"])
 def test_very_long_white_space(reference, space):
     encoder = packing.byte_bpe(PATH, public_tokenizers.PATTERN)
