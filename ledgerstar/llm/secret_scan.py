@@ -1,6 +1,8 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a long run of key-like characters inside a word. The forest sees its length, the make-up and
+A candidate is a long run of key-like characters inside a word, or any value, of whatever length and
+characters, that is assigned to a key word or stands as the password of an address. It ends with its word
+at the latest. The forest sees its length, the make-up and
 the changes of its character classes, how usual its letter pairs are and how much of it the corpus's own
 dictionary covers, where it stands (path), and the words around it. It is trained on labelled findings and
 scores every candidate. All steps are DataFrame operations and Spark's own forest; no Python runs on the
@@ -24,7 +26,17 @@ from ledgerstar.llm.common import sample_per_class
 from ledgerstar.session import Scratch
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{14,}={0,2}"
-KEY_WORD = r"(?i)token|secret|passw|pwd|credential|bearer|auth|api_?key|access_?key|private_?key"
+KEYS = "token|secret|passw|pwd|credential|bearer|auth|api_?key|access_?key|private_?key"
+KEY_WORD = f"(?i){KEYS}"
+_NAME = rf"(?:{KEYS})[\w.\-]*[\"'`\])]{{0,2}}\s?(?::=|=>|={{1,3}}|:)"
+_FOLLOWED = r"[&;,]\w+[\"']?[=:]|[,;)}\]\"'`]+(?:\s|$)"
+# The lead and the value. A name that is assigned itself is no value: "auth: password: x" assigns x alone.
+ASSIGNED = (
+    rf"(?i)({_NAME}\s?(?![\"'`]?[\w.\-]*{_NAME})[\"'`]?)"
+    r"((?<=\")[^\s\"]+|(?<=')[^\s']+|(?<=`)[^\s`]+"
+    rf"|(?<![\"'`])[^\s\"'`](?:(?!{_FOLLOWED})\S)*)"
+)
+ADDRESS_PASSWORD = r"(://[^\s/:@]*:)([^\s/\"']+)(?=@)"
 STAND_IN = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|your[_-]"
 TEST_PATH = r"(?i)test|example|sample|fixture|mock|docs?/"
 CONFIG_PATH = r"(?i)\.(env|ya?ml|ini|cfg|conf|properties|toml|json)$"
@@ -48,45 +60,85 @@ FEATURES = (
     "config_path",
     "path_length",
 )
-MAX_PAIRS = 4096
+UNSEEN = math.log(40_960)
+DICTIONARY_SHARE = 0.001
+
+
+def _found(text: Column, form: str, skip: Column | int) -> Column:
+    """``value, head`` of the matches of a form in a word: ``text`` is the word after ``skip`` characters."""
+    leads = F.regexp_extract_all(text, F.lit(form), F.lit(1))
+    values = F.regexp_extract_all(text, F.lit(form), F.lit(2))
+
+    def one(lead: Column, value: Column) -> Column:
+        at = F.call_function("instr", text, F.concat(lead, value)) - 1 + F.char_length(lead) - skip
+        return F.struct(value.alias("value"), at.alias("at"))
+
+    return F.filter(F.zip_with(leads, values, one), lambda x: x["at"] >= 0)
 
 
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str = "source") -> DataFrame:
-    """``doc_id, place, word, value, before, after, path``: every candidate with its neighbours.
+    """``doc_id, place, word, value, head, before, after, path``: every candidate with its neighbours.
 
-    ``place`` numbers the words of the text from 0; a word may hold several candidates.
+    ``place`` numbers the words of the text from 0; a word may hold several candidates. ``head`` is what
+    stands before the candidate in its word.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    found = docs.filter(body.rlike(CANDIDATE)).select(
+    holds = body.rlike(CANDIDATE) | body.rlike(ASSIGNED) | body.rlike(ADDRESS_PASSWORD)
+    found = docs.filter(holds).select(
         F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), F.split(body, r"\s+").alias("words")
     )
 
-    def occurrence(word: Column, place: Column) -> Column:
-        before = F.concat_ws(" ", F.get("words", place - 2), F.get("words", place - 1))
-        after = F.coalesce(F.get("words", place + 1), F.lit(""))
+    def occurrence(words: Column, word: Column, place: Column) -> Column:
+        last = F.coalesce(F.get(words, place - 1), F.lit(""))
+        before = F.concat_ws(" ", F.get(words, place - 2), F.get(words, place - 1))
+        after = F.coalesce(F.get(words, place + 1), F.lit(""))
         hit = F.struct(place.alias("place"), word.alias("word"), before.alias("before"), after.alias("after"))
-        return F.when(word.rlike(CANDIDATE), hit)
+        sign = word.contains("=") | word.contains(":") | last.contains("=") | last.contains(":")
+        return F.when(word.rlike(CANDIDATE) | sign, hit)
 
-    hits = found.select("doc_id", "path", F.array_compact(F.transform("words", occurrence)).alias("hits"))
+    # The words are a variable here, so that a text is cut once and not for each of its words.
+    each = F.transform(F.array("words"), lambda words: F.transform(words, lambda w, i: occurrence(words, w, i)))
+    hits = found.select("doc_id", "path", F.array_compact(F.flatten(each)).alias("hits"))
     rows = hits.select("doc_id", "path", F.explode("hits").alias("hit")).select("doc_id", "path", "hit.*")
-    values = F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))))
-    return rows.withColumn("value", values)
+    # The words that the name and its sign can stand in: both before, the last one, or the word alone.
+    last = F.call_function("substring_index", F.col("before"), F.lit(" "), F.lit(-1))
+    lead = (
+        F.when(last.rlike(r"^(:=|=>|={1,3}|:)[\"'`]?$"), F.concat("before", F.lit(" ")))
+        .when(last.rlike(r"[=:>][\"'`]?$") | F.col("word").rlike("^[=:]"), F.concat(last, F.lit(" ")))
+        .otherwise("")
+    )
+    rows = rows.withColumn("lead", lead)
+    long = F.array_distinct(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0)))
+    rows = rows.withColumn("long", long)
+    assigned = _found(F.concat("lead", "word"), ASSIGNED, F.char_length("lead"))
+    password = _found(F.col("word"), ADDRESS_PASSWORD, 0)
+    others = F.filter(F.array_union(assigned, password), lambda x: ~F.array_contains(F.col("long"), x["value"]))
+    first = F.transform(
+        "long", lambda v: F.struct(v.alias("value"), (F.call_function("instr", F.col("word"), v) - 1).alias("at"))
+    )
+    one = rows.withColumn("one", F.explode(F.concat(first, others)))
+    head = F.substring(F.col("word"), F.lit(1), F.col("one.at"))
+    return one.select("doc_id", "path", "place", "word", "before", "after", F.col("one.value").alias("value"), head.alias("head"))
 
 
 def dictionary(docs: DataFrame, least_documents: int = 20, text: str = "text") -> DataFrame:
-    """``word, documents``: lower-cased runs of three to twenty letters in at least so many documents."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"\p{L}{3,}"), F.lit(0)))
-    counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
-    return counts.filter((F.col("documents") >= least_documents) & (F.char_length("word") <= 20))
+    """``word, documents``: lower-cased runs of three to twenty letters in at least so many different texts,
+    and in at least ``DICTIONARY_SHARE`` of them."""
+    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("body"))
+    n_texts = texts.agg(F.count_distinct(F.xxhash64("body"))).first()[0]
+    floor = max(least_documents, math.ceil(DICTIONARY_SHARE * n_texts))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(r"\p{L}{3,}"), F.lit(0)))
+    counts = texts.distinct().select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
+    return counts.filter((F.col("documents") >= floor) & (F.char_length("word") <= 20))
 
 
 def letter_pairs(words: DataFrame) -> DataFrame:
-    """``pair, surprise`` of the ``MAX_PAIRS`` most frequent letter pairs of a dictionary."""
+    """``pair, surprise`` of the pairs of letters a to z, which are those of a long run, in a dictionary."""
     pairs = F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))
-    counts = words.select(F.explode(pairs).alias("pair"), "documents").groupBy("pair").agg(F.sum("documents").alias("n"))
-    top = counts.orderBy(F.desc("n"), "pair").limit(MAX_PAIRS)
-    total = top.agg(F.sum("n")).first()[0] or 1
-    return top.select("pair", (-F.log(F.col("n") / total)).alias("surprise"))
+    every = words.select(F.explode(pairs).alias("pair"), "documents").filter(F.col("pair").rlike("^[a-z]{2}$"))
+    counts = every.groupBy("pair").agg(F.sum("documents").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    return counts.select("pair", (-F.log(F.col("n") / total)).alias("surprise"))
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -104,17 +156,17 @@ def value_features(values: DataFrame, words: DataFrame, pairs: DataFrame) -> Dat
         _share(value, "[A-Z]").alias("upper_share"),
         _share(value, "[a-z]").alias("lower_share"),
         _share(value, "[^A-Za-z0-9]").alias("symbol_share"),
-        ((F.char_length(kinds) - 1) / (F.char_length(value) - 1)).alias("class_changes"),
+        ((F.char_length(kinds) - 1) / F.greatest(F.char_length(value) - 1, F.lit(1))).alias("class_changes"),
     )
     lowered = F.lower(value)
-    of_pairs = F.transform(F.sequence(F.lit(1), F.char_length(value) - 1), lambda i: F.substring(lowered, i, F.lit(2)))
-    unseen = math.log(10 * MAX_PAIRS)
-    # The pair table has MAX_PAIRS rows at most, whatever the corpus.
+    places = F.when(F.char_length(value) > 1, F.sequence(F.lit(1), F.char_length(value) - 1))
+    of_pairs = F.transform(places, lambda i: F.substring(lowered, i, F.lit(2)))
+    # The pair table has 26 times 26 rows at most, whatever the corpus.
     surprise = (
         values.select("value", F.explode(of_pairs).alias("pair"))
         .join(F.broadcast(pairs), "pair", "left")
         .groupBy("value")
-        .agg(F.avg(F.coalesce("surprise", F.lit(unseen))).alias("letter_pairs"))
+        .agg(F.avg(F.coalesce("surprise", F.lit(UNSEEN))).alias("letter_pairs"))
     )
     runs = F.regexp_extract_all(lowered, F.lit(r"\p{L}{3,}"), F.lit(0))
     covered = (
@@ -126,21 +178,20 @@ def value_features(values: DataFrame, words: DataFrame, pairs: DataFrame) -> Dat
     joined = base.join(surprise, "value", "left").join(covered, "value", "left")
     return joined.withColumns(
         {
-            "letter_pairs": F.coalesce("letter_pairs", F.lit(unseen)),
+            "letter_pairs": F.coalesce("letter_pairs", F.lit(UNSEEN)),
             "dictionary_share": F.coalesce("covered", F.lit(0)) / F.col("length"),
         }
     ).drop("covered")
 
 
-def _head() -> Column:
-    """What stands before the candidate in its word."""
-    return F.call_function("substring_index", F.col("word"), F.col("value"), F.lit(1))
+def _tail() -> Column:
+    """What stands after the candidate in its word, 40 characters of it."""
+    return F.substring(F.col("word"), F.char_length("head") + F.char_length("value") + 1, F.lit(40))
 
 
 def with_context(rows: DataFrame) -> DataFrame:
     """Features of a candidate's place: the rest of its word, its neighbours and its path."""
-    head = _head()
-    tail = F.substring(F.col("word"), F.char_length(head) + F.char_length("value") + 1, F.lit(40))
+    head, tail = F.col("head"), _tail()
     near = F.concat_ws(" ", F.col("before"), head)
     path = F.coalesce(F.col("path"), F.lit(""))
     flags = {
@@ -161,14 +212,19 @@ def labels_by_format(rows: DataFrame) -> DataFrame:
     """Findings whose label their format settles, as ``label``; the others are left out.
 
     Secrets: an access key id of fixed form, or a hexadecimal or mixed value assigned to a name that says
-    so. Not secrets: values of letters only or of digits only, and parts of addresses.
+    so, or a shorter one of three kinds of characters that is so assigned or the password of an address.
+    Not secrets: values of letters only or of digits only, and other parts of addresses.
     """
     value, word = F.col("value"), F.col("word")
-    near = F.concat_ws(" ", F.col("before"), _head())
+    near = F.concat_ws(" ", F.col("before"), F.col("head"))
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.char_length(value) >= 16)
     assigned = near.rlike(KEY_WORD) & near.rlike(r"[=:]\s*[\"']?$") & ~near.rlike(STAND_IN)
-    plain = value.rlike(r"^([A-Za-z]+|[0-9]+)$") | word.rlike(r"@|://")
-    label = F.when(value.rlike("^AKIA[0-9A-Z]{16}$") | (mixed & assigned), 1).when(plain, 0)
+    password = F.col("head").rlike(r"://[^\s/:@]*:$") & _tail().startswith("@") & ~near.rlike(STAND_IN)
+    kinds = sum(value.rlike(kind).cast("int") for kind in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    short = (kinds >= 3) & (F.char_length(value) >= 8)
+    plain = value.rlike(r"^([A-Za-z]+|[0-9]+)$") | (word.rlike(r"@|://") & ~assigned & ~password)
+    settled = value.rlike("^AKIA[0-9A-Z]{16}$") | (mixed & assigned) | (short & (assigned | password))
+    label = F.when(settled, 1).when(plain, 0)
     return rows.withColumn("label", label).filter(F.col("label").isNotNull())
 
 

@@ -62,3 +62,42 @@ def test_awkward_rows(spark):
     )
     assert all(r["score"] == 0.5 and r["is_secret"] for r in found.collect())
     assert secret_scan.scan(docs.limit(0)).count() == 0
+
+
+def test_values_assigned_to_key_words(spark):
+    texts = {
+        'x password = "Tr0ub4dor&3" y': {(3, "Tr0ub4dor&3")},
+        "postgres://user:p@ss!@host/db": {(0, "p@ss!")},
+        "PWD=a": {(0, "a")},
+        "password=b&token=c#$%.": {(0, "b"), (0, "c#$%.")},
+        "auth:\n  password: z9!": {(2, "z9!")},
+        '{"api_key":"q\'w", "n": 1}': {(0, "q'w")},
+        "secret :=s3 done": {(1, "s3")},
+        "the password was lost: again": set(),
+        f"token={digest(1)}": {(0, digest(1))},
+    }
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = secret_scan.scan(docs, labelled=lambda rows: rows.withColumn("label", F.lit(1))).collect()
+    assert sorted((r["doc_id"], r["place"], r["value"]) for r in got) == sorted(
+        (i, *hit) for i, hits in enumerate(texts.values()) for hit in hits
+    )
+    assert all(r["assigned"] == 1.0 for r in got if r["doc_id"] != 1)
+
+
+def test_forest_finds_short_passwords(spark):
+    rows = [(i, t, p) for i, t, p, _ in fixture_rows()]
+    rows += [(1000 + i, f'{PROSE} password = "Ab{i}!x&{digest(i)[:3]}" end', "app/settings.yaml") for i in range(90)]
+    rows += [(2000, f'{PROSE} password = "Tr0ub4dor&3" end', "app/settings.yaml")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = secret_scan.scan(docs).filter("value = 'Tr0ub4dor&3'").collect()
+    assert [(r["doc_id"], r["is_secret"]) for r in found] == [(2000, True)]
+
+
+def test_dictionary_and_pairs(spark):
+    texts = ["abc copied"] * 50 + [f"\u0431\u0432\u0433 the the{i}" for i in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = secret_scan.dictionary(docs, least_documents=20)
+    assert {(r[0], r[1]) for r in words.collect()} == {("the", 30), ("\u0431\u0432\u0433", 30)}
+    assert {r["pair"] for r in secret_scan.letter_pairs(words).collect()} == {"th", "he"}
+    many = spark.range(30_000).selectExpr("concat('all ', if(id < 25, 'rare ', ''), id) AS text")
+    assert {r[0] for r in secret_scan.dictionary(many).collect()} == {"all"}
