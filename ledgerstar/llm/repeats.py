@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import exact
-from ledgerstar.session import Scratch
+from ledgerstar.session import Scratch, delete_folder
 
 ROUNDS = 4
 MARK_SYMBOLS = 2
@@ -270,38 +270,53 @@ def kept_words(text: str | None, places: np.ndarray | None, window: int) -> tupl
 
 def _finish_step(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps, which Spark keeps until the driver collects garbage."""
+    spark.range(1).count()  # else the session holds on to its last job
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+def _shared_marks(texts: DataFrame, scratch: Scratch, window: int, rounds: int) -> DataFrame:
+    """``_id, _digest, shared``: the places in each text's list of marks whose name other documents hold too."""
+    schema = f"_id {texts.schema['_id'].dataType.simpleString()}, _digest bigint, names array<bigint>"
+    named = scratch.store(texts.mapInArrow(_mark_names(window, rounds), schema), "names")
+    marks = named.select("_id", "_digest", F.posexplode("names").alias("mark", "name"))
+    holders = marks.groupBy("name").agg(F.min("_id").alias("least"), F.max("_id").alias("most"))
+    # Written, so that the join below shuffles both its sides itself and can split a name that very many hold.
+    common = scratch.store(holders.filter("least < most").select("name"), "common")
+    _finish_step(texts.sparkSession)
+    shared = marks.join(common, "name", "left_semi")
+    # Rows that repeat a text repeat its marks; each counts once.
+    lists = shared.groupBy("_id", "_digest").agg(F.array_sort(F.collect_set("mark")).alias("shared"))
+    return scratch.store(lists, "shared")
+
+
+def _verified(windows: DataFrame, steps: Scratch, scratch: Scratch) -> DataFrame:
+    """``_id, _digest, places``: the windows whose hash a smaller id has."""
+    holders = windows.groupBy("key", "more").agg(F.min("_id").alias("least"), F.max("_id").alias("most"))
+    first = steps.store(holders.filter("least < most").drop("most"), "first")
+    _finish_step(windows.sparkSession)
+    later = windows.join(first, ["key", "more"]).filter("_id > least")
+    places = later.groupBy("_id", "_digest").agg(F.collect_list("place").alias("places"))
+    return scratch.store(places, "places")
+
+
 def repeated_windows(docs: DataFrame, scratch: Scratch, window: int = 50, rounds: int = ROUNDS) -> DataFrame:
     """``_id, _digest, places``: where the windows start that a smaller id also holds, for each text."""
     spark = docs.sparkSession
     texts = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_digest"), F.col("text").alias("_text")
     )
-    id_type = texts.schema["_id"].dataType.simpleString()
-
-    named = scratch.store(
-        texts.mapInArrow(_mark_names(window, rounds), f"_id {id_type}, _digest bigint, names array<bigint>"),
-        "names",
-    )
-    marks = named.select("_id", "_digest", F.posexplode("names").alias("mark", "name"))
-    holders = marks.groupBy("name").agg(F.min("_id").alias("least"), F.max("_id").alias("most"))
-    shared = marks.join(holders.filter("least < most").select("name"), "name", "left_semi")
-    # Rows that repeat a text repeat its marks; each counts once.
-    lists = shared.groupBy("_id", "_digest").agg(F.array_sort(F.collect_set("mark")).alias("shared"))
-    listed = scratch.store(lists, "shared")
+    steps = Scratch(spark)
+    listed = _shared_marks(texts, steps, window, rounds)
+    delete_folder(spark, steps.path("names"))
     _finish_step(spark)
     # Texts without a shared mark go on: they may hold windows without any mark.
     joined = texts.join(listed, ["_id", "_digest"], "left")
-    schema = f"_id {id_type}, _digest bigint, place int, key bigint, more int"
-    windows = scratch.store(joined.mapInArrow(_window_keys(window, rounds), schema), "windows")
+    schema = f"_id {texts.schema['_id'].dataType.simpleString()}, _digest bigint, place int, key bigint, more int"
+    windows = steps.store(joined.mapInArrow(_window_keys(window, rounds), schema), "windows")
     _finish_step(spark)
-    first = windows.groupBy("key", "more").agg(F.min("_id").alias("least"), F.max("_id").alias("most"))
-    later = windows.join(first.filter("least < most"), ["key", "more"]).filter("_id > least")
-    places = later.groupBy("_id", "_digest").agg(F.collect_list("place").alias("places"))
-    found = scratch.store(places, "places")
+    found = _verified(windows, steps, scratch)
+    steps.drop()
     _finish_step(spark)
     return found
 

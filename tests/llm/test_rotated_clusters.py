@@ -1,0 +1,123 @@
+"""Integer clustering against plain Python on whole numbers."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from conftest import MEDIUM
+
+from ledgerstar.llm import queries, rotated_clusters
+
+SCHEMA = "vec_id bigint, embedding array<double>"
+
+
+def plain_clusters(rows, clusters, rounds, dims, scale, salt):
+    kept = [
+        (i, [math.floor(scale * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    named = sorted((hashlib.sha256(f"{salt}{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centroids = [v for _, v in named[:clusters]]
+    if not centroids:
+        return []
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(nearest(v)[1], []).append(v)
+        centroids = [
+            [sum(x) // len(members[n]) for x in zip(*members[n], strict=True)] if n in members else c
+            for n, c in enumerate(centroids)
+        ]
+    placed = [(i, *reversed(nearest(v))) for i, v in kept]
+    total = sum(d for _, _, d in placed)
+    own = {}
+    for _, n, d in placed:
+        own[n] = own.get(n, 0) + d
+    return sorted(((i, n, d, own[n], total, centroids[n]) for i, n, d in placed), key=str)
+
+
+def result(spark, rows, schema=SCHEMA, **how):
+    found = rotated_clusters.cluster(spark.createDataFrame(rows, schema), **how)
+    assert found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+@pytest.mark.parametrize(("dims", "scale", "spread"), [(5, 4, 1.0), (16, 1024, 0.3), (16, 1, 60_000.0)])
+def test_equals_plain_rounds(spark, dims, scale, spread):
+    rng = random.Random(dims + scale)
+    middles = [[rng.gauss(0, spread) for _ in range(dims)] for _ in range(5)]
+    rows = [(i, [x + rng.gauss(0, spread / 3) for x in rng.choice(middles)]) for i in range(300)]
+    how = {"clusters": 8, "rounds": 4, "dims": dims, "scale": scale, "salt": "3:"}
+    assert result(spark, rows, **how, leading=3) == plain_clusters(rows, **how)
+
+
+def test_awkward_rows_and_ties(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [0.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [0.5, 7.0]), (None, [1.0, 1.0]),
+        (4, None), (5, []), (6, [1.0]), (7, [1.0, None]), (8, [nan, 0.0]), (9, [0.0, -inf]), (10, [1.0, 2.0, 3.0]),
+        (11, [-0.5, -1e-9]), (12, [-1.0, 0.0]), (13, [1.0, 0.0]),
+    ]
+    how = {"clusters": 3, "rounds": 10, "dims": 2, "scale": 2, "salt": "x"}
+    assert result(spark, rows, **how, leading=1) == plain_clusters(rows, **how)
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    how = {"clusters": 8, "rounds": 3, "dims": 2, "scale": 8, "salt": "3:"}
+    rows = [(1, [0.0, 1.0]), (2, [0.0, -1.0])]
+    assert result(spark, rows, **how, leading=1) == plain_clusters(rows, **how)
+    assert result(spark, [], **how, leading=1) == []
+    assert result(spark, [(1, None)], **how, leading=1) == []
+
+
+def test_too_large_components_are_refused(spark):
+    with pytest.raises(Exception, match="too large"):
+        result(spark, [(1, [1e300, 0.0])], clusters=2, rounds=1, dims=2, scale=2, salt="")
+
+
+def test_bounds_never_exceed_the_distance():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-(1 << 26), 1 << 26, (400, 12))
+    spread = np.cov(rows.T)
+    axes = rotated_clusters.Axes(rows.mean(axis=0), np.linalg.eigh(spread)[1].T[::-1].copy(), 4)
+    centroids = rotated_clusters.Centroids(rows[:9].tolist(), axes)
+    true = ((rows[:, None, :] - rows[None, :9, :]) ** 2).sum(axis=2)
+    assert (centroids.bounds(*axes.short_form(rows)) <= true).all()
+
+
+def test_filter_leaves_out_far_centroids():
+    """On clustered vectors most centroids are ruled out without an exact comparison."""
+    rng = np.random.default_rng(5)
+    middles = rng.integers(-1000, 1000, (8, 64))
+    rows = (middles[rng.integers(0, 8, 2000)] + rng.integers(-40, 40, (2000, 64))).astype(np.int64)
+    spread = np.cov(rows.T)
+    axes = rotated_clusters.Axes(rows.mean(axis=0), np.linalg.eigh(spread)[1].T[::-1].copy(), 8)
+    centroids = rotated_clusters.Centroids(middles.tolist(), axes)
+    bounds = centroids.bounds(*axes.short_form(rows))
+    best = ((rows - middles[bounds.argmin(axis=1)]) ** 2).sum(axis=1)
+    assert (bounds <= best[:, None]).sum() < 1.05 * len(rows)
+
+
+def test_query_matches_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{MEDIUM}/embeddings.parquet'")
+    name = "op13_centroid_clustering"
+    expected = sorted(connection.execute(queries.ORACLE_SQL[name]).fetchall())
+    assert sorted(tuple(r) for r in queries.QUERIES[name](spark, MEDIUM).collect()) == expected
+
+
+def test_extra_columns_are_not_read(spark):
+    rows = [(1, [0.0, 1.0], "a", 5), (2, [1.0, 0.0], "b", 6)]
+    how = {"clusters": 1, "rounds": 1, "dims": 2, "scale": 8, "salt": "3:"}
+    found = result(spark, rows, "vec_id int, embedding array<float>, v string, cluster int", **how, leading=1)
+    assert found == plain_clusters([r[:2] for r in rows], **how)
