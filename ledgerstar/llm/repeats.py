@@ -47,7 +47,7 @@ from ledgerstar.session import Scratch, delete_folder
 ROUNDS = 4
 MARK_SYMBOLS = 2
 # Bytes of text compressed at a time; a longer document is compressed whole.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 _MULTIPLIERS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15], dtype=np.uint64)
 # Odd bases of the two rolling hashes.
