@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +40,31 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application.
+
+    Functions are pickled by the name of their module, so workers must be able to import it: they are
+    started in other folders and, on a cluster, on machines where it is not installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    # The driver serves this file itself; workers fetch it from there.
+    path = Path(os.path.realpath(tempfile.mkdtemp(prefix="ship-"))) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
