@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.session import small_frame
+from ledgerstar.session import exists, small_frame
 
 
 class ContractError(ValueError):
@@ -112,9 +111,4 @@ def export_ddl(spark: SparkSession, contracts: Sequence[Contract], path: str, *q
 
 def read_or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` while nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return small_frame(spark, [], schema)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else small_frame(spark, [], schema)

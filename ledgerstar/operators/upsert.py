@@ -1,20 +1,24 @@
 """Idempotent loads into Parquet tables: insert if absent on a content key, replace on any key.
 
-Parquet has no transactions, so a target has one writer at a time. A load that dies part-way is
-repaired by running it again: both loads leave a finished target unchanged.
+Parquet has no transactions, so a target has one writer at a time. An append that dies part-way is
+repaired by running it again, as it leaves out what is there. A replacing load writes new versions of the
+buckets it touches and makes them count by one switch, so a load that dies at any point has changed nothing.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar.contracts import Contract, exact, quoted, read_or_empty
+from ledgerstar.operators.file_index import FileIndex
+from ledgerstar.session import small_frame
+from ledgerstar.sources.published import Manifest, drop_versions, new_version
 
 # Keys that may be broadcast: a 32-character key costs under 100 bytes, so this stays below 100 MB.
 MAX_BROADCAST_KEYS = 1_000_000
@@ -22,7 +26,6 @@ MAX_BROADCAST_KEYS = 1_000_000
 MAX_LISTED_PARTITIONS = 10_000
 ROWS_PER_BUCKET = 2_000_000
 
-N_BUCKETS = "n_buckets"
 BUCKET = "key_bucket"
 _FROM_BATCH = "_from_batch"
 
@@ -69,29 +72,51 @@ def insert_if_absent(
     contract: Contract,
     partition_by: str | None = None,
     batch_rows: int | None = None,
+    run_id: str = "load",
 ) -> LoadResult:
     """Append the rows of ``batch`` whose content key the table at ``path`` lacks.
 
-    ``batch`` should be a written table, as it is read twice. ``partition_by`` names a contract
-    column to lay the table out by; rows with equal content agree on it, so only the partitions the
-    batch touches are searched.
+    ``batch`` should be a written table, as it is read twice. The files of the table are indexed by key,
+    so a batch that may be broadcast is looked for in those files alone that can hold one of its keys.
+    ``partition_by`` names a contract column to lay the table out by instead; rows with equal content
+    agree on it, so only the partitions the batch touches are searched.
     """
     (key,) = contract.key
-    layout = [partition_by] if partition_by else []
-    target = read_or_empty(spark, contract.schema, path)
-    rows_before = target.count()
     if batch_rows is None:
         batch_rows = batch.count()
     batch = contract.project(batch)
-    stored = _touched(target, batch, partition_by) if partition_by else target
-    rows = absent_from(batch, stored, key, batch_rows, rows_before)
     if partition_by:
-        # Rows of one partition value go to few files; AQE splits a value that is too large.
-        rows = rows.hint("rebalance", quoted(partition_by))
+        return _insert_into_partitions(spark, batch, path, contract, partition_by, batch_rows)
+    index = FileIndex(spark, path, key, contract.schema)
+    held = index.held()
+    rows_before = index.count(held)
+    few = batch_rows <= MAX_BROADCAST_KEYS and batch_rows < rows_before
+    stored = index.read(index.candidates(batch, held) if few else held.files)
+    n_new = _append(absent_from(batch, stored, key, batch_rows, rows_before), path)
+    if n_new:
+        index.record(held, run_id, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    elif held.files:
+        index.drop_new(held)  # a file without rows
+    return LoadResult(rows_before, rows_before + n_new, batch_rows)
+
+
+def _insert_into_partitions(
+    spark: SparkSession, batch: DataFrame, path: str, contract: Contract, partition_by: str, batch_rows: int
+) -> LoadResult:
+    (key,) = contract.key
+    target = read_or_empty(spark, contract.schema, path)
+    rows_before = target.count()
+    stored = _touched(target, batch, partition_by)
+    # Rows of one partition value go to few files; AQE splits a value that is too large.
+    rows = absent_from(batch, stored, key, batch_rows, rows_before).hint("rebalance", quoted(partition_by))
+    return LoadResult(rows_before, rows_before + _append(rows, path, partition_by), batch_rows)
+
+
+def _append(rows: DataFrame, path: str, *layout: str) -> int:
     written = Observation("written")
     counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
     counted.write.mode("append").partitionBy(*layout).parquet(path)
-    return LoadResult(rows_before, rows_before + written.get["n"], batch_rows)
+    return written.get["n"]
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -110,6 +135,15 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     )
 
 
+def _buckets(spark: SparkSession, path: str) -> Manifest:
+    return Manifest(spark, f"{path.rstrip('/')}/_buckets", "bucket int, n_buckets int, version string, n_rows bigint")
+
+
+def _read_buckets(spark: SparkSession, path: str, schema: T.StructType, rows: Iterable[Row]) -> DataFrame:
+    folders = [f"{path.rstrip('/')}/{r.version}/{BUCKET}={r.bucket}" for r in rows]
+    return spark.read.schema(schema).parquet(*folders) if folders else small_frame(spark, [], schema)
+
+
 def replace_on_key(
     spark: SparkSession,
     batch: DataFrame,
@@ -118,46 +152,49 @@ def replace_on_key(
     order_by: Sequence[str],
     buckets: int | None = None,
 ) -> LoadResult:
-    """Insert rows by ``contract.key``, replacing stored rows with the same key.
+    """Insert rows by ``contract.key``, replacing stored rows with the same key, all of them or none.
 
-    The table is laid out by a hash bucket of the key, and only buckets that the batch touches are
-    read and rewritten. Buckets bound what a small batch rewrites, not how many tasks work: rows are
+    The table is laid out by a hash bucket of the key. A load reads the buckets that its batch touches,
+    writes new versions of them beside the old, and appends one list of all buckets' versions: that is the
+    switch. Whenever a load dies, readers have the whole table as it was before or after. Versions that
+    neither of the last two lists names are deleted by the next load.
+
+    Buckets bound what a small batch rewrites, not how many tasks work: rows are
     merged by key, and the written buckets are cut into files as they need. The first load sets the
     number of buckets, by default one for every ``ROWS_PER_BUCKET`` rows; it stays for the table's life.
     """
     keys = list(contract.key)
-    stored_schema = T.StructType(
-        [*contract.schema, *[T.StructField(c, T.IntegerType()) for c in (N_BUCKETS, BUCKET)]]
-    )
-    target = read_or_empty(spark, stored_schema, path)
-    rows_before, batch_rows = target.count(), batch.count()
-    laid_out = target.select(N_BUCKETS).first()
-    if laid_out and buckets not in (None, laid_out[0]):
-        raise ValueError(f"{path} was laid out with {laid_out[0]} buckets, not {buckets}")
-    buckets = laid_out[0] if laid_out else buckets or max(1, math.ceil(batch_rows / ROWS_PER_BUCKET))
+    manifest = _buckets(spark, path)
+    stored = {r.bucket: r for r in manifest.rows()}
+    batch_rows = batch.count()
+    laid_out = next((r.n_buckets for r in stored.values()), None)
+    if laid_out and buckets not in (None, laid_out):
+        raise ValueError(f"{path} was laid out with {laid_out} buckets, not {buckets}")
+    buckets = laid_out or buckets or max(1, math.ceil(batch_rows / ROWS_PER_BUCKET))
 
     rows = contract.project(batch)
     bucket = F.pmod(F.xxhash64(*[exact(k) for k in keys]), F.lit(buckets)).cast("int")
-    kept = _touched(target, rows.select(bucket.alias(BUCKET)), BUCKET)
-    winners = latest_per_key(rows, keys, order_by).select(
-        "*",
-        F.lit(buckets).alias(N_BUCKETS),
-        bucket.alias(BUCKET),
-        F.lit(True).alias(_FROM_BATCH),
-    )
-    both = kept.withColumn(_FROM_BATCH, F.lit(False)).unionByName(winners)
-    merged = latest_per_key(both, [N_BUCKETS, BUCKET, *keys], [_FROM_BATCH]).drop(_FROM_BATCH)
+    touched = {r[0] for r in rows.select(bucket).distinct().collect()}  # as many as there are buckets
+    rows_before = sum(r.n_rows for r in stored.values())
+    if not touched:
+        return LoadResult(rows_before, rows_before, batch_rows)
+    kept = _read_buckets(spark, path, contract.schema, (r for b, r in stored.items() if b in touched))
+    winners = latest_per_key(rows, keys, order_by)
+    both = kept.withColumn(_FROM_BATCH, F.lit(False)).unionByName(winners.withColumn(_FROM_BATCH, F.lit(True)))
+    merged = latest_per_key(both, keys, [_FROM_BATCH]).drop(_FROM_BATCH).withColumn(BUCKET, bucket)
+    version = new_version()
     # Merged by key, as many tasks as there are; a bucket too large for one file is split by AQE.
-    merged.hint("rebalance", BUCKET).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(N_BUCKETS, BUCKET).parquet(path)
-    rows_after = spark.read.schema(stored_schema).parquet(path).count()
-    return LoadResult(rows_before, rows_after, batch_rows)
+    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path.rstrip('/')}/{version}")
+    written = spark.read.parquet(f"{path.rstrip('/')}/{version}").groupBy(BUCKET).count().collect()
+    following = {**{b: (r.version, r.n_rows) for b, r in stored.items()}, **{r[0]: (version, r[1]) for r in written}}
+    earlier = manifest.switch([(b, buckets, name, n) for b, (name, n) in sorted(following.items())])
+    drop_versions(spark, path, {name for name, _ in following.values()} | {r.version for r in earlier})
+    return LoadResult(rows_before, sum(n for _, n in following.values()), batch_rows)
 
 
 def read_keyed(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Contract columns of a table written by ``replace_on_key``."""
-    return spark.read.parquet(path).select(*[exact(c) for c in contract.columns])
+    """The present rows of a table written by ``replace_on_key``."""
+    return _read_buckets(spark, path, contract.schema, _buckets(spark, path).rows())
 
 
 def _touched(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:

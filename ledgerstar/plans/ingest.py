@@ -98,7 +98,7 @@ def load_text(
         landed = scratch.store(landing(text, raw, rules, key), "landing")
         valid = _report_gate(landed, source, targets, raw, log)
         batch = landed.filter(F.col(OUTCOME) == ACCEPTED).drop(OUTCOME, RAW_RECORD, SOURCE_FILE)
-        result = insert_if_absent(spark, batch, targets.table, stored, partition_by, valid)
+        result = insert_if_absent(spark, batch, targets.table, stored, partition_by, valid, log.run_id)
     except Exception as error:
         log.fail("load", error)
         raise
@@ -142,7 +142,7 @@ def _set_aside(landed: DataFrame, targets: Targets, raw: Contract, run_id: str)
         F.any_value(SOURCE_FILE).alias("source_file"),
     )
     rows = folded.withColumn("run_id", F.lit(run_id))
-    insert_if_absent(landed.sparkSession, rows, targets.quarantine, quarantine_contract(raw))
+    insert_if_absent(landed.sparkSession, rows, targets.quarantine, quarantine_contract(raw), run_id=run_id)
 
 
 def _report_gate(landed: DataFrame, source: str, targets: Targets, raw: Contract, log: RunLog) -> int:

@@ -74,11 +74,27 @@ def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Stru
     return spark.createDataFrame(pa.table(columns), fields)
 
 
+def _in_store(spark: SparkSession, path: str):
+    """The store that ``path`` lies in, and the path as that store names it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, found = _in_store(spark, path)
+    return store.exists(found)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders right below ``folder``; none if it is not there."""
+    store, found = _in_store(spark, folder)
+    return sorted(s.getPath().getName() for s in store.listStatus(found)) if store.exists(found) else []
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Delete ``folder`` in whatever store it lies; nothing happens if it is not there."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    store, found = _in_store(spark, folder)
+    store.delete(found, True)
 
 
 class Scratch:

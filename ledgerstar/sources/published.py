@@ -1,39 +1,78 @@
-"""Tables that are replaced as a whole: built beside the present version, then switched to.
+"""Tables that change by a switch: new data is written beside the old, and one small file makes it count.
 
-A published folder holds ``version-<id>`` folders and ``current``, a tiny table whose last row names the
-version to read. A new version is written and checked in a folder of its own; appending one row to
-``current`` is the switch. Whatever fails before that leaves readers with the version they had. There is
-one writer at a time.
+A ``Manifest`` is a folder of small Parquet files, each the whole list of what a table consists of at one
+time; the file of the highest place counts. Spark moves a finished file into the folder in one step, so
+readers see the old list or the new one, and a writer that dies before leaves everything as it was. Lists
+are few: with each switch all but the last ``keep`` go, and the data that only those named.
+
+A published folder holds ``version-<id>`` folders and a manifest that names the present one. There is one
+writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerstar.session import delete_folder, exists, names_in, small_frame
+
+VERSION = "version-"
+
+
+def new_version() -> str:
+    return f"{VERSION}{uuid.uuid4().hex}"
+
+
+class Manifest:
+    """Lists of rows under ``schema``, the last one of which counts."""
+
+    def __init__(self, spark: SparkSession, folder: str, schema: str):
+        self.spark, self.folder = spark, folder
+        self.schema = T.StructType([T.StructField("place", T.LongType()), *T.DataType.fromDDL(schema)])
+
+    def _held(self) -> list[Row]:
+        if not exists(self.spark, self.folder):
+            return []
+        listed = self.spark.read.schema(self.schema).parquet(self.folder)
+        return listed.select("*", F.col("_metadata.file_name").alias("_file")).collect()
+
+    def rows(self) -> list[Row]:
+        """The present list; empty while there is none."""
+        held = self._held()
+        last = max((r.place for r in held), default=None)
+        return [r for r in held if r.place == last]
+
+    def switch(self, rows: Sequence[tuple], keep: int = 2) -> list[Row]:
+        """Make ``rows`` the present list and return those of the lists that are kept."""
+        held = self._held()
+        place = max((r.place for r in held), default=-1) + 1
+        listed = small_frame(self.spark, [(place, *row) for row in rows], self.schema)
+        listed.coalesce(1).write.mode("append").parquet(self.folder)
+        # Only a finished switch lets old lists go.
+        for name in {r._file for r in held if r.place <= place - keep}:
+            delete_folder(self.spark, f"{self.folder}/{name}")
+        return [r for r in held if r.place > place - keep]
 
-from ledgerstar.session import delete_folder, small_frame
 
-POINTER = "place bigint, version string"
+def drop_versions(spark: SparkSession, folder: str, named: set[str]) -> None:
+    """Delete the versions below ``folder`` that no kept list names: replaced ones, and those of dead writers."""
+    for name in names_in(spark, folder):
+        if name.startswith(VERSION) and name not in named:
+            delete_folder(spark, f"{folder}/{name}")
 
 
-def _versions(spark: SparkSession, folder: str) -> list[str]:
-    """Names of all versions switched to so far, the present one last."""
-    try:
-        rows = spark.read.schema(POINTER).parquet(f"{folder.rstrip('/')}/current")
-        return [r.version for r in rows.orderBy(F.col("place").asc_nulls_last()).collect()]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+def _pointer(spark: SparkSession, folder: str) -> Manifest:
+    return Manifest(spark, f"{folder.rstrip('/')}/current", "version string")
 
 
 def current_path(spark: SparkSession, folder: str) -> str:
     """The folder that holds the present version; a plain table's own folder."""
-    versions = _versions(spark, folder)
-    return f"{folder.rstrip('/')}/{versions[-1]}" if versions else folder.rstrip("/")
+    rows = _pointer(spark, folder).rows()
+    return f"{folder.rstrip('/')}/{rows[0].version}" if rows else folder.rstrip("/")
 
 
 class NextVersion:
@@ -41,16 +80,13 @@ class NextVersion:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self.name = f"version-{uuid.uuid4().hex}"
+        self.name = new_version()
         self.path = f"{self.folder}/{self.name}"
 
     def switch(self, keep: int = 2) -> None:
         """Make this the present version and delete all but the last ``keep``."""
-        versions = _versions(self.spark, self.folder)
-        row = small_frame(self.spark, [(len(versions), self.name)], POINTER)
-        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/current")
-        for old in [*versions, self.name][:-keep]:
-            delete_folder(self.spark, f"{self.folder}/{old}")
+        kept = _pointer(self.spark, self.folder).switch([(self.name,)], keep)
+        drop_versions(self.spark, self.folder, {self.name, *(r.version for r in kept)})
 
     def discard(self) -> None:
         delete_folder(self.spark, self.path)

@@ -208,19 +208,47 @@ def test_quantiles_of_any_values(spark, values):
     check_against_numpy(spark, values, 2)
 
 
-def test_quantiles_take_few_passes_whatever_the_spread(spark, monkeypatch):
-    """560 decades, a tail of infinities, and the extremes that a range cannot span."""
-    passes = []
-    for name in ("_count", "_narrow", "_values_at"):
+@pytest.fixture
+def passes(monkeypatch):
+    """Names of the steps that read the source after the first pass."""
+    seen = []
+    for name in ("_count", "_narrow"):
         step = getattr(quantiles, name)
-        monkeypatch.setattr(quantiles, name, lambda *a, step=step: passes.append(1) or step(*a))
+        monkeypatch.setattr(quantiles, name, lambda *a, step=step, name=name: seen.append(name) or step(*a))
+    return seen
+
+
+def test_quartiles_take_two_passes_whatever_the_spread(spark, passes):
+    """560 decades, a tail of infinities, and the extremes that a range cannot span."""
     rng = np.random.default_rng(0)
     values = 10.0 ** rng.uniform(-280, 280, 60_000)
     values[:50], values[50:80], values[80:110] = -np.inf, -1.797e308, np.inf
     frame = spark.createDataFrame(pd.DataFrame({"x": values}))
     row = quantiles.numeric_summary(frame, sortable=100).first()
     assert (row.q25, row.q50, row.q75) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75])), rel=1e-12)
-    assert len(passes) <= 3  # and one for the measures and the first sketch
+    assert passes == ["_count"]  # and one for the measures and the sketch
+
+
+def test_more_values_than_one_task_may_sort_take_two_more(spark, passes):
+    values = np.random.default_rng(1).permutation(200_000).astype(float)
+    frame = spark.createDataFrame(pd.DataFrame({"x": values, "y": values // 5000}))
+    rows = as_dict(quantiles.numeric_summary(frame, sortable=50))
+    assert rows["x"][4:7] == tuple(np.quantile(values, [0.25, 0.5, 0.75]))
+    assert rows["y"][4:7] == tuple(np.quantile(values // 5000, [0.25, 0.5, 0.75]))
+    assert passes == ["_count", "_narrow", "_count"]
+
+
+def test_quartiles_at_a_hundred_million_rows_need_no_copy(spark, passes, monkeypatch):
+    """What is written is the gathered values alone; the bracket of 10**8 rows is small enough to gather."""
+    assert quantiles._likely(10**8) <= quantiles.SORTABLE_VALUES
+    written = []
+    store = quantiles.Scratch.store
+    monkeypatch.setattr(quantiles.Scratch, "store", lambda self, df, name: written.append(store(self, df, name)) or written[-1])
+    frame = spark.range(2_000_000).select(F.col("id").cast("double").alias("x"), F.lit("wide" * 50).alias("text"))
+    monkeypatch.setattr(quantiles.Scratch, "drop", lambda self: None)
+    row = quantiles.numeric_summary(frame).first()
+    assert (row.q25, row.q50, row.q75) == (499_999.75, 999_999.5, 1_499_999.25)
+    assert passes == ["_count"] and [w.count() < 6_000 for w in written] == [True]
 
 
 def test_summary_covers_all_numeric_columns(spark):

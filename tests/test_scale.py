@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
-from conftest import SMALL
+from conftest import REPO, SMALL
 from pyspark.sql import functions as F
 
 from ledgerstar.contracts import Contract, Field
 from ledgerstar.functions.fingerprint import with_fingerprint
-from ledgerstar.operators import profile
+from ledgerstar.operators import profile, upsert
+from ledgerstar.operators.file_index import rows_per_run, undo_run
 from ledgerstar.operators.ids import with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import label_counts, resolve_keys
 from ledgerstar.operators.upsert import (
@@ -22,7 +26,7 @@ from ledgerstar.operators.upsert import (
 from ledgerstar.plans.marts import measure_by
 from ledgerstar.plans.order_star import ORDER_STAR, build_order_star
 from ledgerstar.plans.query_set import QUERIES
-from ledgerstar.session import Scratch
+from ledgerstar.session import Scratch, names_in
 from ledgerstar.sources.tables import table
 
 PAIRS = Contract(
@@ -182,20 +186,124 @@ def test_replace_on_key_keeps_other_rows_and_repeats(spark, folder):
     assert rows == {**{i: "old" for i in range(100)}, 5: "newer", 200: "add"}
 
 
+def _bucket_files(spark, path):
+    return set(read_keyed(spark, path, LATEST).inputFiles())
+
+
 def test_replace_on_key_rewrites_touched_buckets_only(spark, folder):
     path = f"{folder}/t"
     first = spark.createDataFrame([(i, 1, "old") for i in range(100)], LATEST.schema)
     replace_on_key(spark, first, path, LATEST, ["seq"], buckets=8)
-    before = set(spark.read.parquet(path).inputFiles())
+    before = _bucket_files(spark, path)
     replace_on_key(spark, first.limit(1), path, LATEST, ["seq"], buckets=8)
-    after = set(spark.read.parquet(path).inputFiles())
-    assert len(before - after) == 1 and len(after - before) == 1
+    after = _bucket_files(spark, path)
+    assert len(before) == 8 and len(before - after) == 1 and len(after - before) == 1
 
 
-def test_replace_on_key_merges_in_more_tasks_than_buckets(spark, folder, monkeypatch):
-    """Rows of two buckets are merged by key in all eight partitions, touched buckets listed or not."""
-    from ledgerstar.operators import upsert
+def test_a_load_killed_before_its_switch_loses_nothing(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    rows = lambda *r: spark.createDataFrame(list(r), LATEST.schema)
+    held = lambda: sorted(tuple(r) for r in read_keyed(spark, path, LATEST).collect())
+    replace_on_key(spark, rows(*[(i, 1, "old") for i in range(20)]), path, LATEST, ["seq"], buckets=3)
+    before = held()
+    for place in ("switch", "drop_versions"):
+        with monkeypatch.context() as broken:
+            target = upsert.Manifest if place == "switch" else upsert
+            broken.setattr(target, place, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                replace_on_key(spark, rows((5, 2, place), (99, 1, place)), path, LATEST, ["seq"])
+        if place == "switch":
+            assert held() == before
+    # Killed after the switch: the load is there as a whole.
+    expected = sorted([r for r in before if r[0] != 5] + [(5, 2, "drop_versions"), (99, 1, "drop_versions")])
+    assert held() == expected
+    result = replace_on_key(spark, rows((5, 2, "drop_versions"), (99, 1, "drop_versions")), path, LATEST, ["seq"])
+    assert held() == expected and result.rows_after == 21
+    # What the dead loads left is gone: the folders there are those of the last two lists.
+    assert len([n for n in names_in(spark, path) if n.startswith("version-")]) <= 4
+
+
+def test_a_process_killed_in_its_commit_loses_nothing(spark, folder, tmp_path):
+    """The process ends without a word between the written buckets and the switch."""
+    path = f"{folder}/t"
+    first = spark.createDataFrame([(i, 1, "old") for i in range(50)], LATEST.schema)
+    replace_on_key(spark, first, path, LATEST, ["seq"], buckets=2)
+    script = tmp_path / "killed.py"
+    script.write_text(f"""
+import os, sys
+sys.path[:0] = [{str(REPO)!r}, {str(REPO / "tests")!r}]
+from ledgerstar.operators import upsert
+from ledgerstar.session import build_session
+from test_scale import LATEST
+spark = build_session("killed", "local[2]", spark__ui__enabled="false")
+upsert.Manifest.switch = lambda *a: os._exit(9)
+batch = spark.createDataFrame([(i, 2, "new") for i in range(50)], LATEST.schema)
+upsert.replace_on_key(spark, batch, {path!r}, LATEST, ["seq"])
+""")
+    done = subprocess.run([sys.executable, str(script)], capture_output=True, timeout=300)
+    assert done.returncode == 9
+    assert {r.v for r in read_keyed(spark, path, LATEST).collect()} == {"old"}
+    second = spark.createDataFrame([(i, 2, "new") for i in range(50)], LATEST.schema)
+    assert replace_on_key(spark, second, path, LATEST, ["seq"]).rows_after == 50
+    assert {r.v for r in read_keyed(spark, path, LATEST).collect()} == {"new"}
+
+
+@pytest.fixture
+def many_files(spark, folder):
+    """A target of one file per shuffle partition."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    path = f"{folder}/t"
+    insert_if_absent(spark, pairs(spark, [(i, "x") for i in range(4000)]), path, PAIRS, run_id="first")
+    yield path
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_batch_is_looked_for_in_candidate_files_only(spark, many_files, monkeypatch):
+    opened = []
+    real = upsert.absent_from
+    monkeypatch.setattr(upsert, "absent_from", lambda b, stored, *a: opened.append(stored.inputFiles()) or real(b, stored, *a))
+    batch = pairs(spark, [(7, "x"), (8, "x"), (10**6, "x")])
+    result = insert_if_absent(spark, batch, many_files, PAIRS, run_id="second")
+    assert (result.rows_before, result.rows_after) == (4000, 4001)
+    assert len(opened[0]) <= 3 < 64 <= len(names_in(spark, many_files))
+    assert insert_if_absent(spark, batch, many_files, PAIRS).rows_after == 4001
+    assert insert_if_absent(spark, pairs(spark, [(i, "x") for i in range(4000)]), many_files, PAIRS).rows_after == 4001
+    assert spark.read.parquet(many_files).count() == 4001
+
+
+def test_files_that_the_index_does_not_know_are_searched_and_recorded(spark, many_files, monkeypatch):
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert.FileIndex, "record", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            insert_if_absent(spark, pairs(spark, [(10**6, "x")]), many_files, PAIRS, run_id="died")
+    for _ in range(2):  # searched although unknown, and known afterwards
+        result = insert_if_absent(spark, pairs(spark, [(10**6, "x"), (10**7, "x")]), many_files, PAIRS, run_id="next")
+        assert result.rows_after == 4002
+    index = upsert.FileIndex(spark, many_files, "row_hash", PAIRS.schema)
+    assert index.held().unknown == () and index.count(index.held()) == 4002
+
+
+def test_undoing_a_run_takes_its_rows_back(spark, many_files):
+    insert_if_absent(spark, pairs(spark, [(i, "x") for i in range(3990, 4010)]), many_files, PAIRS, run_id="second")
+    per_run = {r.run_id: r.n for r in rows_per_run(spark, many_files).groupBy("run_id").agg(F.sum("n_rows").alias("n")).collect()}
+    assert per_run == {"first": 4000, "second": 10}
+    assert undo_run(spark, many_files, "second") == 10
+    assert undo_run(spark, many_files, "second") == 0
+    assert spark.read.parquet(many_files).count() == 4000
+    result = insert_if_absent(spark, pairs(spark, [(4005, "x")]), many_files, PAIRS, run_id="third")
+    assert (result.rows_before, result.rows_after) == (4000, 4001)
+
+
+def test_a_load_without_new_rows_leaves_no_file(spark, many_files):
+    before = names_in(spark, many_files)
+    insert_if_absent(spark, pairs(spark, [(1, "x")]), many_files, PAIRS)
+    assert names_in(spark, many_files) == before
 
+
+def test_replace_on_key_merges_in_more_tasks_than_buckets(spark, folder, monkeypatch):
+    """Rows of two buckets are merged by key in all eight partitions."""
     path = f"{folder}/t"
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     tasks = []
@@ -210,20 +318,6 @@ def test_replace_on_key_merges_in_more_tasks_than_buckets(spark, folder, monkeyp
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_unlisted_buckets_are_not_rewritten(spark, folder, monkeypatch):
-    from ledgerstar.operators import upsert
-
-    monkeypatch.setattr(upsert, "MAX_LISTED_PARTITIONS", 0)
-    path = f"{folder}/t"
-    first = spark.createDataFrame([(i, 1, "old") for i in range(100)], LATEST.schema)
-    replace_on_key(spark, first, path, LATEST, ["seq"], buckets=16)
-    before = set(spark.read.parquet(path).inputFiles())
-    second = spark.createDataFrame([(5, 2, "new")], LATEST.schema)
-    assert replace_on_key(spark, second, path, LATEST, ["seq"]).rows_after == 100
-    after = set(spark.read.parquet(path).inputFiles())
-    assert len(before - after) == 1 and len(after - before) == 1
-
-
 def test_only_touched_partitions_are_searched(spark, folder):
     from ledgerstar.operators.upsert import _touched
 
