@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstar.contracts import exact
 from ledgerstar.session import Scratch
 
 # One offset row per file is about 200 bytes, so a hinted broadcast stays below 200 MB.
@@ -91,3 +92,35 @@ def with_ordered_ids(
     name = f"sorted_{id_name}"
     schema = scratch.store(ranged, name).schema
     return with_file_order_ids(scratch.spark, scratch.path(name), id_name, id_type, schema)
+
+
+LANES = (0, 16, 32, 48)
+
+
+def _checksum(key: Column) -> list[Column]:
+    """Sums that depend on which keys there are and how often, and not on their order.
+
+    A key's 64-bit hash is added in four lanes of 16 bits, so 10**13 rows do not overflow a BIGINT.
+    """
+    mark = F.xxhash64(key.cast("bigint"))
+    lanes = [F.sum(F.shiftrightunsigned(mark, at).bitwiseAND(F.lit(0xFFFF))) for at in LANES]
+    return [F.coalesce(lane, F.lit(0)).alias(f"lane{at}") for lane, at in zip(lanes, LANES, strict=True)]
+
+
+def rows_without_dense_key(df: DataFrame, key: str) -> int:
+    """0 where ``key`` holds every number from 1 to the number of rows once; else about how many rows do not.
+
+    No row is shuffled: each task sums up its keys, and the sums are set against those of the numbers
+    themselves, which Spark counts through without a table. Keys that are not dense pass with a chance
+    of 2**-64.
+    """
+    column = exact(key)
+    held = df.agg(
+        F.count(F.lit(1)).alias("n"), F.count(column).alias("keys"), F.min(column).alias("low"), F.max(column).alias("high"), *_checksum(column)
+    ).first()
+    if held.keys < held.n:
+        return held.n - held.keys
+    if held.n and (held.low, held.high) != (1, held.n):
+        return 1
+    expected = df.sparkSession.range(1, held.n + 1).agg(*_checksum(F.col("id"))).first()
+    return 0 if all(held[lane] == expected[lane] for lane in expected.asDict()) else 1

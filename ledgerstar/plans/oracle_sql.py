@@ -331,6 +331,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(1 AS INTEGER) AS run, batch_rows, CAST(0 AS BIGINT) AS rows_before,
                stored AS rows_after FROM n
         UNION ALL SELECT 2, batch_rows, stored, stored FROM n""",
+    "load_lineage": """
+        SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'early' ELSE 'all' END AS run_id,
+               count(*) AS n_rows, count(*) AS rows_held
+        FROM orders GROUP BY 1""",
+    "load_undone": """
+        SELECT o_orderpriority, count(*) AS n_rows,
+               (SELECT count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01') AS rows_undone
+        FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY o_orderpriority""",
+    "broken_lines": """
+        WITH notes AS (
+          SELECT CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+                 c_name || chr(10) || '"said"' || chr(10) || chr(10) || c_mktsegment || ', 5" wide' AS note
+          FROM customer
+        )
+        SELECT c_nationkey, count(*) AS n_rows, CAST(sum(length(note)) AS BIGINT) AS note_length,
+               max(note) AS last_note
+        FROM notes GROUP BY c_nationkey""",
     "upsert_replace": """
         SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderkey,
                o_totalprice

@@ -13,6 +13,7 @@ from ledgerstar.functions.fingerprint import with_fingerprint
 from ledgerstar.operators import profile
 from ledgerstar.operators.audit import AUDIT_SCHEMA, log_line
 from ledgerstar.operators.checks import violations
+from ledgerstar.operators.file_index import rows_per_run, undo_run
 from ledgerstar.operators.ids import with_ordered_ids
 from ledgerstar.operators.quality import (
     accepted,
@@ -272,6 +273,53 @@ def ingest_partitioned(spark, folder):
     return _portable(STORED_ORDERS.project(spark.read.parquet(target)))
 
 
+def _two_loads(spark, folder):
+    """A target that one run filled with the early orders, and a second one with all the others."""
+    scratch = Scratch(spark)
+    orders = scratch.store(_keyed_orders(spark, folder), "orders")
+    target = scratch.path("target")
+    insert_if_absent(spark, orders.filter("o_orderdate < DATE'1996-01-01'"), target, STORED_ORDERS, run_id="early")
+    insert_if_absent(spark, orders, target, STORED_ORDERS, run_id="all")
+    return target
+
+
+@query
+def load_lineage(spark, folder):
+    """Rows that each run brought, by the files it wrote, beside the rows that are in those files."""
+    target = _two_loads(spark, folder)
+    brought = rows_per_run(spark, target)
+    held = spark.read.parquet(target).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    both = brought.join(held, "file", "left").groupBy("run_id")
+    return both.agg(F.sum("n_rows").alias("n_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_held"))
+
+
+@query
+def load_undone(spark, folder):
+    """Orders by priority after a second run was undone, with the rows that went."""
+    target = _two_loads(spark, folder)
+    gone = undo_run(spark, target, "all")
+    held = spark.read.schema(STORED_ORDERS.schema).parquet(target)
+    counts = held.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("rows_undone", F.lit(gone).cast("bigint"))
+
+
+@query
+def broken_lines(spark, folder):
+    """Customers per nation from one file whose cells hold line breaks and quotes, read in small ranges."""
+    path = Scratch(spark).path("extract")
+    customers = table(spark, folder, "customer")
+    note = F.concat(F.col("c_name"), F.lit('\n"said"\n\n'), F.col("c_mktsegment"), F.lit(', 5" wide'))
+    extract = customers.select(*[F.col(c).cast("string") for c in ("c_custkey", "c_nationkey")], note.alias("note"))
+    extract.coalesce(1).write.options(header=True, quote='"', escape='"').csv(path)
+    contract = Contract("notes", tuple(Field(c, "string") for c in ("c_custkey", "c_nationkey", "note")))
+    rows = read_text_table(spark, path, contract)
+    return rows.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.char_length("note")).alias("note_length"),
+        F.max("note").alias("last_note"),
+    )
+
+
 @query
 def stage_refused(spark, folder):
     """Rows of a staged table before and after a staging that its types refuse."""

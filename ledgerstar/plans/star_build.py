@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerstar.contracts import Contract, ContractError, exact, read_or_empty
 from ledgerstar.functions.fingerprint import row_fingerprint
-from ledgerstar.operators.ids import with_file_order_ids, with_ordered_ids
+from ledgerstar.operators.ids import rows_without_dense_key, with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import (
     Star,
     check_labels,
@@ -188,10 +188,9 @@ def _check_members(tables: StarTables) -> None:
 
 def _check_fact(tables: StarTables) -> None:
     """The fact's own key. Its references hold as each row was joined to checked members."""
-    key = exact(tables.star.fact_key)
-    held = tables.fact().agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keys"), F.count_distinct(key).alias("ids")).first()
-    if held.n != held.ids:
-        raise ContractError(f"{tables.star.fact}: {held.n - held.ids} rows lack a key of their own")
+    lacking = rows_without_dense_key(tables.fact(), tables.star.fact_key)
+    if lacking:
+        raise ContractError(f"{tables.star.fact}: {lacking} rows or more lack a key of their own")
 
 
 def _require_members(labels: DataFrame, members: DataFrame) -> None:

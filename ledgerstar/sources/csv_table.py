@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar.contracts import Contract, exact, quoted
 from ledgerstar.functions.cells import MISSING_TEXTS, parse, text_or_null
+from ledgerstar.session import Scratch
 
 MALFORMED = "_malformed_line"
 SOURCE_FILE = "_source_file"
 RAW_RECORD = "raw_record"
+_RANGE = "_range_start"
 REJECT_REASON = "reject_reason"
 
 
@@ -30,39 +34,140 @@ def header_of(spark: SparkSession, path: str | list[str]) -> list[str]:
         raise SourceError(f"{path} cannot be read as CSV: {error}") from error
 
 
-def files_with_broken_lines(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Files in which a line holds an odd number of quotes: a record may go on in the next line.
+def _ends_inside(line: str, inside: int) -> str:
+    """SQL: 1 if a line that begins outside or inside a quoted cell ends inside one, else 0.
+
+    The line is cut at its quotes. A quote opens a cell only at the cell's start, and closes one unless
+    another follows at once. States are 0 outside, 1 inside and 2 just closed.
+    """
+    first = f"split({line}, '\"')[0]" if inside else f"concat(',', split({line}, '\"')[0])"
+    step = (
+        "named_struct('state', CASE WHEN s.state = 1 THEN 2 WHEN s.state = 2 AND s.before = '' THEN 1 "
+        "WHEN s.before LIKE '%,' THEN 1 ELSE 0 END, 'before', piece)"
+    )
+    pieces = f"slice(split({line}, '\"'), 2, length({line}))"
+    start = f"named_struct('state', {inside}, 'before', {first})"
+    walked = f"aggregate({pieces}, {start}, (s, piece) -> {step}, s -> IF(s.state = 1, 1, 0))"
+    return f"IF(instr({line}, '\"') = 0, {inside}, {walked})"
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Every line as it stands, with its file and the byte at which its range of the file starts."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_block_start").alias(_RANGE),
+    )
+
+
+def files_with_broken_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``_source_file`` of the files in which a line ends inside quotes: a record goes on in the next one.
+
+    One text scan; lines without a quote are not looked into.
+    """
+    opens = F.expr(_ends_inside("value", 0)) == 1
+    return _lines(spark, path).filter(opens).select(SOURCE_FILE).distinct()
+
+
+def _states(order: Column) -> tuple[Column, Column]:
+    """What the rows up to one do to the state, over rows that each give the state they end in from 0 and 1.
 
-    A doubled quote inside a cell counts two, so every record that ends on its line counts even. One
-    text scan; one row per file comes back.
+    A row keeps the state, turns it, or sets it whatever it was. So the state is the one last set, or
+    the one at the start, turned as often as rows have turned it since: ``fixed`` and ``turns``.
     """
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = spark.read.text(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path")).filter(quotes % 2 == 1)
-    return sorted(r[0] for r in odd.select(SOURCE_FILE).distinct().collect())
+    turns = F.sum(F.when((F.col("from_0") == 1) & (F.col("from_1") == 0), 1).otherwise(0)).over(order)
+    sets = F.when(F.col("from_0") == F.col("from_1"), F.col("from_0"))
+    return sets, turns
+
+
+def _state_after(start: Column, fixed: Column, turns: Column) -> Column:
+    return F.coalesce(fixed, start).cast("int").bitwiseXOR((turns % 2).cast("int"))
+
+
+def records_of(lines: DataFrame) -> DataFrame:
+    """``record, _source_file, first`` of files in which records may run over several lines.
+
+    Files are read in ranges, as any text is. How a range changes the state is known without what stands
+    before it, so the state at its start follows from one row for each range before it; then every range
+    finds its own record starts. Lines before the first start belong to the last record of an earlier range.
+    No task holds more than a range and the records that begin in it.
+    """
+    numbered = lines.withColumn("line", F.monotonically_increasing_id()).selectExpr(
+        "*", f"{_ends_inside('value', 0)} AS from_0", f"{_ends_inside('value', 1)} AS from_1"
+    )
+    here = [SOURCE_FILE, _RANGE]
+    so_far = Window.partitionBy(*here).orderBy("line")
+    sets, turns = _states(so_far)
+    # As if the range began at 0 turns: what is set, less the turns before it.
+    walked = numbered.withColumn("turns", turns).withColumn(
+        "fixed", F.last(sets.bitwiseXOR((F.col("turns") % 2).cast("int")), True).over(so_far)
+    )
+    walked = walked.withColumn("before_turns", F.lag("turns", 1, 0).over(so_far)).withColumn(
+        "before_fixed", F.lag("fixed").over(so_far)
+    )
+    ranges = walked.groupBy(*here).agg(F.max_by("fixed", "line").alias("fixed"), F.max("turns").alias("turns"))
+    earlier = Window.partitionBy(SOURCE_FILE).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("turns").over(earlier), F.lit(0))
+    # The turns that a range's setting row has behind it count with those of all ranges before.
+    lasting = F.col("fixed").bitwiseXOR((F.col("before") % 2).cast("int"))
+    starts = ranges.withColumn("before", total).withColumn("lasting", F.last(lasting, True).over(earlier))
+    starts = starts.select(*here, _state_after(F.lit(0), F.col("lasting"), F.col("before")).alias("start"))
+
+    known = walked.join(starts, here)
+    state = _state_after(F.col("start"), F.col("before_fixed"), F.col("before_turns"))
+    begins = known.select(*here, "line", "value", F.when(state == 0, F.lit(1)).otherwise(0).alias("begins"))
+    begins = begins.withColumn("record_no", F.sum("begins").over(so_far))
+    last = begins.groupBy(*here).agg(F.max("record_no").alias("last"))
+    owner = F.last(F.when(F.col("last") > 0, F.struct(F.col(_RANGE).alias("range"), F.col("last").alias("no"))), True)
+    owners = last.select(*here, owner.over(earlier).alias("owner"))
+    owned = begins.join(owners, here).select(
+        SOURCE_FILE,
+        F.when(F.col("record_no") > 0, F.struct(F.col(_RANGE).alias("range"), F.col("record_no").alias("no")))
+        .otherwise(F.col("owner"))
+        .alias("record_of"),
+        F.struct(_RANGE, "line", "value").alias("part"),
+    )
+    parts = owned.groupBy(SOURCE_FILE, "record_of").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda part: part["value"]), "\n")
+    first = (F.col("record_of.range") == 0) & (F.col("record_of.no") == 1)
+    return parts.select(F.regexp_replace(text, "\r$", "").alias("record"), SOURCE_FILE, first.alias("first"))
+
+
+def _read_records(spark: SparkSession, path: str | list[str], broken: DataFrame, header: list[str]) -> DataFrame:
+    """The text columns of the broken files. Each must carry the header as its first record."""
+    texts = ", ".join(f"{quoted(name)} string" for name in [*header, MALFORMED])
+    options = {k: str(v) for k, v in _format(multi_line=True).items() if k in ("quote", "escape")}
+    records = records_of(_lines(spark, path).join(broken, SOURCE_FILE, "left_semi"))
+    plain = F.when(F.col("first"), F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))
+    cells = F.from_csv(plain, texts, {**options, "columnNameOfCorruptRecord": MALFORMED})
+    read = records.filter(F.trim("record") != "").select(plain.alias("record"), cells.alias("cells"), SOURCE_FILE, "first")
+    named = reduce(Column.__and__, [F.col("cells").getField(c).eqNullSafe(F.lit(c)) for c in header])
+    checked = F.when(
+        F.col("first") & ~(named & F.col("cells").getField(MALFORMED).isNull()),
+        F.raise_error(F.concat(F.lit("another header in "), F.col(SOURCE_FILE))).cast("boolean"),
+    ).otherwise(~F.col("first"))
+    return read.filter(checked).select(*[F.col("cells").getField(c).alias(c) for c in [*header, MALFORMED]], SOURCE_FILE)
 
 
 def read_text_table(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
     """Contract columns as text, the whole line where its field count does not fit, and the file.
 
     Columns bind by header name, and a file whose header differs from the first one fails the read:
-    a plain typed schema would bind by position and load values under the wrong names. Files that may
-    hold line breaks inside quotes are read record by record, one task each; all others are split. So
-    no part of a record is ever taken for a record.
+    a plain typed schema would bind by position and load values under the wrong names. Files that hold
+    line breaks inside quotes are read by ranges whose records are put together again; all others are
+    split by line. So no part of a record is ever taken for a record, and no file is one task's work.
     """
     header = header_of(spark, path)
     contract.check_header(header)
-    broken = files_with_broken_lines(spark, path)
-    columns = [*[exact(c) for c in contract.columns], MALFORMED, F.col("_metadata.file_path").alias(SOURCE_FILE)]
-
-    def read(multi_line: bool, of_file: Column) -> DataFrame:
-        lines = _by_header(spark.read, header, multi_line).csv(path)
-        # Spark leaves out the files that the condition on their path rules out.
-        return lines.filter(of_file).select(*columns)
-
-    if not broken:
-        return read(False, F.lit(True))
-    whole = F.col("_metadata.file_path").isin(broken)
-    return read(True, whole).unionAll(read(False, ~whole))
+    broken = Scratch(spark).store(files_with_broken_lines(spark, path), "broken")
+    columns = [*[exact(c) for c in contract.columns], MALFORMED]
+    lines = _by_header(spark.read, header, multi_line=False).csv(path)
+    whole = lines.select(*columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
+    if broken.isEmpty():
+        return whole
+    # A relation and not a list: very many files may hold breaks.
+    split = whole.join(broken, SOURCE_FILE, "left_anti").select(*columns, SOURCE_FILE)
+    return _read_records(spark, path, broken, header).select(*columns, SOURCE_FILE).unionAll(split)
 
 
 def stream_text_table(

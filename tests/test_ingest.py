@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import random
+from collections import Counter
 from datetime import date
 from pathlib import Path
 
@@ -11,7 +13,7 @@ from conftest import F1
 from pyspark.sql import functions as F
 
 from ledgerstar.admissions import BILLING_RULES, INGESTED_ADMISSIONS, RAW_ADMISSIONS
-from ledgerstar.contracts import ContractError
+from ledgerstar.contracts import Contract, ContractError, Field
 from ledgerstar.functions.fingerprint import with_fingerprint
 from ledgerstar.operators.audit import AUDIT_SCHEMA, log_lines
 from ledgerstar.operators.quality import classify, summarize, validate
@@ -19,6 +21,7 @@ from ledgerstar.plans.ingest import Targets, landing, run_ingest
 from ledgerstar.session import Scratch
 from ledgerstar.sources.csv_table import (
     SourceError,
+    _lines,
     files_of,
     files_with_broken_lines,
     parse_table,
@@ -260,8 +263,59 @@ def test_line_break_inside_quotes(spark, csv_file, f1_lines, old, new, column, v
     assert rows.count() == 11
     assert rows.filter("reject_reason = 'malformed'").count() == 0
     assert rows.filter(F.col("Age") == 34).filter(F.col(f"`{column}`") == value).count() == 1
-    # only the file with the break is read as one piece
-    assert [Path(p).name for p in files_with_broken_lines(spark, paths)] == ["a.csv"]
+    # only the file with the break is read record by record
+    assert [Path(r[0]).name for r in files_with_broken_lines(spark, paths).collect()] == ["a.csv"]
+
+
+CELLS = ["a", "", '""', '"b"', '"c,d"', '"e\nf"', '"g ""h"" \n\n i"', '5" pipe', 'x"y', '"\n"', '"j""\n""k"', "  l ", '"m\r\nn"']
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_broken_files_of_any_range_size_read_like_whole_files(spark, tmp_path, seed):
+    """Cells of every kind, in ranges of a few dozen bytes and more, against Spark's own whole-file reader."""
+    rng = random.Random(seed)
+    contract = Contract("t", tuple(Field(c, "string") for c in ("p q", "r", "s.t")))
+    for name in ("a", "b"):
+        lines = [",".join(rng.choice(CELLS) for _ in range(rng.choice([3, 3, 3, 3, 2, 4]))) for _ in range(120)]
+        (tmp_path / f"{name}.csv").write_text("p q,r,s.t\n" + "\n".join(lines) + "\n", newline="")
+    (tmp_path / "plain.csv").write_text("p q,r,s.t\n1,2,3\n")
+    schema = "`p q` string, r string, `s.t` string, _malformed_line string"
+    options = {"header": True, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_malformed_line"}
+    whole = spark.read.schema(schema).options(**options, multiLine=True, columnPruning=False).csv(str(tmp_path))
+    expected = Counter(map(str, whole.collect()))
+    for size in ("40", "700", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            read = read_text_table(spark, str(tmp_path), contract).drop("_source_file")
+            assert Counter(map(str, read.collect())) == expected
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_large_broken_file_is_many_tasks_work(spark, tmp_path):
+    lines = [f'{i},"left\nright",{"x" * 80}' for i in range(20_000)]
+    (tmp_path / "a.csv").write_text("i,two,pad\n" + "\n".join(lines) + "\n")
+    contract = Contract("t", (Field("i", "string"), Field("two", "string")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        scanned = _lines(spark, str(tmp_path))
+        assert scanned.rdd.getNumPartitions() > 15
+        rows = read_text_table(spark, str(tmp_path), contract)
+        text = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "a.csv" not in text.replace(str(tmp_path), "")  # files are met in a join, not listed
+        assert rows.filter("two = 'left\nright'").count() == 20_000
+        assert rows.select("i").distinct().count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_broken_file_with_another_header_fails(spark, csv_file):
+    paths = [csv_file(["a,b", "1,2"], "a.csv"), csv_file(["b,a", '"1\n",2'], "b.csv")]
+    contract = Contract("t", (Field("a", "string"), Field("b", "string")))
+    with pytest.raises(Exception, match="header"):
+        read_text_table(spark, paths, contract).collect()
 
 
 def test_an_open_quote_loads_no_part_of_a_record(spark, csv_file, f1_lines):

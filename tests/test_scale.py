@@ -9,11 +9,11 @@ import pytest
 from conftest import REPO, SMALL
 from pyspark.sql import functions as F
 
-from ledgerstar.contracts import Contract, Field
+from ledgerstar.contracts import Contract, ContractError, Field
 from ledgerstar.functions.fingerprint import with_fingerprint
 from ledgerstar.operators import profile, upsert
 from ledgerstar.operators.file_index import rows_per_run, undo_run
-from ledgerstar.operators.ids import with_file_order_ids, with_ordered_ids
+from ledgerstar.operators.ids import rows_without_dense_key, with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import label_counts, resolve_keys
 from ledgerstar.operators.upsert import (
     absent_from,
@@ -23,6 +23,7 @@ from ledgerstar.operators.upsert import (
     read_keyed,
     replace_on_key,
 )
+from ledgerstar.plans import star_build
 from ledgerstar.plans.marts import measure_by
 from ledgerstar.plans.order_star import ORDER_STAR, build_order_star
 from ledgerstar.plans.query_set import QUERIES
@@ -88,6 +89,39 @@ def test_ordered_ids_with_a_key_and_copies_filling_the_table(spark, folder):
     assert [(r.k, r.v) for r in numbered] == sorted(rows)
 
 
+@pytest.mark.parametrize(
+    ("ids", "lacking"),
+    [
+        ([], False), ([1], False), ([3, 1, 2], False), ([1, 1], True), ([2, 3], True), ([0, 1], True), ([1, None], True),
+        # Equal count, least, greatest, sum and sum of squares, and still not each number once.
+        ([2, 2, 3, 3, 4, 7, 7], True), ([1, 2, 2, 4, 6, 6, 7], True),
+    ],
+)
+def test_dense_keys_are_proven(spark, ids, lacking):
+    frame = spark.createDataFrame([(i,) for i in ids], "id int")
+    assert bool(rows_without_dense_key(frame, "id")) == lacking
+
+
+def test_proving_a_key_shuffles_no_row(spark, monkeypatch):
+    """The only exchange gathers one row of sums from each task."""
+    plans = []
+    frame = type(spark.range(1))
+    real = frame.agg
+    monkeypatch.setattr(frame, "agg", lambda self, *a: plans.append(real(self, *a)) or plans[-1])
+    assert rows_without_dense_key(spark.range(1, 100_001).repartition(9).select(F.col("id").alias("k")), "k") == 0
+    assert len(plans) == 2
+    for held in plans:
+        assert "Exchange hashpartitioning" not in plan(held) and "partial_sum" in plan(held)
+
+
+def test_a_fact_with_a_repeated_id_is_refused(spark, folder, monkeypatch):
+    real = star_build.with_file_order_ids
+    twice = lambda *a, **k: real(*a, **k).withColumn(ORDER_STAR.fact_key, F.greatest(F.col(ORDER_STAR.fact_key), F.lit(2).cast("bigint")))
+    monkeypatch.setattr(star_build, "with_file_order_ids", twice)
+    with pytest.raises(ContractError, match="lack a key"):
+        build_order_star(spark, SMALL)
+
+
 def test_numbering_rows_shuffles_none_of_them(spark, star):
     numbered = with_file_order_ids(spark, star.raw_folder, "order_id")
     fact = resolve_keys(numbered, ORDER_STAR, star.dimensions(), "inner", "order_id")
