@@ -133,14 +133,16 @@ def drop_common_lines(
     docs: DataFrame,
     min_docs: int = 10,
     min_chars: int = 1,
-    batches: int = 4,
+    batches: int = 6,
+    fanout: int = 3,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """``docs`` without the lines whose key occurs in ``min_docs`` documents, with ``n_lines`` (before)
     and ``n_dropped``; columns of these names are replaced.
 
-    Documents are dealt into ``batches`` by a hash and enter the index batch by batch. A very common line
+    Documents are dealt into ``batches`` by a hash and enter the index batch by batch; after ``fanout`` of them
+    the first compaction settles lines, and every later batch is anti-joined with those. A very common line
     is folded by the partial aggregates, and the join that finds a document's common lines is an
     equi-join that the skew join splits. Rows are documents; repeated rows count each by itself. A NULL
     text stays NULL where nothing is dropped.
@@ -153,7 +155,7 @@ def drop_common_lines(
     path = scratch.path("lines")
     dealt.write.partitionBy("batch").parquet(path)
     found = spark.read.schema("mark bigint, line binary, batch int").parquet(path)
-    runs = LineRuns(spark, scratch, min_docs)
+    runs = LineRuns(spark, scratch, min_docs, fanout)
     for batch in range(batches):
         runs.add(found.filter(F.col("batch") == batch))
     hits = found.join(runs.common_lines().hint("merge"), "line")

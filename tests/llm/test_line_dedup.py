@@ -66,5 +66,27 @@ def test_runs_compact_and_settle(spark):
     assert len(runs.counting) > 2 and any(runs.common)
 
 
+def test_later_batches_of_a_call_are_anti_joined_with_settled_lines(spark, monkeypatch):
+    """With the query's own defaults, batches after the first compaction meet runs of common lines."""
+    settled = []
+    add = line_dedup.LineRuns.add
+
+    def watched(self, lines):
+        settled.append(sum(len(level) for level in self.common))
+        before = [p for level in self.counting for p in level]
+        add(self, lines)
+        if settled[-1]:
+            known = {bytes(r[0]) for level in self.common[:1] for p in level[:1] for r in self._read([p]).select("line").collect()}
+            fresh = [p for level in self.counting for p in level if p not in before][:1]
+            assert known and not known & {bytes(r[0]) for p in fresh for r in self._read([p]).select("line").collect()}
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add", watched)
+    rows = [(i, f"own {i}\nshared by all\nshared {i % 4}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = line_dedup.drop_common_lines(docs)
+    assert {r.n_dropped for r in kept.collect()} == {2}
+    assert len(settled) == 6 and settled[:3] == [0, 0, 0] and all(settled[3:])
+
+
 def test_empty_table(spark):
     assert line_dedup.drop_common_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
