@@ -5,7 +5,7 @@ every shard of the digest space one cuckoo filter: buckets of four 16-bit tags,
 being reachable from its first and the tag alone. A batch asks the filters first. A digest whose tag is in
 neither bucket is new and enters filter and stored keys without any look at the stored keys; a hit is
 verified against the stored key rows, whole 256-bit digest and text length, so a chance equality of tags
-drops nothing. Deleting takes one equal tag out. A shard whose filter overflows, or that met a false hit,
+drops nothing; a verified hit only adds its copies and its id to the key that is there. Deleting takes one equal tag out. A shard whose filter overflows, or that met a false hit,
 gets a filter of the next fitting size, filled from its stored keys.
 
 A shard's filter is one row and its batch one group, both of a size set by the number of shards. Copies of
@@ -156,6 +156,7 @@ class DigestIndex:
         self.spark, self.scratch, self.shards = spark, scratch, shards
         self._turn = 0
         self._keys: list[DataFrame] = []
+        self._repeats: list[DataFrame] = []
         self._filters = spark.createDataFrame([], FILTERS)
         self.rebuilt = 0
 
@@ -165,19 +166,37 @@ class DigestIndex:
     def _shard(self) -> Column:
         return F.pmod(F.xxhash64("digest"), F.lit(self.shards)).cast("int")
 
+    def _stored(self) -> DataFrame:
+        """The stored keys, one for each digest that a filter or a look at the keys found to be new."""
+        rows = self._keys[0]
+        for more in self._keys[1:]:
+            rows = rows.union(more)
+        return rows
+
     def keys(self) -> DataFrame:
         """The live digests: ``digest, length, doc_id`` (the largest) and ``copies``."""
         if not self._keys:
             return self.spark.createDataFrame([], KEYS).drop("shard")
-        rows = self._keys[0]
-        for more in self._keys[1:]:
-            rows = rows.union(more)
-        return rows.groupBy("digest", "length").agg(
-            F.max("doc_id").alias("doc_id"), F.sum("copies").alias("copies")
+        rows = self._stored().select("digest", "length", "doc_id", "copies")
+        if not self._repeats:
+            return rows
+        repeats = self._repeats[0]
+        for more in self._repeats[1:]:
+            repeats = repeats.union(more)
+        added = repeats.groupBy("digest", "length").agg(F.max("doc_id").alias("_doc_id"), F.sum("copies").alias("_copies"))
+        return rows.join(added.hint("merge"), ["digest", "length"], "left").select(
+            "digest",
+            "length",
+            F.greatest("doc_id", "_doc_id").alias("doc_id"),
+            (F.col("copies") + F.coalesce("_copies", F.lit(0))).alias("copies"),
         )
 
     def insert(self, rows: DataFrame) -> DataFrame:
-        """Insert ``digest, length, doc_id`` rows; the digests among them that were live before."""
+        """Insert ``digest, length, doc_id`` rows; the digests among them that were live before.
+
+        What the filters answer decides: a digest that misses becomes a key without a look at the keys,
+        a hit is looked up, and either adds to its key or, where the tags were equal by chance, becomes one.
+        """
         self._turn += 1
         folded = rows.groupBy("digest", "length").agg(
             F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")
@@ -187,17 +206,20 @@ class DigestIndex:
             batch.select("shard", "digest").groupBy("shard").cogroup(self._filters.groupBy("shard")).applyInPandas(_ask_and_insert, ANSWER),
             "answers",
         )
+        judged = batch.join(answers.filter("digest is not null").select("digest", "hit"), "digest").select(*batch.columns, "hit")
+        judged = self._store(judged, "judged")
+        hits = judged.filter("hit").drop("hit")
+        live = self._stored().select("digest", "length") if self._keys else hits.select("digest", "length").limit(0)
         # A hit counts only where the stored key is the same in full.
-        hits = answers.filter("hit").select("digest").join(batch, "digest")
-        live = self.keys().select("digest", "length")
-        known = self._store(hits.join(live, ["digest", "length"], "left_semi").select("shard", "digest"), "known")
-        self._keys.append(batch)
-        false_hits = hits.join(known, "digest", "left_anti").select("shard")
-        stale = self._store(answers.filter("overflow").select("shard").union(false_hits).distinct(), "stale")
+        known = self._store(hits.join(live.hint("merge"), ["digest", "length"], "left_semi").select(*batch.columns), "known")
+        false_hits = self._store(hits.join(known.select("digest"), "digest", "left_anti"), "false-hits")
+        self._keys += [judged.filter("not hit").drop("hit"), false_hits]
+        self._repeats.append(known)
+        stale = self._store(answers.filter("overflow").select("shard").union(false_hits.select("shard")).distinct(), "stale")
         filters = answers.filter("slots is not null").select("shard", "buckets", "slots")
         if not stale.isEmpty():
             self.rebuilt += 1
-            stored = self.keys().select(self._shard().alias("shard"), "digest").join(stale, "shard", "left_semi")
+            stored = self._stored().select(self._shard().alias("shard"), "digest").join(stale, "shard", "left_semi")
             fresh = stored.groupBy("shard").applyInPandas(_rebuild, FILTERS)
             filters = filters.join(stale, "shard", "left_anti").union(fresh)
         self._filters = self._store(filters, "filters")
@@ -221,6 +243,7 @@ class DigestIndex:
         self._filters = self._store(emptied, "filters")
         left = self.keys().join(gone.select("digest"), "digest", "left_anti")
         self._keys = [self._store(left.select(self._shard().alias("shard"), "digest", "length", "doc_id", "copies"), "keys")]
+        self._repeats = []
 
 
 def with_digest(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

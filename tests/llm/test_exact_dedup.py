@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerstar.llm import exact_dedup
 from ledgerstar.llm.exact_dedup import CuckooFilter, DigestIndex
@@ -57,6 +58,17 @@ def test_index_lives_through_inserts_deletes_and_overflow(spark):
     assert state[digests([105])[0]] == (110, 1)
 
 
+def test_the_filters_answers_decide(spark):
+    """With filters that have lost their tags, live digests are taken for new ones: keys double."""
+    index = DigestIndex(spark, Scratch(spark), shards=2)
+    index.insert(frame(spark, range(40)))
+    assert index.insert(frame(spark, range(20, 30))).count() == 10
+    assert index.keys().count() == 40
+    index._filters = index._filters.withColumn("slots", F.expr("cast(repeat(char(0), octet_length(slots)) as binary)"))
+    assert index.insert(frame(spark, range(5))).count() == 0
+    assert index.keys().count() == 45
+
+
 def test_rows_against_a_dictionary(spark):
     texts = ["", None, "Same", "sAME", "same ", "ÄÖ", "äö", "x" * 200_000, "X" * 200_000] + ["hot"] * 300
     rows = [(i, t, "d", 1) for i, t in enumerate(texts)] + [(2, "Same", "d", 1), (None, "Same", "d", 1), (None, "alone", "d", 1)]
