@@ -28,13 +28,16 @@ from ledgerstar.session import Scratch
 CANDIDATE = r"[A-Za-z0-9+/_\-]{14,}={0,2}"
 KEYS = "token|secret|passw|pwd|credential|bearer|auth|api_?key|access_?key|private_?key"
 KEY_WORD = f"(?i){KEYS}"
-_NAME = rf"(?:{KEYS})[\w.\-]*[\"'`\])]{{0,2}}\s?(?::=|=>|={{1,3}}|:)"
-_FOLLOWED = r"[&;,]\w+[\"']?[=:]|[,;)}\]\"'`]+(?:\s|$)"
+# Every part that can repeat is bounded or cannot give back what it took, so a text is searched in time
+# that grows with its length alone. A name goes on for 60 characters after its key word at most.
+_REST = r"[\w.\-]{0,60}+"
+_NAME = rf"(?:{KEYS}){_REST}[\"'`\])]{{0,2}}\s?(?::=|=>|={{1,3}}|:)"
+_FOLLOWED = r"[&;,]\w{1,60}+[\"']?[=:]|[,;)}\]\"'`]{1,20}+(?:\s|$)"
 # The lead and the value. A name that is assigned itself is no value: "auth: password: x" assigns x alone.
 ASSIGNED = (
-    rf"(?i)({_NAME}\s?(?![\"'`]?[\w.\-]*{_NAME})[\"'`]?)"
-    r"((?<=\")[^\s\"]+|(?<=')[^\s']+|(?<=`)[^\s`]+"
-    rf"|(?<![\"'`])[^\s\"'`](?:(?!{_FOLLOWED})\S)*)"
+    rf"(?i)({_NAME}\s?(?![\"'`]?[\w.\-]{{0,60}}?{_NAME})[\"'`]?)"
+    r"((?<=\")[^\s\"]++|(?<=')[^\s']++|(?<=`)[^\s`]++"
+    rf"|(?<![\"'`])[^\s\"'`](?:(?!{_FOLLOWED})\S)*+)"
 )
 ADDRESS_PASSWORD = r"(://[^\s/:@]*:)([^\s/\"']+)(?=@)"
 STAND_IN = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|your[_-]"

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerstar.llm import secret_scan
@@ -39,6 +42,42 @@ def test_forest_removes_false_positives(spark):
     assert all((r["score"] >= 0.5) == (r["label"] == 1) for r in held_out)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "token" * 200_000, "password=" + ")" * 1_000_000, "token=" * 160_000, "auth: " * 160_000, 'token="' * 140_000,
+        "://a:" * 200_000 + "@", "secret=a" + "&a" * 400_000, "token : " * 120_000,
+    ],
+    ids=["name", "brackets", "names", "words", "quotes", "addresses", "parts", "apart"],
+)
+def test_repeating_texts_take_linear_time(spark, text):
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
+    start = time.perf_counter()
+    secret_scan.candidates(docs).count()
+    assert time.perf_counter() - start < 20  # about a second each; minutes where a pattern is quadratic
+
+
+def test_precision_and_recall_on_held_out_plants(spark):
+    """Planted findings whose labels no feature holds: which of equal-looking digests was assigned as a secret."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        hidden = hashlib.sha256(str(i).encode()).hexdigest()[: rng.choice([20, 32, 40])]
+        name = rng.choice(["token", "api_key", "db_password", "client_secret"])
+        secret = rng.random() < 0.5
+        lead = f"{name}{rng.choice([' = ', '=', ': '])}" if secret else rng.choice(["commit ", "sha ", "see build ", "id="])
+        rows.append((i, f"{PROSE} {lead}{hidden} {PROSE}", rng.choice(["a.py", "b.env", "log"]), int(secret)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, label int").cache()
+    truth = docs.select("doc_id", "label")
+    learn = lambda found: found.join(truth, "doc_id").filter("doc_id % 2 = 0 AND length(value) >= 20")
+    found = secret_scan.scan(docs, labelled=learn)
+    judged = found.filter("length(value) >= 20 AND value RLIKE '^[0-9a-f]+$'").join(truth, "doc_id").filter("doc_id % 2 = 1")
+    counts = {(r.label, r.is_secret): r.n for r in judged.groupBy("label", "is_secret").agg(F.count("*").alias("n")).collect()}
+    hits, missed, wrong = counts.get((1, True), 0), counts.get((1, False), 0), counts.get((0, True), 0)
+    assert sum(counts.values()) == 300  # every planted value is a candidate
+    assert hits / (hits + missed) > 0.97 and hits / (hits + wrong) > 0.97
+
+
 def test_plan_runs_no_python(spark):
     docs = spark.createDataFrame([(1, f'token = "{digest(1)}"', "s")], "doc_id bigint, text string, source string")
     found = secret_scan.scan(docs)
