@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+ORDERED_CLASSES = 4
 ASCII_SPACE = "\t\n\x0b\x0c\r "
 
 
@@ -38,21 +40,27 @@ def labelled_sample(
 ) -> tuple[DataFrame, dict[int, int]]:
     """``key, y, text`` of at most ``per_class`` rows of either 0 or 1 label, and the labels' counts.
 
-    Rows are chosen among the labels, before any text is read; as their number is bounded by
-    ``per_class``, they go to the texts in a broadcast and no text is shuffled. NULL texts count as empty.
+    Keys are chosen among the labels, before any text is read; as their number is bounded by
+    ``per_class``, they go to the texts in a broadcast and no text is shuffled. Where a key has several
+    texts or several labels, the bound holds for the rows all the same: rows of the chosen keys are taken in
+    the order of a hash, and rows that repeat a key, label and text count once. NULL texts count as empty.
     """
     usable = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("y"))
     counts = {r[0]: r[1] for r in usable.groupBy("y").count().collect()}
-    chosen = sample_per_class(usable, "y", per_class, 2, "key")
+    chosen = sample_per_class(usable.distinct(), "y", per_class, 2, "key")
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "key"), counts
+    met = texts.join(F.broadcast(chosen), "key").withColumn("digest", F.xxhash64("text"))
+    row = ["key", "y", "digest"]
+    picked = sample_per_class(met.select(*row).distinct(), "y", per_class, 2, "key", "digest")
+    return met.join(F.broadcast(picked), row, "left_semi").dropDuplicates(row).drop("digest"), counts
 
 
 def sample_per_class(df: DataFrame, label: str, per_class: int, max_classes: int, *key: str) -> DataFrame:
     """At most ``per_class`` rows of each of the ``max_classes`` most frequent labels.
 
-    The choice depends on the values of ``key`` alone. Classes are thinned by a hash before any row is
-    shuffled, so no class brings more than about four times its share into one task.
+    The choice depends on the values of ``key`` alone. Classes are thinned by a hash first, to about four
+    times their share. Where there are few classes, each is cut by an ordered limit, which tasks apply before
+    any row moves; many classes are numbered side by side.
     """
     counts = (
         df.filter(F.col(label).isNotNull())
@@ -69,6 +77,9 @@ def sample_per_class(df: DataFrame, label: str, per_class: int, max_classes: int
     )
     place = unit_hash(*[F.col(k) for k in key])
     thinned = df.filter(F.try_element_at(shares, F.col(label)) > place)
+    if max_classes <= ORDERED_CLASSES:
+        parts = [thinned.filter(F.col(label) == row[0]).orderBy(place, *key).limit(per_class) for row in counts]
+        return reduce(DataFrame.union, parts)
     order = W.Window.partitionBy(label).orderBy(place, *key)
     numbered = thinned.withColumn("_place", F.row_number().over(order))
     return numbered.filter(F.col("_place") <= per_class).drop("_place")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerstar.llm import quality, queries, toxicity
+from ledgerstar.llm.common import labelled_sample
 from ledgerstar.sources.tables import table
 
 LARGE = "/root/testdata/sf0.1"
@@ -150,3 +152,22 @@ def test_passages_cover_whole_texts():
 def test_query_on_the_smallest_tables(spark):
     for query in (queries.op2_toxicity, queries.op4_quality):
         assert query(spark, SMALL).count() == 200
+
+
+@pytest.mark.parametrize("copies", [1, 500])
+def test_sample_is_bounded_whatever_repeats(spark, copies):
+    """One id on very many rows, under both labels, with the same text or with one for each row."""
+    docs = [(i % 300, f"text {i % 300}") for i in range(300 * copies // 100 + 300)]
+    docs += [(7, "same")] * (40 * copies) + [(8, f"other {i}") for i in range(40 * copies)]
+    labels = [(i, i % 2) for i in range(300)] * 2 + [(8, 1), (7, 0)]
+    sample, counts = labelled_sample(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int"),
+        "toxic", 100, "text", "doc_id",
+    )
+    rows = sample.collect()
+    held = Counter(r.y for r in rows)
+    assert held == {0: 100, 1: 100} and len({(r.key, r.y, r.text) for r in rows}) == 200
+    assert counts == {0: 301, 1: 301}
+    again = sample.collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
