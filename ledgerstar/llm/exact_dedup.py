@@ -212,7 +212,7 @@ class DigestIndex:
         live = self._stored().select("digest", "length") if self._keys else hits.select("digest", "length").limit(0)
         # A hit counts only where the stored key is the same in full.
         known = self._store(hits.join(live.hint("merge"), ["digest", "length"], "left_semi").select(*batch.columns), "known")
-        false_hits = self._store(hits.join(known.select("digest"), "digest", "left_anti"), "false-hits")
+        false_hits = self._store(hits.join(known.select("digest"), "digest", "left_anti").select(*batch.columns), "false-hits")
         self._keys += [judged.filter("not hit").drop("hit"), false_hits]
         self._repeats.append(known)
         stale = self._store(answers.filter("overflow").select("shard").union(false_hits.select("shard")).distinct(), "stale")
