@@ -150,6 +150,19 @@ def number_many_members(labels: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
+def append_members(labels: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` as they are, and the labels they lack under the ids after each dimension's greatest.
+
+    Only new labels are numbered, one task for a dimension's; the others are not touched.
+    """
+    fresh = number_members(unmatched_labels(labels.filter(F.col("label").isNotNull()), members))
+    greatest = members.groupBy("dim_name").agg(F.max("id").alias("_greatest"))  # one row per dimension
+    numbered = fresh.join(F.broadcast(greatest), "dim_name", "left").select(
+        "dim_name", (F.col("id") + F.coalesce("_greatest", F.lit(0))).cast("int").alias("id"), "label"
+    )
+    return members.select("dim_name", "id", "label").unionByName(numbered)
+
+
 def resolve_keys(
     raw: DataFrame, star: Star, dims: Mapping[str, DataFrame], how: str = "inner", *keep: str
 ) -> DataFrame:

@@ -331,6 +331,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(1 AS INTEGER) AS run, batch_rows, CAST(0 AS BIGINT) AS rows_before,
                stored AS rows_after FROM n
         UNION ALL SELECT 2, batch_rows, stored, stored FROM n""",
+    "star_extended": f"SELECT *, CAST(0 AS BIGINT) AS moved_keys FROM ({BILLING})",
     "load_lineage": """
         SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'early' ELSE 'all' END AS run_id,
                count(*) AS n_rows, count(*) AS rows_held

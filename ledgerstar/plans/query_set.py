@@ -55,7 +55,7 @@ from ledgerstar.plans.order_star import (
     build_order_star,
     flat_orders,
 )
-from ledgerstar.plans.star_build import StarTables, stage_csv
+from ledgerstar.plans.star_build import StarTables, build_star, extend_star, stage_csv
 from ledgerstar.session import Scratch, small_frame
 from ledgerstar.sources.csv_table import SourceError, files_of, header_of, parse_table, read_text_table
 from ledgerstar.sources.published import current_path
@@ -283,6 +283,22 @@ def _two_loads(spark, folder):
     return target
 
 
+@query
+def star_extended(spark, folder):
+    """Orders by nation and segment in a star that was built without one segment and half the nations and
+    then extended by them, with the members whose key moved."""
+    scratch = Scratch(spark)
+    orders = scratch.store(flat_orders(spark, folder), "orders")
+    first = (F.col("c_mktsegment") != "HOUSEHOLD") & (F.col("n_name") < "J")
+    raw, added, built = scratch.path("raw"), scratch.path("added"), scratch.path("star")
+    orders.filter(first).write.parquet(raw)
+    orders.filter(~first).write.parquet(added)
+    before = build_star(spark, raw, ORDER_STAR, built).members().withColumnRenamed("id", "old_id")
+    star = extend_star(spark, added, ORDER_STAR, built, raw)
+    moved = before.join(star.members(), ["dim_name", "label"], "left").filter("NOT old_id <=> id").count()
+    return _billing(star).withColumn("moved_keys", F.lit(moved).cast("bigint"))
+
+
 @query
 def load_lineage(spark, folder):
     """Rows that each run brought, by the files it wrote, beside the rows that are in those files."""

@@ -13,6 +13,7 @@ from ledgerstar.functions.fingerprint import row_fingerprint
 from ledgerstar.operators.ids import rows_without_dense_key, with_file_order_ids, with_ordered_ids
 from ledgerstar.operators.star import (
     Star,
+    append_members,
     check_labels,
     label_counts,
     label_sizes,
@@ -24,27 +25,31 @@ from ledgerstar.operators.star import (
 )
 from ledgerstar.session import Scratch
 from ledgerstar.sources.csv_table import REJECT_REASON, parse_table, read_text_table
-from ledgerstar.sources.published import NextVersion, current_path
+from ledgerstar.sources.published import NextVersion, Part, current_parts, current_path
 
 MEMBER_SCHEMA = "id int, label string"
 
 
 @dataclass(frozen=True)
 class StarTables:
-    """A written star: its folder and how to read it back."""
+    """A written star: its folder, how to read it back, and the folders of facts that it only adds to."""
 
     spark: SparkSession
     star: Star
     folder: str
     raw_folder: str
+    earlier: tuple[tuple[str, str], ...] = ()
 
     @classmethod
     def present(cls, spark: SparkSession, star: Star, folder: str, raw_folder: str) -> StarTables:
-        """The star that the last finished build left in ``folder``."""
-        return cls(spark, star, current_path(spark, folder), current_path(spark, raw_folder))
+        """The star that the last finished build or extension left in ``folder``."""
+        first = current_path(spark, raw_folder)
+        parts = current_parts(spark, folder) or [Part("")]
+        places = [(f"{folder.rstrip('/')}/{p.version}".rstrip("/"), p.source or first) for p in parts]
+        return cls(spark, star, *places[0], tuple(places[1:]))
 
     def raw(self) -> DataFrame:
-        return self.spark.read.parquet(self.raw_folder)
+        return self.spark.read.parquet(self.raw_folder, *[raw for _, raw in self.earlier])
 
     def members(self) -> DataFrame:
         schema = f"{MEMBER_SCHEMA}, dim_name string"
@@ -64,7 +69,8 @@ class StarTables:
 
     def fact(self) -> DataFrame:
         schema = self.star.fact_contract.schema
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{self.star.fact}")
+        folders = [self.folder, *[folder for folder, _ in self.earlier]]
+        return self.spark.read.schema(schema).parquet(*[f"{folder}/{self.star.fact}" for folder in folders])
 
     def tables(self) -> dict[str, DataFrame]:
         return {**self.dimensions(), self.star.fact: self.fact()}
@@ -162,6 +168,50 @@ def build_star(
     return tables
 
 
+def extend_star(spark: SparkSession, added_folder: str, star: Star, folder: str, raw_folder: str) -> StarTables:
+    """Add the rows of a written table to the present star of ``folder``.
+
+    Members keep their ids; labels that are new get the ids after the greatest one, in label order. Facts
+    that are there are neither read, but for their number, nor written: the new ones go to a version of
+    their own, under ids that go on where the others end, and the switch names both. So the cost follows the
+    rows that come. A failing extension leaves the star as it was. ``added_folder`` stays part of the raw table.
+    """
+    present = StarTables.present(spark, star, folder, raw_folder)
+    version = NextVersion(spark, folder)
+    places = ((present.folder, present.raw_folder), *present.earlier)
+    added = spark.read.parquet(added_folder)
+    only = StarTables(spark, star, version.path, added_folder)
+    scratch = Scratch(spark)
+    try:
+        labels = scratch.store(label_counts(added, star.dimensions), "labels")
+        check_labels(label_sizes(labels))
+        members = scratch.store(append_members(labels, present.members()), "members")
+        members.write.partitionBy("dim_name").parquet(f"{version.path}/members")
+        _check_members(only)
+        sizes = label_sizes(members.withColumn("n_rows", F.lit(0)))
+        dims = only.dimensions()
+        for name, size in sizes.items():
+            if size.broadcastable:
+                dims[name] = F.broadcast(dims[name])
+        before = present.fact().count()
+        identified = with_file_order_ids(spark, added_folder, star.fact_key, schema=added.schema)
+        following = identified.withColumn(star.fact_key, exact(star.fact_key) + F.lit(before).cast("bigint"))
+        resolve_keys(following, star, dims, "inner", star.fact_key).write.parquet(f"{version.path}/{star.fact}")
+        counts = reconcile(added, only.fact()).first()
+        if counts.difference:
+            raise ContractError(f"{star.fact}: {counts.fact_rows} rows from {counts.raw_rows} raw rows")
+        _check_fact(only, before)
+        parts = current_parts(spark, folder) or [Part("", present.raw_folder)]
+        earlier = [Part(p.version, p.source or raw) for p, (_, raw) in zip(parts, places, strict=True)]
+        version.switch(source=added_folder, earlier=earlier)
+    except Exception:
+        version.discard()
+        raise
+    finally:
+        scratch.drop()
+    return StarTables(spark, star, version.path, added_folder, places)
+
+
 def _check_members(tables: StarTables) -> None:
     """Every dimension's constraints, from one pass over the members."""
     measures = {
@@ -186,9 +236,11 @@ def _check_members(tables: StarTables) -> None:
         raise ContractError("; ".join(broken))
 
 
-def _check_fact(tables: StarTables) -> None:
-    """The fact's own key. Its references hold as each row was joined to checked members."""
-    lacking = rows_without_dense_key(tables.fact(), tables.star.fact_key)
+def _check_fact(tables: StarTables, before: int = 0) -> None:
+    """The fact's own key, from ``before`` on. Its references hold as each row was joined to checked members."""
+    key = tables.star.fact_key
+    numbered = tables.fact().select((exact(key) - F.lit(before)).alias(key))
+    lacking = rows_without_dense_key(numbered, key)
     if lacking:
         raise ContractError(f"{tables.star.fact}: {lacking} rows or more lack a key of their own")
 

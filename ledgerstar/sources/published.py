@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +66,28 @@ def drop_versions(spark: SparkSession, folder: str, named: set[str]) -> None:
             delete_folder(spark, f"{folder}/{name}")
 
 
+@dataclass(frozen=True)
+class Part:
+    """A version that the present table consists of, and the folder its rows came from, where one is named."""
+
+    version: str
+    source: str | None = None
+
+
 def _pointer(spark: SparkSession, folder: str) -> Manifest:
-    return Manifest(spark, f"{folder.rstrip('/')}/current", "version string")
+    return Manifest(spark, f"{folder.rstrip('/')}/current", "version string, part int, source string")
+
+
+def current_parts(spark: SparkSession, folder: str) -> list[Part]:
+    """The versions that count now, the latest first; none for a plain table."""
+    rows = sorted(_pointer(spark, folder).rows(), key=lambda r: r.part)
+    return [Part(r.version, r.source) for r in rows]
 
 
 def current_path(spark: SparkSession, folder: str) -> str:
     """The folder that holds the present version; a plain table's own folder."""
-    rows = _pointer(spark, folder).rows()
-    return f"{folder.rstrip('/')}/{rows[0].version}" if rows else folder.rstrip("/")
+    parts = current_parts(spark, folder)
+    return f"{folder.rstrip('/')}/{parts[0].version}" if parts else folder.rstrip("/")
 
 
 class NextVersion:
@@ -83,10 +98,12 @@ class NextVersion:
         self.name = new_version()
         self.path = f"{self.folder}/{self.name}"
 
-    def switch(self, keep: int = 2) -> None:
-        """Make this the present version and delete all but the last ``keep``."""
-        kept = _pointer(self.spark, self.folder).switch([(self.name,)], keep)
-        drop_versions(self.spark, self.folder, {self.name, *(r.version for r in kept)})
+    def switch(self, keep: int = 2, source: str | None = None, earlier: Sequence[Part] = ()) -> None:
+        """Make this the present version, over the ``earlier`` ones that it only adds to, and delete all
+        versions that none of the last ``keep`` switches names."""
+        parts = [Part(self.name, source), *earlier]
+        kept = _pointer(self.spark, self.folder).switch([(p.version, i, p.source) for i, p in enumerate(parts)], keep)
+        drop_versions(self.spark, self.folder, {*(p.version for p in parts), *(r.version for r in kept)})
 
     def discard(self) -> None:
         delete_folder(self.spark, self.path)

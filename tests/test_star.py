@@ -24,7 +24,7 @@ from ledgerstar.operators.star import (
     unmatched_labels,
 )
 from ledgerstar.plans.marts import billing_by_condition_and_insurer
-from ledgerstar.plans.star_build import StarTables, build_star, stage_csv
+from ledgerstar.plans.star_build import StarTables, build_star, extend_star, stage_csv
 from ledgerstar.sources.published import current_path
 from ledgerstar.sources.tables import table_names
 
@@ -213,6 +213,49 @@ def test_labels_of_other_types(spark, folder):
     ]
 
 
+def _staged(spark, folder, csv_file, header, lines, name):
+    stage_csv(spark, csv_file([header, *lines], f"{name}.csv"), RAW_ADMISSIONS, f"{folder}/{name}")
+    return current_path(spark, f"{folder}/{name}")
+
+
+def test_extending_keeps_keys_and_facts(spark, folder, csv_file, f1_lines):
+    header, *lines = f1_lines
+    raw, added, more = (
+        _staged(spark, folder, csv_file, header, part, name)
+        for name, part in (("raw", lines[:4]), ("added", lines[4:9]), ("more", lines[9:]))
+    )
+    built = build_star(spark, raw, ADMISSIONS_STAR, f"{folder}/star")
+    members = set(map(tuple, built.members().collect()))
+    facts = {r[ADMISSIONS_STAR.fact_key]: r for r in built.fact().collect()}
+    files = set(built.fact().inputFiles())
+    for part in (added, more):
+        star = extend_star(spark, part, ADMISSIONS_STAR, f"{folder}/star", raw)
+        assert members <= set(map(tuple, star.members().collect()))
+        assert files <= set(star.fact().inputFiles())
+        members, files = set(map(tuple, star.members().collect())), set(star.fact().inputFiles())
+    present = StarTables.present(spark, ADMISSIONS_STAR, f"{folder}/star", raw)
+    held = {r[ADMISSIONS_STAR.fact_key]: r for r in present.fact().collect()}
+    assert sorted(held) == list(range(1, 13)) and all(held[k] == r for k, r in facts.items())
+    for d in ADMISSIONS_STAR.dimensions:  # ids stay dense
+        assert sorted(r[0] for r in present.dimension(d.table).select(d.key).collect()) == list(range(1, present.dimension(d.table).count() + 1))
+    decoded = decode(present.fact(), ADMISSIONS_STAR, present.dimensions())
+    assert sorted(map(str, decoded.collect())) == sorted(map(str, present.raw().select(*decoded.columns).collect()))
+    assert violations(present.tables(), ADMISSIONS_STAR.contracts).filter("n_violations > 0").count() == 0
+    # A rebuild takes the place of all parts.
+    rebuilt = build_star(spark, raw, ADMISSIONS_STAR, f"{folder}/star")
+    assert StarTables.present(spark, ADMISSIONS_STAR, f"{folder}/star", raw).fact().count() == rebuilt.fact().count() == 4
+
+
+def test_a_refused_extension_leaves_the_star(spark, folder, csv_file, f1_lines):
+    header, *lines = f1_lines
+    raw = _staged(spark, folder, csv_file, header, lines[:4], "raw")
+    added = _staged(spark, folder, csv_file, header, [lines[4].replace("Male", "").replace("Female", "")], "added")
+    build_star(spark, raw, ADMISSIONS_STAR, f"{folder}/star")
+    with pytest.raises(ContractError, match="no label"):
+        extend_star(spark, added, ADMISSIONS_STAR, f"{folder}/star", raw)
+    assert StarTables.present(spark, ADMISSIONS_STAR, f"{folder}/star", raw).fact().count() == 4
+
+
 def test_rebuild_is_a_no_op(spark, star, folder):
     build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder)
     again = build_star(spark, star.raw_folder, ADMISSIONS_STAR, folder)
