@@ -321,7 +321,7 @@ def load_undone(spark, folder):
 
 @query
 def broken_lines(spark, folder):
-    """Customers per nation from one file whose cells hold line breaks and quotes, read in small ranges."""
+    """Customers per nation from a file whose cells hold line breaks and quotes."""
     path = Scratch(spark).path("extract")
     customers = table(spark, folder, "customer")
     note = F.concat(F.col("c_name"), F.lit('\n"said"\n\n'), F.col("c_mktsegment"), F.lit(', 5" wide'))

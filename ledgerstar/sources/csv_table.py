@@ -17,6 +17,8 @@ MALFORMED = "_malformed_line"
 SOURCE_FILE = "_source_file"
 RAW_RECORD = "raw_record"
 _RANGE = "_range_start"
+# Small broken files that may be named in a plan.
+MAX_WHOLE_FILES = 100
 REJECT_REASON = "reject_reason"
 
 
@@ -57,74 +59,70 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "value",
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias(_RANGE),
+        F.col("_metadata.file_size").alias("size"),
     )
 
 
+def _range_bytes(spark: SparkSession) -> int:
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
 def files_with_broken_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``_source_file`` of the files in which a line ends inside quotes: a record goes on in the next one.
+    """``_source_file, size`` of the files in which a line ends inside quotes: a record goes on in the next one.
 
     One text scan; lines without a quote are not looked into.
     """
     opens = F.expr(_ends_inside("value", 0)) == 1
-    return _lines(spark, path).filter(opens).select(SOURCE_FILE).distinct()
+    return _lines(spark, path).filter(opens).select(SOURCE_FILE, "size").distinct()
 
 
-def _states(order: Column) -> tuple[Column, Column]:
-    """What the rows up to one do to the state, over rows that each give the state they end in from 0 and 1.
+def _with_states(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """``rows`` with the state before each one, ``before_0`` and ``before_1``, for both states at the start.
 
-    A row keeps the state, turns it, or sets it whatever it was. So the state is the one last set, or
-    the one at the start, turned as often as rows have turned it since: ``fixed`` and ``turns``.
+    A row that ends in ``from_0`` or ``from_1`` keeps the state, turns it, or sets it whatever it was. So the
+    state is the one last set, or the one at the start, turned as often as rows have turned it since.
     """
+    order = Window.partitionBy(*keys).orderBy(place)
     turns = F.sum(F.when((F.col("from_0") == 1) & (F.col("from_1") == 0), 1).otherwise(0)).over(order)
-    sets = F.when(F.col("from_0") == F.col("from_1"), F.col("from_0"))
-    return sets, turns
-
-
-def _state_after(start: Column, fixed: Column, turns: Column) -> Column:
-    return F.coalesce(fixed, start).cast("int").bitwiseXOR((turns % 2).cast("int"))
+    odd = (F.col("_turns") % 2).cast("int")
+    sets = F.when(F.col("from_0") == F.col("from_1"), F.col("from_0")).bitwiseXOR(odd)
+    walked = rows.withColumn("_turns", turns).withColumn("_fixed", F.last(sets, True).over(order))
+    walked = walked.withColumn("_odd", F.lag(odd, 1, 0).over(order)).withColumn("_fixed", F.lag("_fixed").over(order))
+    states = {f"before_{start}": F.coalesce("_fixed", F.lit(start)).bitwiseXOR(F.col("_odd")) for start in (0, 1)}
+    return walked.withColumns(states).drop("_turns", "_fixed", "_odd")
 
 
-def records_of(lines: DataFrame) -> DataFrame:
+def records_of(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """``record, _source_file, first`` of files in which records may run over several lines.
 
-    Files are read in ranges, as any text is. How a range changes the state is known without what stands
-    before it, so the state at its start follows from one row for each range before it; then every range
-    finds its own record starts. Lines before the first start belong to the last record of an earlier range.
-    No task holds more than a range and the records that begin in it.
+    Files are read in ranges, as any text is. Each range is walked for both states that it may begin in, and
+    one row for each range then tells which it was, how many records begin there, and which record its first
+    lines belong to. No task holds more than a range and the records that begin in it.
     """
     numbered = lines.withColumn("line", F.monotonically_increasing_id()).selectExpr(
         "*", f"{_ends_inside('value', 0)} AS from_0", f"{_ends_inside('value', 1)} AS from_1"
     )
     here = [SOURCE_FILE, _RANGE]
     so_far = Window.partitionBy(*here).orderBy("line")
-    sets, turns = _states(so_far)
-    # As if the range began at 0 turns: what is set, less the turns before it.
-    walked = numbered.withColumn("turns", turns).withColumn(
-        "fixed", F.last(sets.bitwiseXOR((F.col("turns") % 2).cast("int")), True).over(so_far)
+    walked = _with_states(numbered, here, "line").withColumns(
+        {f"no_{i}": F.sum(1 - F.col(f"before_{i}")).over(so_far) for i in (0, 1)}
     )
-    walked = walked.withColumn("before_turns", F.lag("turns", 1, 0).over(so_far)).withColumn(
-        "before_fixed", F.lag("fixed").over(so_far)
+    ends = {f"end_{i}": F.when(F.col(f"before_{i}") == 0, F.col("from_0")).otherwise(F.col("from_1")) for i in (0, 1)}
+    walked = scratch.store(walked.select(*here, "line", "value", "no_0", "no_1", *[e.alias(n) for n, e in ends.items()]), "walked")
+
+    ranges = walked.groupBy(*here).agg(
+        *[F.max_by(f"end_{i}", "line").alias(f"from_{i}") for i in (0, 1)], *[F.max(f"no_{i}").alias(f"no_{i}") for i in (0, 1)]
     )
-    ranges = walked.groupBy(*here).agg(F.max_by("fixed", "line").alias("fixed"), F.max("turns").alias("turns"))
+    begun = F.when(F.col("before_0") == 0, F.col("no_0")).otherwise(F.col("no_1"))
     earlier = Window.partitionBy(SOURCE_FILE).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.coalesce(F.sum("turns").over(earlier), F.lit(0))
-    # The turns that a range's setting row has behind it count with those of all ranges before.
-    lasting = F.col("fixed").bitwiseXOR((F.col("before") % 2).cast("int"))
-    starts = ranges.withColumn("before", total).withColumn("lasting", F.last(lasting, True).over(earlier))
-    starts = starts.select(*here, _state_after(F.lit(0), F.col("lasting"), F.col("before")).alias("start"))
-
-    known = walked.join(starts, here)
-    state = _state_after(F.col("start"), F.col("before_fixed"), F.col("before_turns"))
-    begins = known.select(*here, "line", "value", F.when(state == 0, F.lit(1)).otherwise(0).alias("begins"))
-    begins = begins.withColumn("record_no", F.sum("begins").over(so_far))
-    last = begins.groupBy(*here).agg(F.max("record_no").alias("last"))
-    owner = F.last(F.when(F.col("last") > 0, F.struct(F.col(_RANGE).alias("range"), F.col("last").alias("no"))), True)
-    owners = last.select(*here, owner.over(earlier).alias("owner"))
-    owned = begins.join(owners, here).select(
+    last = F.last(F.when(begun > 0, F.struct(F.col(_RANGE).alias("range"), begun.alias("no"))), True)
+    known = _with_states(ranges, [SOURCE_FILE], _RANGE).select(*here, F.col("before_0").alias("start"), last.over(earlier).alias("owner"))
+
+    number = F.when(F.col("start") == 0, F.col("no_0")).otherwise(F.col("no_1"))
+    own = F.struct(F.col(_RANGE).alias("range"), number.alias("no"))
+    owned = walked.join(known, here).select(
         SOURCE_FILE,
-        F.when(F.col("record_no") > 0, F.struct(F.col(_RANGE).alias("range"), F.col("record_no").alias("no")))
-        .otherwise(F.col("owner"))
-        .alias("record_of"),
+        F.when(number > 0, own).otherwise(F.col("owner")).alias("record_of"),
         F.struct(_RANGE, "line", "value").alias("part"),
     )
     parts = owned.groupBy(SOURCE_FILE, "record_of").agg(F.array_sort(F.collect_list("part")).alias("parts"))
@@ -133,11 +131,13 @@ def records_of(lines: DataFrame) -> DataFrame:
     return parts.select(F.regexp_replace(text, "\r$", "").alias("record"), SOURCE_FILE, first.alias("first"))
 
 
-def _read_records(spark: SparkSession, path: str | list[str], broken: DataFrame, header: list[str]) -> DataFrame:
+def _read_records(
+    spark: SparkSession, path: str | list[str], broken: DataFrame, header: list[str], scratch: Scratch
+) -> DataFrame:
     """The text columns of the broken files. Each must carry the header as its first record."""
     texts = ", ".join(f"{quoted(name)} string" for name in [*header, MALFORMED])
     options = {k: str(v) for k, v in _format(multi_line=True).items() if k in ("quote", "escape")}
-    records = records_of(_lines(spark, path).join(broken, SOURCE_FILE, "left_semi"))
+    records = records_of(_lines(spark, path).join(broken, SOURCE_FILE, "left_semi"), scratch)
     plain = F.when(F.col("first"), F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))
     cells = F.from_csv(plain, texts, {**options, "columnNameOfCorruptRecord": MALFORMED})
     read = records.filter(F.trim("record") != "").select(plain.alias("record"), cells.alias("cells"), SOURCE_FILE, "first")
@@ -154,12 +154,13 @@ def read_text_table(spark: SparkSession, path: str | list[str], contract: Contra
 
     Columns bind by header name, and a file whose header differs from the first one fails the read:
     a plain typed schema would bind by position and load values under the wrong names. Files that hold
-    line breaks inside quotes are read by ranges whose records are put together again; all others are
-    split by line. So no part of a record is ever taken for a record, and no file is one task's work.
+    line breaks inside quotes are read by ranges whose records are put together again, or whole where that is
+    one range; all others are split by line. So no part of a record is ever taken for a record, and no file is one task's work.
     """
     header = header_of(spark, path)
     contract.check_header(header)
-    broken = Scratch(spark).store(files_with_broken_lines(spark, path), "broken")
+    scratch = Scratch(spark)
+    broken = scratch.store(files_with_broken_lines(spark, path), "broken")
     columns = [*[exact(c) for c in contract.columns], MALFORMED]
     lines = _by_header(spark.read, header, multi_line=False).csv(path)
     whole = lines.select(*columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
@@ -167,7 +168,12 @@ def read_text_table(spark: SparkSession, path: str | list[str], contract: Contra
         return whole
     # A relation and not a list: very many files may hold breaks.
     split = whole.join(broken, SOURCE_FILE, "left_anti").select(*columns, SOURCE_FILE)
-    return _read_records(spark, path, broken, header).select(*columns, SOURCE_FILE).unionAll(split)
+    few = broken.limit(MAX_WHOLE_FILES + 1).collect()
+    if len(few) <= MAX_WHOLE_FILES and all(r.size <= _range_bytes(spark) for r in few):
+        # Each of them is one range anyway, and Spark's own reader finds the records of a whole file.
+        records = _by_header(spark.read, header, multi_line=True).csv([r[SOURCE_FILE] for r in few])
+        return records.select(*columns, F.col("_metadata.file_path").alias(SOURCE_FILE)).unionAll(split)
+    return _read_records(spark, path, broken, header, scratch).select(*columns, SOURCE_FILE).unionAll(split)
 
 
 def stream_text_table(
