@@ -14,6 +14,7 @@ and a very long text costs no more memory than many short ones.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,22 +33,28 @@ RESULT = "lang_pred string, score double, explained double"
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the fit: all apply to the labelled sample only, never to the texts judged."""
+    """Bounds of the fit: all apply to the labelled sample only, never to the texts judged.
+
+    They are the same for every language, however many there are. An automaton of 40,000 symbols takes about
+    a megabyte, so a model of the most languages takes some 200 MB on each worker.
+    """
 
     max_languages: int = 200
     documents_per_language: int = 96
     symbols_per_document: int = 1500
     symbols_per_language: int = 40_000
-    table_bytes: int = 96 << 20
-    max_letters: int = 220
+    max_letters: int = 20_000
     block: int = 2048
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Automata of all languages in one table; a state is the place of its row of symbols.
+    """Automata of all languages in one table, their sparse rows laid over each other.
 
-    An entry holds twice the next state, plus one where a new phrase starts with the symbol.
+    A state is a number of its own, and its move by a symbol stands at the sum of both: the state it belongs
+    to in the upper half of the entry, the next state in the lower. Where another state's move stands there,
+    or none, the symbol begins a new phrase, and ``first`` has the state after it. ``own`` is what a symbol
+    is to each language, and ``between`` are the languages' states without moves.
     """
 
     languages: tuple[str, ...]
@@ -55,7 +62,9 @@ class LanguageModel:
     symbol_of: np.ndarray
     n_symbols: int
     table: np.ndarray
-    starts: np.ndarray
+    first: np.ndarray
+    own: np.ndarray
+    between: np.ndarray
     block: int
 
 
@@ -109,21 +118,66 @@ def suffix_automaton(sequence: np.ndarray) -> list[dict[int, int]]:
 
 def _alphabet(texts: list[str], max_letters: int) -> tuple[np.ndarray, int]:
     """The symbol of every code point: space, one for each frequent letter, one for all others."""
-    counts: dict[str, int] = {}
+    counts: Counter[str] = Counter()
     for text in texts:
-        for letter in text.lower():
-            if letter.isalpha():
-                counts[letter] = counts.get(letter, 0) + 1
-    known = sorted(counts, key=lambda c: (-counts[c], c))[:max_letters]
+        counts.update(text.lower())
+    letters = [c for c in counts if c.isalpha()]
+    known = sorted(letters, key=lambda c: (-counts[c], c))[:max_letters]
     other = len(known) + 1
     table = np.fromiter(
-        (other if chr(i).isalpha() else SPACE for i in range(CODE_POINTS)), np.uint8, CODE_POINTS
+        (other if chr(i).isalpha() else SPACE for i in range(CODE_POINTS)), np.uint16, CODE_POINTS
     )
     for i, letter in enumerate(known):
         table[ord(letter)] = i + 1
     return table, other + 1
 
 
+def even_shares(lengths: list[int], total: int) -> list[int]:
+    """How much of each length to take for ``total`` in all: the same of each, and more where others are short."""
+    shares, left = [0] * len(lengths), total
+    for place, i in enumerate(sorted(range(len(lengths)), key=lambda i: lengths[i])):
+        shares[i] = min(lengths[i], left // (len(lengths) - place))
+        left -= shares[i]
+    return shares
+
+
+def laid_over(moves: list[dict[int, int]], n_symbols: int) -> tuple[list[int], int]:
+    """A number for each state, so that no two states' moves meet at one sum of number and symbol, and the
+    end of all those places.
+
+    States of many moves come first, each at the first number that fits near the lowest free place; states of
+    one move fill the places between. A number that did not fit a symbol's one move never fits one again.
+    """
+    taken, used = bytearray(4 * (len(moves) + n_symbols)), set()
+    numbers = [0] * len(moves)
+    next_number = [0] * n_symbols
+    low, end = 0, 0
+    for state in sorted(range(1, len(moves)), key=lambda i: -len(moves[i])):
+        here = list(moves[state]) or [0]
+        lead = min(here)
+        if len(here) > 1:
+            while taken[low]:
+                low += 1
+            number, most = max(0, low - lead), max(0, low - lead) + 64
+            while number in used or any(taken[number + s] for s in here):
+                number = number + 1 if number < most else max(number + 1, end)
+        else:
+            number = next_number[lead]
+            while number in used or taken[number + lead]:
+                number += 1
+            next_number[lead] = number + 1
+        for s in here:
+            taken[number + s] = 1
+        used.add(number)
+        numbers[state] = number
+        end = max(end, number + 1)
+        if end + 2 * n_symbols + 64 >= len(taken):
+            taken.extend(bytes(len(taken)))
+    # The start state moves by the table of first states; it stands where nothing is.
+    numbers[0] = end + n_symbols
+    return numbers, numbers[0] + n_symbols + 1
+
+
 def build_model(samples: dict[str, list[str]], settings: Settings = Settings()) -> LanguageModel:
     """The model of ``samples``: texts by language, the more frequent language first."""
     # Symbols beyond a document's share are cut here as well, before letters are counted.
@@ -132,41 +186,43 @@ def build_model(samples: dict[str, list[str]], settings: Settings = Settings())
         for name, texts in samples.items()
     }
     symbol_of, n_symbols = _alphabet([t for texts in cut.values() for t in texts], settings.max_letters)
-    per_language = min(
-        settings.symbols_per_language,
-        settings.table_bytes // (8 * n_symbols * max(1, len(cut))),
-    )
-    names, bits, tables, starts, base = [], [], [], [], 0
+    names, bits, tables, firsts, own_symbols, between, base = [], [], [], [], [], [], 0
     for name, texts in cut.items():
         parts = [symbols(t, symbol_of)[: settings.symbols_per_document] for t in texts]
-        parts = [np.append(p, np.uint8(SPACE)) for p in parts if len(p)]
+        parts = [p for p in parts if len(p)]
         if not parts:
             continue
-        sequence = np.concatenate(parts)[:per_language]
-        moves = suffix_automaton(sequence)
-        # Row 0 is between phrases: every symbol starts one. Row i + 1 is state i.
-        rows = len(moves) + 1
-        start = np.zeros(n_symbols, dtype=np.int64)
+        shares = even_shares([len(p) + 1 for p in parts], settings.symbols_per_language)
+        sequence = np.concatenate([np.append(p, np.uint16(SPACE))[-n:] if n > len(p) else p[:n] for p, n in zip(parts, shares, strict=True)])
+        # Each language counts its own symbols through, which keeps its rows short; -1 is none of them.
+        present = np.unique(sequence)
+        own = np.full(n_symbols, -1, dtype=np.int32)
+        own[present] = np.arange(len(present))
+        moves = suffix_automaton(own[sequence])
+        numbers, size = laid_over(moves, len(present))
+        table = np.full(size, -1, dtype=np.int64)
+        for state, to in enumerate(moves):
+            for symbol, target in to.items() if state else ():
+                table[numbers[state] + symbol] = (base + numbers[state]) << 32 | (base + numbers[target])
+        first = np.full(n_symbols, base + numbers[0], dtype=np.int64)
         for symbol, target in moves[0].items():
-            start[symbol] = target + 1
-        restart = (base + start * n_symbols) * 2 + 1
-        table = np.broadcast_to(restart, (rows, n_symbols)).astype(np.uint32)
-        at = np.fromiter((i + 1 for i, m in enumerate(moves) for _ in m), np.int64)
-        by = np.fromiter((s for m in moves for s in m), np.int64)
-        to = np.fromiter((t + 1 for m in moves for t in m.values()), np.int64)
-        table[at, by] = (base + to * n_symbols) * 2
+            first[present[symbol]] = base + numbers[target]
+        own_symbols.append(own)
         names.append(name)
         bits.append(math.log2(max(2, len(sequence))))
-        tables.append(table.ravel())
-        starts.append(base)
-        base += rows * n_symbols
+        tables.append(table)
+        firsts.append(first)
+        between.append(base + numbers[0])
+        base += size
     return LanguageModel(
         tuple(names),
         np.array(bits),
         symbol_of,
         n_symbols,
-        np.concatenate(tables) if tables else np.zeros(0, np.uint32),
-        np.array(starts, dtype=np.int64),
+        np.concatenate(tables) if tables else np.zeros(0, np.int64),
+        np.array(firsts, dtype=np.int64).reshape(len(names), n_symbols),
+        np.array(own_symbols, dtype=np.int32).reshape(len(names), n_symbols),
+        np.array(between, dtype=np.int64),
         settings.block,
     )
 
@@ -191,15 +247,17 @@ def phrase_counts(model: LanguageModel, flat: np.ndarray, starts: np.ndarray, le
     """Phrases of each block in each language: blocks x languages. All blocks walk in step."""
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
-    state = np.repeat(model.starts[:, None], len(starts), axis=1)
+    state = np.repeat(model.between[:, None], len(starts), axis=1)
     counts = np.zeros(state.shape, dtype=np.int64)
     # active[t]: how many blocks, the longest first, have more than t symbols
     active = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
-    table = model.table
+    table, first, own = model.table, model.first, model.own
     for step, live in enumerate(active.tolist()):
-        got = table[state[:, :live] + flat[starts[:live] + step]]
-        counts[:, :live] += got & 1
-        state[:, :live] = got >> 1
+        symbol, here = flat[starts[:live] + step], state[:, :live]
+        entry = table[here + own[:, symbol]]
+        goes_on = (entry >> 32) == here
+        counts[:, :live] += ~goes_on
+        state[:, :live] = np.where(goes_on, entry & 0xFFFFFFFF, first[:, symbol])
     out = np.empty((len(starts), len(model.languages)), dtype=np.int64)
     out[order] = counts.T
     return out

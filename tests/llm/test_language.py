@@ -49,6 +49,43 @@ def test_phrases_equal_a_substring_search(block):
         assert explained == pytest.approx(1 - phrases[best] / len(sequence))
 
 
+def test_rows_laid_over_each_other_never_meet():
+    rng = np.random.default_rng(3)
+    moves = language.suffix_automaton(rng.integers(0, 30, 3000))
+    numbers, size = language.laid_over(moves, 30)
+    places = [numbers[i] + s for i, to in enumerate(moves) if i for s in to]
+    assert len(set(places)) == len(places) and max(places) < size
+    assert len(set(numbers)) == len(numbers)
+    assert size < 1.6 * len(places)  # sparse rows, not states times symbols
+
+
+@pytest.mark.parametrize(("lengths", "total"), [([5, 5, 5], 9), ([1, 100, 100], 51), ([3, 4], 100), ([], 5), ([10], 4)])
+def test_even_shares(lengths, total):
+    shares = language.even_shares(lengths, total)
+    assert sum(shares) == min(total, sum(lengths)) and all(s <= n for s, n in zip(shares, lengths, strict=True))
+    assert all(s == n or s >= max(shares) - 1 for s, n in zip(shares, lengths, strict=True))
+
+
+def test_a_hundred_languages_learn_as_much_each_as_four():
+    """Every language has the same bound, and scripts of thousands of letters keep them apart."""
+    rng = random.Random(6)
+    settings = language.Settings(symbols_per_language=2_000)
+
+    def sample(i):
+        letters = [chr(0x4E00 + 31 * i + j) for j in range(300)] if i % 10 == 9 else list("abcdefghijklmnopqrstuvwxyz")
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(60)]
+        return [" ".join(rng.choices(words, k=120)) for _ in range(12)], words
+
+    made = {f"l{i:03}": sample(i) for i in range(100)}
+    few = language.build_model({n: t for n, (t, _) in list(made.items())[:4]}, settings)
+    many = language.build_model({n: t for n, (t, _) in made.items()}, settings)
+    assert len(many.languages) == 100 and many.bits.tolist()[:4] == few.bits.tolist()
+    assert (many.bits == math.log2(2000)).all()
+    assert many.n_symbols > 1500
+    texts = [" ".join(rng.choices(words, k=30)) for _, words in made.values()]
+    assert language.classify(many, texts)["lang_pred"].tolist() == list(made)
+
+
 def test_query_accuracy_on_held_out_documents(spark):
     rows = queries.op6_language_id(spark, MEDIUM).toPandas()
     truth = table(spark, MEDIUM, "documents").select("doc_id", "lang").toPandas()
