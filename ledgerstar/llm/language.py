@@ -7,8 +7,8 @@ ends where the sample holds no longer match. A text in the sample's language nee
 symbol, and the language of the least cost wins (the more frequent one on a tie).
 
 Texts are lower-cased; letters are symbols, every run of other characters is one space. A text is parsed
-in blocks of ``block`` symbols, whose ends also end a phrase: all blocks of a batch walk side by side,
-and a very long text costs no more memory than many short ones.
+in blocks of ``block`` symbols, whose ends also end a phrase: all blocks of a batch walk side by side.
+Before the walk a text is laid out whole, at some 32 bytes a character.
 """
 
 from __future__ import annotations
