@@ -61,9 +61,9 @@ def distinct_counts(
             ]
         )
         return _unpivot(sketches, names, "n_distinct")
-    cells, lanes = _cells_by_type(df, names)
+    cells, lanes = cells_by_type(df, names)
     values = cells.distinct()
-    counts = values.groupBy("column_no").agg(F.count_if(_any_present(lanes)).alias("n_distinct"))
+    counts = values.groupBy("column_no").agg(F.count_if(any_present(lanes)).alias("n_distinct"))
     return counts.select(_name_of(names), "n_distinct")
 
 
@@ -155,10 +155,10 @@ def dimension_candidates(
     df: DataFrame, columns: Sequence[str], max_members: int, max_ratio: float
 ) -> DataFrame:
     """(column_name, n_distinct, distinct_ratio, is_dimension) from counts over the whole table."""
-    cells, lanes = _cells_by_type(df, columns)
+    cells, lanes = cells_by_type(df, columns)
     values = cells.groupBy("column_no", *lanes).agg(F.count(F.lit(1)).alias("n"))
     counts = values.groupBy("column_no").agg(
-        F.count_if(_any_present(lanes)).alias("n_distinct"), F.sum("n").alias("n_rows")
+        F.count_if(any_present(lanes)).alias("n_distinct"), F.sum("n").alias("n_rows")
     )
     ratio = F.col("n_distinct") / F.col("n_rows")
     return counts.select(
@@ -202,7 +202,7 @@ def _lane(column: str, data_type: T.DataType) -> tuple[str, str]:
     return "text", f"CASE WHEN length({text}) < {_DIGEST_LENGTH} THEN {text} ELSE sha2({text}, 256) END"
 
 
-def _cells_by_type(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def cells_by_type(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """(column_no, lanes...) with one row per cell, its value in the lane of its type.
 
     Numbers and dates stay eight bytes wide: printing them first would cost more than grouping.
@@ -217,7 +217,7 @@ def _cells_by_type(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, li
     return df.selectExpr(stack), lanes
 
 
-def _any_present(lanes: Sequence[str]) -> Column:
+def any_present(lanes: Sequence[str]) -> Column:
     return F.expr(" OR ".join(f"{lane} IS NOT NULL" for lane in lanes))
 
 

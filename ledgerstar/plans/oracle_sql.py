@@ -399,6 +399,21 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM lineitem"
         for c in LINE_COLUMNS
     ),
+    "profile_grown": _union(
+        f"""
+        SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({v}) AS n_missing,
+               count(DISTINCT {v}) AS n_distinct,
+               count(DISTINCT {v}) FILTER (WHERE event_id % 3 <> 0) AS n_distinct_before
+        FROM events"""
+        for c, v in (
+            ("event_id", "event_id"),
+            ("ts", "ts"),
+            ("user_id", "user_id"),
+            ("event_type", "event_type"),
+            ("value", "CASE WHEN event_type <> 'click' THEN value END"),
+            ("props", "props"),
+        )
+    ),
     "profile_duplicates": _union(
         f"""
         SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows,

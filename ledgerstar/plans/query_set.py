@@ -34,6 +34,7 @@ from ledgerstar.operators.star import (
     reconcile,
     unmatched_labels,
 )
+from ledgerstar.operators.stored_profile import StoredProfile
 from ledgerstar.operators.upsert import (
     distinct_by_key,
     insert_if_absent,
@@ -455,6 +456,21 @@ def profile_cardinality(spark, folder):
     return profile.distinct_counts(table(spark, folder, "lineitem"))
 
 
+@query
+def profile_grown(spark, folder):
+    """Rows, missing cells and distinct values of every column of a table of events that grew by a load, with
+    the distinct values before; each load is read once."""
+    scratch = Scratch(spark)
+    events = table(spark, folder, "events").withColumn("value", F.expr("CASE WHEN event_type <> 'click' THEN value END"))
+    target = scratch.path("target")
+    stored = StoredProfile(spark, target, scratch.path("profile"), events.schema)
+    late = F.col("event_id") % 3 == 0
+    events.filter(~late).write.parquet(target)
+    before = stored.refresh().select("column_name", F.col("n_distinct").alias("n_distinct_before"))
+    events.filter(late).write.mode("append").parquet(target)
+    return stored.refresh().join(before, "column_name")
+
+
 @query
 def profile_duplicates(spark, folder):
     parts = {

@@ -1,0 +1,119 @@
+"""The stored profile of a growing table against one aggregate over the whole table."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstar.operators import profile, stored_profile
+from ledgerstar.operators.stored_profile import StoredProfile
+from ledgerstar.session import names_in
+
+SCHEMA = "whole bigint, `re al` double, label string, `column_no` string, day date, moment timestamp, amount decimal(18,2)"
+
+
+def frame(spark, seed, n):
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice([None, rng.randrange(50)]),
+            rng.choice([None, float("nan"), 0.0, -0.0, rng.randrange(9) / 4]),
+            rng.choice([None, "", "a" * 63, "a" * 64, "a" * 5000 + str(rng.randrange(5)), str(rng.randrange(30))]),
+            "hot" if rng.random() < 0.5 else str(rng.randrange(1000)),
+        )
+        for _ in range(n)
+    ]
+    plain = spark.createDataFrame(rows, "whole bigint, `re al` double, label string, `column_no` string")
+    return plain.select(
+        "*",
+        F.expr("date_add(DATE'2020-01-01', CAST(whole AS INT))").alias("day"),
+        F.expr("timestamp_seconds(whole)").alias("moment"),
+        F.expr("CAST(whole % 7 AS DECIMAL(18,2))").alias("amount"),
+    )
+
+
+def by_column(report):
+    return {r.column_name: (r.n_rows, r.n_missing, r.n_distinct) for r in report.collect()}
+
+
+def plainly(df):
+    n = df.count()
+    missing = {r[0]: r[1] for r in profile.null_counts(df).collect()}
+    distinct = {r[0]: r[1] for r in profile.distinct_counts(df).collect()}
+    return {c: (n, missing[c], distinct[c]) for c in df.columns}
+
+
+@pytest.fixture
+def stored(spark, folder):
+    return StoredProfile(spark, f"{folder}/t", f"{folder}/p", frame(spark, 0, 1).schema)
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_every_load_gives_the_counts_of_the_whole_table(spark, folder, stored, monkeypatch, few):
+    monkeypatch.setattr(stored_profile, "FEW_VALUES", few)
+    monkeypatch.setattr(stored_profile, "MERGED_AT", 3)
+    for seed in range(5):
+        frame(spark, seed, 400).repartition(3).write.mode("append").parquet(f"{folder}/t")
+        whole = spark.read.schema(stored.schema).parquet(f"{folder}/t")
+        assert by_column(stored.refresh()) == by_column(stored.report()) == plainly(whole)
+    # runs put together, and those of lists that are gone, are deleted
+    assert len(names_in(spark, f"{folder}/p")) <= 1 + 3 + 1
+
+
+def test_only_new_files_are_read(spark, folder, stored, monkeypatch):
+    frame(spark, 1, 300).repartition(4).write.parquet(f"{folder}/t")
+    first = {n for n in names_in(spark, f"{folder}/t") if n.endswith(".parquet")}
+    stored.refresh()
+    read = []
+    real = StoredProfile._read
+    monkeypatch.setattr(StoredProfile, "_read", lambda self, files: read.append([f.path.rsplit("/", 1)[1] for f in files]) or real(self, files))
+    stored.refresh()
+    assert read == []
+    frame(spark, 2, 300).coalesce(1).write.mode("append").parquet(f"{folder}/t")
+    stored.refresh()
+    assert len(read) == 1 and len(read[0]) == 1 and not first & set(read[0])
+
+
+def test_stored_values_do_not_move_for_a_small_load(spark, folder, stored):
+    frame(spark, 1, 300).write.parquet(f"{folder}/t")
+    stored.refresh()
+    held = stored._runs.rows()
+    values = stored._stored(held, "values", stored_profile.VALUES).limit(5)
+    plan = stored._unseen(values, held)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "strategy=broadcast" in plan
+
+
+def test_replaced_files_and_other_columns_start_anew(spark, folder, stored):
+    frame(spark, 1, 200).write.parquet(f"{folder}/t")
+    stored.refresh()
+    frame(spark, 2, 90).write.mode("overwrite").parquet(f"{folder}/t")
+    whole = spark.read.parquet(f"{folder}/t")
+    assert by_column(stored.refresh()) == plainly(whole)
+    fewer = StoredProfile(spark, f"{folder}/t", f"{folder}/p", stored.schema, ["label", "re al"])
+    assert by_column(fewer.report()) == {}
+    assert by_column(fewer.refresh()) == {c: v for c, v in plainly(whole).items() if c in ("label", "re al")}
+
+
+def test_nothing_there_and_a_dead_writer(spark, folder, stored, monkeypatch):
+    assert by_column(stored.refresh()) == dict.fromkeys(stored.columns, (0, 0, 0))
+    frame(spark, 1, 50).write.parquet(f"{folder}/t")
+    stored.refresh()
+    before = by_column(stored.report())
+    frame(spark, 2, 50).write.mode("append").parquet(f"{folder}/t")
+    with monkeypatch.context() as dying:
+        dying.setattr(StoredProfile, "_switch", lambda self, rows: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stored.refresh()
+    assert by_column(stored.report()) == before
+    assert by_column(stored.refresh()) == plainly(spark.read.parquet(f"{folder}/t"))
+
+
+def test_partitioned_folders_and_columns_that_came_later(spark, folder):
+    rows = spark.range(60).selectExpr("id", "CAST(id % 3 AS INT) AS part", "CAST(id % 5 AS STRING) AS later")
+    rows.drop("later").write.partitionBy("part").parquet(f"{folder}/t")
+    stored = StoredProfile(spark, f"{folder}/t", f"{folder}/p", rows.schema)
+    assert by_column(stored.refresh())["later"] == (60, 60, 0)
+    rows.write.mode("append").partitionBy("part").parquet(f"{folder}/t")
+    assert by_column(stored.refresh()) == {"id": (120, 0, 60), "part": (120, 0, 3), "later": (120, 60, 5)}
