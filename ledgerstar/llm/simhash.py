@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerstar.contracts import exact
 from ledgerstar.llm.components import connected_components
 from ledgerstar.llm.forest import Forest
 from ledgerstar.session import Scratch
@@ -294,6 +295,15 @@ def near_duplicate_groups(
     have fingerprint zero and link like any others. A NULL id takes part in linking and is never the
     least; repeated rows come out repeated.
     """
+    marked, groups = _marked_and_groups(docs, width, max_bits, text, doc_id, match, bucket_rows)
+    return marked.join(groups, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def _marked_and_groups(
+    docs: DataFrame, width: int, max_bits: int, text: str, doc_id: str, match: int = 3, bucket_rows: int = 20_000
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of all rows, and ``fp, component, component_id`` of all distinct fingerprints, where
+    ``component`` is one of the group's fingerprints."""
     scratch = Scratch(docs.sparkSession)
     marked = scratch.store(
         docs.select(F.col(doc_id).alias("doc_id"), fingerprint_of(F.col(text), width).alias("fp")),
@@ -304,20 +314,39 @@ def near_duplicate_groups(
     nodes = connected_components(links, scratch, "components")
     member = nodes.join(folded, nodes["node"] == folded["fp"]).select("fp", "component", "least")
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = member.join(least, "component").select("fp", "component_id")
+    linked = member.join(least, "component").select("fp", "component", "component_id")
     group = scratch.store(
         folded.join(linked, "fp", "left").select(
-            "fp", F.coalesce("component_id", "least").alias("component_id")
+            "fp",
+            F.coalesce("component", "fp").alias("component"),
+            F.coalesce("component_id", "least").alias("component_id"),
         ),
         "groups",
     )
-    return marked.join(group, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    return marked, group
 
 
 def one_of_each_group(docs: DataFrame, width: int = 4, max_bits: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without those whose group has a smaller id. Rows that repeat an id stay or go together;
-    rows without an id stay."""
-    groups = near_duplicate_groups(docs, width, max_bits, text, doc_id)
-    judged = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    gone = judged.filter(~F.col("stays")).select(F.col("doc_id").alias(doc_id))
-    return docs.join(gone, doc_id, "left_anti")
+    """One row of each group of ``docs``: the one of the least id, or one without id where the whole group lacks ids.
+
+    Of the rows of a group that share its least id, the one of the least text hash stays; among equal
+    texts any one does.
+    """
+    scratch = Scratch(docs.sparkSession)
+    marked, groups = _marked_and_groups(docs, width, max_bits, text, doc_id)
+    judged = marked.filter("doc_id IS NOT NULL").join(groups, "fp").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays")
+    )
+    settled = scratch.store(judged.filter("n > 1 OR NOT stays").withColumnRenamed("doc_id", doc_id), "settled")
+    key = F.col(doc_id)
+    alone = docs.filter(key.isNotNull()).join(settled.select(doc_id), doc_id, "left_anti").select(*[exact(c) for c in docs.columns])
+    repeated = settled.filter("n > 1 AND stays").select(doc_id)
+    shared = docs.filter(key.isNull())
+    if not repeated.isEmpty():
+        shared = shared.unionByName(docs.join(repeated, doc_id, "left_semi").select(*[exact(c) for c in docs.columns]))
+    # Rows that an id does not tell apart are told apart by their text; with ids that are ids there are none.
+    whole = F.struct(*[exact(c) for c in docs.columns])
+    rows = shared.select(whole.alias("row"), key.alias("id"), F.xxhash64(text).alias("order"), fingerprint_of(F.col(text), width).alias("fp"))
+    least = rows.join(groups, "fp").filter("id <=> component_id")
+    one = least.groupBy("component").agg(F.min_by("row", "order").alias("row"))
+    return alone.unionByName(one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -71,9 +71,9 @@ def test_mixing_stage(spark, steps):
     cell = np.ravel_multi_index([p.to_numpy() for p in places], sides)
     cube = np.bincount(cell, weights=tokens, minlength=int(np.prod(sides)))
     shaped = cube.reshape(sides)
-    fitted = mixing.rake(shaped, mixing._targets(shaped, queries.MIXTURE)).ravel()
-    weights = np.divide(fitted, cube, out=np.ones_like(cube), where=cube > 0)
-    chances = mixing.calibrate(cube, weights, queries.TOKEN_BUDGET)
+    targets = mixing._targets(shaped, queries.MIXTURE)
+    weights = np.divide(mixing.rake(shaped, targets), shaped, out=np.ones_like(shaped), where=shaped > 0)
+    chances = mixing.rake_probabilities(shaped, weights, targets, queries.TOKEN_BUDGET).ravel()
     draw = frame.select("doc_id", mixing.unit_hash(F.lit("mixing"), F.col("doc_id")).alias("draw")).toPandas()
     kept = labels.merge(draw, on="doc_id")["draw"].to_numpy() < chances[cell]
     assert sorted(after["doc_id"]) == sorted(before["doc_id"][kept])

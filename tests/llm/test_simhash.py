@@ -134,5 +134,18 @@ def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     groups = simhash.near_duplicate_groups(docs)
     assert [r["component_id"] for r in groups.collect()] == [3, 3, 3, 3]
-    left = simhash.one_of_each_group(docs).orderBy(F.col("doc_id").asc_nulls_first()).collect()
-    assert [r["doc_id"] for r in left] == [None, 3, 3]
+    assert [r["doc_id"] for r in simhash.one_of_each_group(docs).collect()] == [3]
+
+
+def test_one_row_stays_of_groups_that_ids_do_not_tell_apart(spark):
+    alike, other, third = "a b c d e", "v w x y z", "one two three four five"
+    rows = [(None, alike, 1), (None, alike, 2), (4, other, 3), (4, other, 4), (4, third, 5), (2, third.upper(), 6), (7, alike[::-1], 7)]
+    rows += [(None, other, 8)] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `n.a` int")
+    left = sorted(map(tuple, simhash.one_of_each_group(docs).collect()), key=str)
+    assert len(left) == 4
+    # no id in the group; two rows of the least id; one id in two groups, least in one of them; alone
+    assert [r[:2] for r in left if r[0] is None] == [(None, alike)]
+    assert [r[:2] for r in left if r[0] == 4] == [(4, other)]
+    assert [r for r in left if r[0] in (2, 7)] == [(2, third.upper(), 6), (7, alike[::-1], 7)]
+    assert set(left) <= set(rows)
