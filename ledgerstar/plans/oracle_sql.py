@@ -414,6 +414,13 @@ ORACLE_SQL: dict[str, str] = {
             ("props", "props"),
         )
     ),
+    "profile_grown_documents": _union(
+        f"""
+        SELECT '{c}' AS column_name, 2 * count(*) AS n_rows, 2 * (count(*) - count({c})) AS n_missing,
+               {factor} * count(DISTINCT {c}) AS n_distinct
+        FROM documents"""
+        for c, factor in (("doc_id", 2), ("text", 1), ("lang", 1), ("source", 1), ("n_chars", 1))
+    ),
     "profile_duplicates": _union(
         f"""
         SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows,

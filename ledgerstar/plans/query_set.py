@@ -471,6 +471,19 @@ def profile_grown(spark, folder):
     return stored.refresh().join(before, "column_name")
 
 
+@query
+def profile_grown_documents(spark, folder):
+    """The same of documents, whose texts are long, in a table that is there and one load that repeats it."""
+    scratch = Scratch(spark)
+    documents = table(spark, folder, "documents")
+    target = scratch.path("target")
+    stored = StoredProfile(spark, target, scratch.path("profile"), documents.schema)
+    documents.write.parquet(target)
+    stored.refresh()
+    documents.withColumn("doc_id", -F.col("doc_id") - 1).write.mode("append").parquet(target)
+    return stored.refresh()
+
+
 @query
 def profile_duplicates(spark, folder):
     parts = {
